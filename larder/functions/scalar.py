@@ -41,12 +41,12 @@ def parse_invoice_date(c: str | Column, strict: bool = True) -> Column:
     """
     if strict:
         return F.to_date(_col(c), INVOICE_DATE_FORMAT)
-    return F.try_to_date(_col(c), F.lit(INVOICE_DATE_FORMAT))
+    return F.try_to_date(_col(c), INVOICE_DATE_FORMAT)
 
 
 def parse_lead_date(c: str | Column, fmt: str = LEAD_DATE_FORMAT, strict: bool = True) -> Column:
     """Lead ``Date`` text to ``date`` with a configured format (default ISO)."""
-    return F.to_date(_col(c), fmt) if strict else F.try_to_date(_col(c), F.lit(fmt))
+    return F.to_date(_col(c), fmt) if strict else F.try_to_date(_col(c), fmt)
 
 
 def strip_offset(c: str | Column) -> Column:

@@ -221,3 +221,159 @@ def oracle_queries() -> dict[str, str]:
 
 
 EXTRA: dict[str, str] = {}
+
+
+# ---------------------------------------------------------------------------
+# operator-level keys
+# ---------------------------------------------------------------------------
+_RAW = {  # raw frame name -> (CTE, [(source column name, CTE column)])
+    "invoices": ("raw_invoices", [
+        ("Order Id", "Order_Id"), ("Date", '"Date"'), ("Meal Id", "Meal_Id"), ("Company Id", "Company_Id"),
+        ("Date of Meal", "Date_of_Meal"), ("Participants", "Participants"), ("Meal Price", "Meal_Price"),
+        ("Type of Meal", "Type_of_Meal"),
+    ]),
+    "orderleads": ("raw_leads", [
+        ("Order Id", "Order_Id"), ("Company Id", "Company_Id"), ("Company Name", "Company_Name"),
+        ("Date", '"Date"'), ("Order Value", "Order_Value"), ("Converted", "Converted"),
+    ]),
+    "salesteam": ("raw_salesteam", [
+        ("Sales Rep", "Sales_Rep"), ("Sales Rep Id", "Sales_Rep_Id"), ("Company Name", "Company_Name"),
+        ("Company Id", "Company_Id"),
+    ]),
+}
+_CLEAN = {"orders": "leads", "invoice": "invoice", "salesteam": "salesteam", "customer_order": "customer_order"}
+
+
+def _union_all(parts: list[str]) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+def _profile_nulls() -> str:
+    parts = []
+    for table, (cte, cols) in _RAW.items():
+        for name, col in cols:
+            parts.append(
+                f"SELECT '{table}' AS table_name, '{name}' AS column_name, "
+                f"COUNT(*) FILTER (WHERE {col} IS NULL) AS missing FROM {cte}"
+            )
+    return _union_all(parts)
+
+
+def _profile_duplicates() -> str:
+    parts = []
+    for table, (cte, cols) in _RAW.items():
+        keys = ", ".join(c for _, c in cols)
+        parts.append(
+            f"SELECT '{table}' AS table_name, CAST(coalesce(SUM(n - 1), 0) AS BIGINT) AS duplicates "
+            f"FROM (SELECT COUNT(*) AS n FROM {cte} GROUP BY {keys})"
+        )
+    return _union_all(parts)
+
+
+def _check_rows(check: str, table: str, terms: dict[str, str]) -> list[str]:
+    cte = _CLEAN.get(table) or _RAW[table][0]
+    return [
+        f"SELECT '{check}' AS check_name, '{table}' AS table_name, '{col}' AS column_name, "
+        f"CAST(COUNT(*) FILTER (WHERE {cond}) AS BIGINT) AS violations FROM {cte}"
+        for col, cond in terms.items()
+    ]
+
+
+def _repeated(check: str, table: str, keys: list[str]) -> str:
+    cols = ", ".join(f'"{k}"' for k in keys)
+    return (
+        f"SELECT '{check}' AS check_name, '{table}' AS table_name, '{','.join(keys)}' AS column_name, "
+        f"CAST(coalesce(SUM(n), 0) AS BIGINT) AS violations "
+        f"FROM (SELECT COUNT(*) AS n FROM {_CLEAN[table]} GROUP BY {cols} HAVING COUNT(*) > 1)"
+    )
+
+
+def _checks() -> dict[str, str]:
+    from larder.operators import quality as Q
+    from larder.sources.schemas import MEAL_TYPES, PART_OF_DAY_DECLARED, PART_OF_DAY_LABELS
+
+    def inlist(vals):
+        return ", ".join(f"'{v}'" for v in vals)
+
+    not_null = []
+    for t, cols in Q.NOT_NULL.items():
+        not_null += _check_rows("not_null", t, {c: f'"{c}" IS NULL' for c in cols})
+    fk = []
+    for child, ck, parent, pk in Q.FOREIGN_KEYS:
+        fk.append(
+            f"SELECT 'foreign_key' AS check_name, '{child}' AS table_name, '{ck} -> {parent}.{pk}' AS column_name, "
+            f"CAST(COUNT(*) AS BIGINT) AS violations FROM {_CLEAN[child]} c "
+            f"WHERE c.{ck} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {_CLEAN[parent]} p WHERE p.{pk} = c.{ck})"
+        )
+    domain = _check_rows("domain", "invoice", {
+        "Type_of_Meal": f"Type_of_Meal IS NOT NULL AND Type_of_Meal NOT IN ({inlist(MEAL_TYPES)})",
+        "Part_of_Day": f"Part_of_Day IS NOT NULL AND Part_of_Day NOT IN ({inlist(PART_OF_DAY_LABELS)})",
+    }) + _check_rows("domain_declared", "invoice", {
+        "Part_of_Day": f"Part_of_Day IS NOT NULL AND Part_of_Day NOT IN ({inlist(PART_OF_DAY_DECLARED)})",
+    })
+    length = []
+    for t, cols in Q.MAX_LENGTHS.items():
+        length += _check_rows("length", t, {c: f"length({c}) > {n}" for c, n in cols.items()})
+    rng = []
+    for t, cols in Q.RAW_RANGES.items():
+        _, mapping = _RAW[t]
+        col_of = dict(mapping)
+        rng += _check_rows("range", t, {
+            c: f"{col_of[c]} IS NOT NULL AND (TRY_CAST({col_of[c]} AS BIGINT) IS NULL "
+               f"OR TRY_CAST({col_of[c]} AS BIGINT) < {lo} OR TRY_CAST({col_of[c]} AS BIGINT) > {hi})"
+            for c, (lo, hi) in cols.items()
+        })
+    qc = "(length(Participants) - length(replace(Participants, '''', '')))"
+    lo, hi = Q.TINYINT_RANGE
+    rng += _check_rows("range", "invoices", {
+        "Number_of_Participants": f"Participants IS NOT NULL AND ({qc} // 2 < {lo} OR {qc} // 2 > {hi})",
+    })
+    parts = _check_rows("participants", "invoice", {
+        "odd_quotes": f"{qc} % 2 = 1",
+        "count_vs_names": f"{qc} // 2 <> len(regexp_extract_all(Participants, '''(.*?)''', 1))",
+    })
+    return {
+        "check_not_null": _union_all(not_null),
+        "check_pk": _union_all([_repeated("primary_key", t, k) for t, k in Q.PRIMARY_KEYS.items()]),
+        "check_unique_order": _union_all([_repeated("unique", t, k) for t, k in Q.UNIQUE_KEYS.items()]),
+        "check_fk": _union_all(fk),
+        "check_domain": _union_all(domain),
+        "check_length": _union_all(length),
+        "check_range": _union_all(rng),
+        "check_participants": _union_all(parts),
+    }
+
+
+_PERCENT = VIEWS["percent_converted"]
+_DIFF = VIEWS["difference_days"]
+
+EXTRA.update({
+    "parse_invoice_date": 'SELECT Order_Id, "Date" FROM invoice',
+    "parse_lead_date": 'SELECT Order_Id, "Date" FROM leads',
+    "strip_offset": "SELECT Order_Id, split_part(Date_of_Meal, '+', 1) AS Date_of_Meal_Local FROM raw_invoices",
+    "parse_meal_ts": "SELECT Order_Id, Date_of_Meal FROM invoice",
+    "meal_hour": "SELECT Order_Id, CAST(hour(Date_of_Meal) AS INTEGER) AS Meal_Hour FROM invoice",
+    "part_of_day": "SELECT Order_Id, CAST(hour(Date_of_Meal) AS INTEGER) AS Meal_Hour, Part_of_Day FROM invoice",
+    "participant_count": "SELECT Order_Id, Number_of_Participants FROM invoice",
+    "extract_names": "SELECT Order_Id, CAST(len(names) AS INTEGER) AS Name_Count, "
+                     "array_to_string(names, '|') AS Names FROM invoice_names",
+    "explode_participants": 'SELECT Order_Id, "Position", Participant_Name FROM exploded',
+    "customer_order": "SELECT Order_Id, Participant_Name, Customer_Id, Last_Updated FROM customer_order",
+    "load_orders": 'SELECT Order_Id, Company_Id, Company_Name, "Date", Order_Value, Converted FROM leads',
+    "load_invoice": 'SELECT Order_Id, "Date", Meal_Id, Company_Id, Date_of_Meal, Participants, Meal_Price, '
+                    'Type_of_Meal, Part_of_Day, Number_of_Participants FROM invoice',
+    "load_salesteam": "SELECT Sales_Rep, Sales_Rep_Id, Company_Name, Company_Id FROM salesteam",
+    "load_customer_order": "SELECT Order_Id, Participant_Name, Customer_Id, Last_Updated FROM customer_order",
+    "top_converted": f"SELECT * FROM ({_PERCENT}) ORDER BY Percent_Converted DESC, Company_Name LIMIT 5",
+    "avg_meal_price_ranked": f"SELECT * FROM ({VIEWS['avg_meal_price']}) ORDER BY Average_Meal_Price DESC",
+    "preview_difference_days": f'SELECT * FROM ({_DIFF}) ORDER BY "Date", Date_of_Meal, Days_Between LIMIT 2',
+    "profile_nulls": _profile_nulls(),
+    "profile_duplicates": _profile_duplicates(),
+    **_checks(),
+    "load_audit": _union_all(
+        [f"SELECT 'extract' AS stage, '{t}' AS table_name, COUNT(*) AS row_count FROM {cte}"
+         for t, (cte, _) in _RAW.items()]
+        + [f"SELECT 'load' AS stage, '{t}' AS table_name, COUNT(*) AS row_count FROM {cte}"
+           for t, cte in _CLEAN.items()]
+    ),
+})

@@ -41,5 +41,13 @@ class Tables:
         return customer_order(self.invoice, as_of=self.as_of)
 
 
+    def as_dict(self, with_customer_order: bool = True) -> dict[str, DataFrame]:
+        """Cleaned tables under their target table names."""
+        out = {"orders": self.leads, "invoice": self.invoice, "salesteam": self.salesteam}
+        if with_customer_order:
+            out["customer_order"] = self.customer_order
+        return out
+
+
 def test_tables(spark: SparkSession, sf_dir: str, strict: bool = True, as_of=None) -> Tables:
     return Tables(load_test_sources(spark, sf_dir), strict=strict, as_of=as_of)

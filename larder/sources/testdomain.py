@@ -126,6 +126,10 @@ class RawSources:
     leads: DataFrame
     salesteam: DataFrame
 
+    def as_dict(self) -> dict[str, DataFrame]:
+        """Raw frames under their source names."""
+        return {"invoices": self.invoices, "orderleads": self.leads, "salesteam": self.salesteam}
+
 
 def load_test_sources(spark: SparkSession, sf_dir: str) -> RawSources:
     t = {n: read_table(spark, sf_dir, n) for n in ("orders", "customer", "nation", "supplier", "part", "lineitem")}
