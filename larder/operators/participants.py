@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larder.functions.scalar import extract_names
 from larder.session import ensure_checkpoint_dir
@@ -66,7 +67,7 @@ def first_appearance_ids(
     firsts = (
         exploded.filter(F.col(name_col).isNotNull())
         .groupBy(name_col)
-        .agg(F.min(F.struct(*[F.col(c) for c in order_cols])).alias("_first"))
+        .agg(F.min(_appearance_key(exploded, order_cols)).alias("_first"))
     )
     ranked = (
         firsts.repartitionByRange(n, "_first")
@@ -90,6 +91,23 @@ def first_appearance_ids(
     )
 
 
+POSITION_SCALE = 10 ** 10  # list positions are ints (< 2^31 < 10^10)
+
+
+def _appearance_key(df: DataFrame, order_cols: tuple[str, ...]) -> Column:
+    """Sortable first-appearance key of (row order, list position).
+
+    With an integral row order the pair is packed into one ``decimal(38,0)``
+    (``row * 10^10 + position``, exact for any long row order), whose ``min``
+    runs in a hash aggregate; any other row-order type (e.g. the CSV reader's
+    (file, split, row) struct) falls back to ``min(struct)``, a sort aggregate.
+    """
+    row_col, pos_col = order_cols
+    if isinstance(df.schema[row_col].dataType, (T.LongType, T.IntegerType, T.ShortType)):
+        return F.col(row_col).cast("decimal(38,0)") * F.lit(POSITION_SCALE) + F.col(pos_col)
+    return F.struct(F.col(row_col), F.col(pos_col))
+
+
 def _run_date(as_of) -> Column:
     return F.current_date() if as_of is None else F.lit(as_of).cast("date")
 
