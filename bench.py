@@ -23,7 +23,7 @@ from larder.operators import profiling, quality  # noqa: E402
 from larder.plans import reports, views  # noqa: E402
 from larder.session import build_session  # noqa: E402
 from larder.sources import publish  # noqa: E402
-from larder.sources.tables import test_tables  # noqa: E402
+from larder.sources.tables import tables_from_test_data  # noqa: E402
 
 WARMUP_DIR = "/root/testdata/sf0.001"
 
@@ -56,7 +56,7 @@ def view_queries(p: dict, raw: dict) -> dict:
 
 def run_all(spark, sf_dir: str) -> dict[str, float]:
     times: dict[str, float] = {}
-    t = test_tables(spark, sf_dir)
+    t = tables_from_test_data(spark, sf_dir)
     t0 = time.perf_counter()
     publish.refresh(spark, t.as_dict())
     times["full_refresh"] = time.perf_counter() - t0

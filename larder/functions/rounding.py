@@ -6,8 +6,7 @@ becomes a double. ``AVG`` of integers keeps four decimals, as the original
 database does, and ``ROUND(AVG(x), 2)`` rounds that four-decimal value again.
 
 Arguments are the names of already-aggregated columns (a non-negative sum and a
-count). Sums are widened to ``decimal(38,0)`` before scaling, so ``2·10^d·sum``
-cannot overflow on very large tables; each quotient fits in a ``long``.
+count); the arithmetic is exact for any ``long`` sum and count.
 """
 
 from __future__ import annotations
@@ -17,10 +16,20 @@ from pyspark.sql import functions as F
 
 
 def _scaled(total: str, count: str, digits: int, factor: int = 1) -> str:
-    """SQL text of ``round_half_up(factor * total / count * 10^digits)`` as a long."""
-    twice_k = 2 * factor * 10 ** digits
+    """SQL text of ``round_half_up(factor * total / count * 10^digits)`` as ``decimal(38,0)``.
+
+    Split into quotient and remainder so no intermediate leaves its type:
+    ``q = S div N`` and ``r = S - q*N`` are exact, the rounded fraction
+    ``(2k*r + N) div 2N`` lies in ``[0, k]``, and the result ``q*k + fraction`` is
+    assembled in ``decimal(38,0)``.
+    """
+    k = 10 ** digits
+    big = f"(cast(`{total}` as decimal(38,0)) * {factor})"
     n = f"nullif(cast(`{count}` as bigint), 0)"
-    return f"((cast(`{total}` as decimal(38,0)) * {twice_k} + {n}) div (2 * {n}))"
+    q = f"({big} div {n})"
+    r = f"({big} - cast({q} as decimal(38,0)) * {n})"
+    frac = f"((2 * {k} * {r} + {n}) div (2 * {n}))"
+    return f"(cast({q} as decimal(38,0)) * {k} + {frac})"
 
 
 def avg_half_up(total: str, count: str, digits: int = 4) -> Column:

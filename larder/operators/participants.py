@@ -12,8 +12,9 @@ names into one task, so the ranking runs as a distributed zip-with-index:
    every row gets its in-partition index;
 3. the result is checkpointed to the shared checkpoint directory so the range
    bounds and indexes stay fixed if an executor is lost;
-4. a per-partition count (one row per partition) becomes a running offset, which
-   is broadcast (its size is the partition count) and added to the local index.
+4. the per-partition counts (one small row per partition, never the data) give
+   running offsets, which are broadcast (their size is the partition count) and
+   added to the local index.
 
 Names are then joined back to the exploded rows. That join is broadcast only
 when the number of distinct names is under ``broadcast_max_names``; otherwise it
@@ -22,7 +23,7 @@ is a shuffle join on the name, where AQE splits a skewed (hot) name.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,15 +78,17 @@ def first_appearance_ids(
         .select(name_col, "_pid", "_rid")
     )
     ranked = ranked.checkpoint(eager=True)
+    # one row per range partition (at most ``n`` rows): the partition sizes become
+    # running offsets, exactly as RDD.zipWithIndex does it
     sizes = ranked.groupBy("_pid").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_rid").alias("_rid0")
-    )
-    # window over one row per partition: bounded by the partition count
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_pid", "_rid0", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
-    )
-    return ranked.join(F.broadcast(offsets), "_pid").select(
+    ).collect()
+    offsets, running = [], 0
+    for row in sorted(sizes, key=lambda r: r["_pid"]):
+        offsets.append((row["_pid"], row["_rid0"], running))
+        running += row["_n"]
+    offsets_df = spark.createDataFrame(offsets, "_pid int, _rid0 long, _offset long")
+    return ranked.join(F.broadcast(offsets_df), "_pid").select(
         name_col,
         (F.col("_offset") + F.col("_rid") - F.col("_rid0") + F.lit(1)).alias("Customer_Id"),
     )

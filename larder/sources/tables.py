@@ -49,5 +49,5 @@ class Tables:
         return out
 
 
-def test_tables(spark: SparkSession, sf_dir: str, strict: bool = True, as_of=None) -> Tables:
+def tables_from_test_data(spark: SparkSession, sf_dir: str, strict: bool = True, as_of=None) -> Tables:
     return Tables(load_test_sources(spark, sf_dir), strict=strict, as_of=as_of)
