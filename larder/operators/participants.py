@@ -62,6 +62,17 @@ def first_appearance_ids(
     num_partitions: int | None = None,
 ) -> DataFrame:
     """(name, Customer_Id long): dense rank of each non-null name by first appearance."""
+    return ranked_names(exploded, name_col, order_cols, num_partitions)[0]
+
+
+def ranked_names(
+    exploded: DataFrame,
+    name_col: str = "Participant_Name",
+    order_cols: tuple[str, ...] = (ROW_ORDER, "Position"),
+    num_partitions: int | None = None,
+) -> tuple[DataFrame, int]:
+    """``first_appearance_ids`` plus the number of distinct names (known from the
+    partition sizes, so no extra job counts it)."""
     spark = exploded.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -88,10 +99,11 @@ def first_appearance_ids(
         offsets.append((row["_pid"], row["_rid0"], running))
         running += row["_n"]
     offsets_df = spark.createDataFrame(offsets, "_pid int, _rid0 long, _offset long")
-    return ranked.join(F.broadcast(offsets_df), "_pid").select(
+    ids = ranked.join(F.broadcast(offsets_df), "_pid").select(
         name_col,
         (F.col("_offset") + F.col("_rid") - F.col("_rid0") + F.lit(1)).alias("Customer_Id"),
     )
+    return ids, running
 
 
 POSITION_SCALE = 10 ** 10  # list positions are ints (< 2^31 < 10^10)
@@ -124,8 +136,7 @@ def customer_order(
     """Order-to-participant table: Order_Id, Participant_Name, Customer_Id (text),
     Last_Updated (run date, default today)."""
     exploded = explode_participants(invoice)
-    ids = first_appearance_ids(exploded, num_partitions=num_partitions)
-    distinct_names = ids.count()  # cheap: reads the checkpointed ranking
+    ids, distinct_names = ranked_names(exploded, num_partitions=num_partitions)
     if distinct_names <= broadcast_max_names:
         ids = F.broadcast(ids)
     joined = exploded.join(ids, "Participant_Name", "left")

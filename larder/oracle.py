@@ -362,6 +362,9 @@ EXTRA.update({
     "load_orders": 'SELECT Order_Id, Company_Id, Company_Name, "Date", Order_Value, Converted FROM leads',
     "load_invoice": 'SELECT Order_Id, "Date", Meal_Id, Company_Id, Date_of_Meal, Participants, Meal_Price, '
                     'Type_of_Meal, Part_of_Day, Number_of_Participants FROM invoice',
+    "invoice_year_pruned": 'SELECT Order_Id, "Date", Meal_Id, Company_Id, Date_of_Meal, Participants, Meal_Price, '
+                           'Type_of_Meal, Part_of_Day, Number_of_Participants, CAST(year("Date") AS INTEGER) AS Year '
+                           'FROM invoice WHERE year("Date") = 1998',
     "load_salesteam": "SELECT Sales_Rep, Sales_Rep_Id, Company_Name, Company_Id FROM salesteam",
     "load_customer_order": "SELECT Order_Id, Participant_Name, Customer_Id, Last_Updated FROM customer_order",
     "top_converted": f"SELECT * FROM ({_PERCENT}) ORDER BY Percent_Converted DESC, Company_Name LIMIT 5",

@@ -130,3 +130,14 @@ def list_tables(spark: SparkSession, database: str = DEFAULT_DATABASE) -> list[s
 def invoice_for_year(spark: SparkSession, year: int, database: str = DEFAULT_DATABASE) -> DataFrame:
     """Invoices of one year; the filter on the partition column prunes directories."""
     return spark.table(f"{database}.invoice").filter(F.col("Year") == year)
+
+
+def write_invoice_by_year(invoice: DataFrame, path: str, strict: bool = True) -> None:
+    """Write the invoice table as year-partitioned Parquet at ``path`` (overwrite)."""
+    df = with_year(conform(invoice, TARGET_SCHEMAS["invoice"], strict=strict))
+    df.write.mode("overwrite").partitionBy("Year").parquet(path)
+
+
+def read_invoice_year(spark: SparkSession, path: str, year: int) -> DataFrame:
+    """One year of a year-partitioned invoice directory; only that directory is listed and read."""
+    return spark.read.parquet(path).filter(F.col("Year") == year)
