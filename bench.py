@@ -23,7 +23,7 @@ from larder.operators import profiling, quality  # noqa: E402
 from larder.plans import reports, views  # noqa: E402
 from larder.session import build_session  # noqa: E402
 from larder.sources import publish  # noqa: E402
-from larder.sources.tables import tables_from_test_data  # noqa: E402
+from larder.sources.testdomain import load_test_sources  # noqa: E402
 
 WARMUP_DIR = "/root/testdata/sf0.001"
 
@@ -56,12 +56,12 @@ def view_queries(p: dict, raw: dict) -> dict:
 
 def run_all(spark, sf_dir: str) -> dict[str, float]:
     times: dict[str, float] = {}
-    t = tables_from_test_data(spark, sf_dir)
+    raw_sources = load_test_sources(spark, sf_dir)
     t0 = time.perf_counter()
-    publish.refresh(spark, t.as_dict())
+    publish.refresh_from_raw(spark, raw_sources)
     times["full_refresh"] = time.perf_counter() - t0
     p = publish.published(spark)
-    raw = t.raw.as_dict()
+    raw = raw_sources.as_dict()
     for name, q in view_queries(p, raw).items():
         t0 = time.perf_counter()
         q().write.format("noop").mode("overwrite").save()

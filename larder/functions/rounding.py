@@ -6,7 +6,10 @@ becomes a double. ``AVG`` of integers keeps four decimals, as the original
 database does, and ``ROUND(AVG(x), 2)`` rounds that four-decimal value again.
 
 Arguments are the names of already-aggregated columns (a non-negative sum and a
-count); the arithmetic is exact for any ``long`` sum and count.
+count); the arithmetic is exact for any ``long`` sum and count. The final double
+is the correctly rounded value while the scaled result is below 2^53 (averages
+up to about 9·10^11 at four decimals); beyond that the integer-to-double step
+rounds once more, the same way the SQL oracle does.
 """
 
 from __future__ import annotations

@@ -10,13 +10,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------
-# Text formats of the source files, the participant-name pattern
-# and the hour bands of the part-of-day buckets (inclusive hour ranges, the
-# last label takes every other hour and a missing time).
+# Text formats of the source files (day-month-year dates, ISO
+# meal timestamps; one- or two-digit fields accepted, as strptime does), the
+# participant-name pattern and the hour bands of the part-of-day buckets
+# (inclusive hour ranges, the last label takes every other hour and a missing
+# time).
 # ---------------------------------------------------------------------------
-INVOICE_DATE_FORMAT = "dd-MM-yyyy"
-MEAL_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
-LEAD_DATE_FORMAT = "yyyy-MM-dd"
+INVOICE_DATE_FORMAT = "d-M-yyyy"
+MEAL_TS_FORMAT = "yyyy-M-d H:m:s"
+LEAD_DATE_FORMAT = "yyyy-M-d"
 OFFSET_SEPARATOR = "+"
 NAME_PATTERN = "'(.*?)'"
 PART_OF_DAY_BANDS = [
@@ -87,8 +89,12 @@ def participant_count(c: str | Column) -> Column:
 
 
 def extract_names(c: str | Column) -> Column:
-    """All non-greedy ``'...'`` matches, group 1, in text order."""
-    return F.regexp_extract_all(_col(c), F.lit(NAME_PATTERN), 1)
+    """All non-greedy ``'...'`` matches, group 1, in text order.
+
+    ``(?d)`` makes ``\\n`` the only line terminator, so ``.`` also matches ``\\r``
+    and Unicode line separators, as Python's ``re`` does.
+    """
+    return F.regexp_extract_all(_col(c), F.lit("(?d)" + NAME_PATTERN), 1)
 
 
 def meal_order(c: str | Column) -> Column:

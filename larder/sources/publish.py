@@ -124,7 +124,8 @@ def published(spark: SparkSession, database: str = DEFAULT_DATABASE) -> dict[str
 
 
 def list_tables(spark: SparkSession, database: str = DEFAULT_DATABASE) -> list[str]:
-    return sorted(t.name for t in spark.catalog.listTables(database))
+    """Tables of the schema (session temp views, which the catalog also lists, excluded)."""
+    return sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)
 
 
 def invoice_for_year(spark: SparkSession, year: int, database: str = DEFAULT_DATABASE) -> DataFrame:
@@ -141,3 +142,38 @@ def write_invoice_by_year(invoice: DataFrame, path: str, strict: bool = True) ->
 def read_invoice_year(spark: SparkSession, path: str, year: int) -> DataFrame:
     """One year of a year-partitioned invoice directory; only that directory is listed and read."""
     return spark.read.parquet(path).filter(F.col("Year") == year)
+
+
+def refresh_from_raw(
+    spark: SparkSession,
+    raw,
+    database: str = DEFAULT_DATABASE,
+    root: str | None = None,
+    buckets: int | None = None,
+    strict: bool = True,
+    as_of=None,
+    lead_date_format: str | None = None,
+) -> DataFrame:
+    """The whole job: clean the raw frames, number the customers, refresh the tables.
+
+    The cleaned invoice feeds both its own write and the customer table, so it is
+    persisted (memory, spilling to disk) for the duration of the refresh; a lost
+    block is recomputed from lineage.
+    """
+    from pyspark import StorageLevel
+
+    from larder.operators.cleaning import clean_invoices, clean_leads, clean_salesteam
+    from larder.operators.participants import customer_order
+
+    invoice = clean_invoices(raw.invoices, strict=strict).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        leads_kw = {"date_format": lead_date_format} if lead_date_format else {}
+        tables = {
+            "orders": clean_leads(raw.leads, strict=strict, **leads_kw),
+            "invoice": invoice,
+            "salesteam": clean_salesteam(raw.salesteam),
+            "customer_order": customer_order(invoice, as_of=as_of),
+        }
+        return refresh(spark, tables, database=database, root=root, buckets=buckets, strict=strict)
+    finally:
+        invoice.unpersist()

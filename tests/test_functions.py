@@ -119,3 +119,17 @@ def test_rounding_large_sums_do_not_overflow(spark):
 def test_strip_offset(spark):
     df = spark.createDataFrame([("2016-05-31 07:00:00+02:00",), ("2016-05-31 07:00:00",)], "t string")
     assert [r[0] for r in df.select(scalar.strip_offset("t")).collect()] == ["2016-05-31 07:00:00"] * 2
+
+
+def test_name_regex_matches_python_line_terminators(spark):
+    import re
+
+    text = "['a\rb' 'c d' 'e\nf' 'g']"
+    df = spark.createDataFrame([(text,)], "p string")
+    assert df.select(scalar.extract_names("p")).first()[0] == re.findall(r"'(.*?)'", text)
+
+
+def test_single_digit_fields_parse(spark):
+    df = spark.createDataFrame([("1-5-2016", "2016-5-3 7:00:00+01:00", "2016-5-3")], "d string, t string, l string")
+    r = df.select(scalar.parse_invoice_date("d"), scalar.parse_meal_ts("t"), scalar.parse_lead_date("l")).first()
+    assert (r[0], r[1], r[2]) == (dt.date(2016, 5, 1), dt.datetime(2016, 5, 3, 7, 0), dt.date(2016, 5, 3))
