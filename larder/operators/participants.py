@@ -17,8 +17,9 @@ names into one task, so the ranking runs as a distributed zip-with-index:
    added to the local index.
 
 Names are then joined back to the exploded rows. That join is broadcast only
-when the number of distinct names is under ``broadcast_max_names``; otherwise it
-is a shuffle join on the name, where AQE splits a skewed (hot) name.
+when the counted names and their measured bytes are under the limits; otherwise
+it is a shuffle join on the name, where AQE splits a skewed (hot) name on the
+exploded side.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ from larder.session import ensure_checkpoint_dir
 from larder.sources.testdomain import ROW_ORDER
 
 DEFAULT_BROADCAST_MAX_NAMES = 1_000_000
+DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+ROW_OVERHEAD_BYTES = 32  # id, offsets and row header per name in the hashed relation
 
 
 def names_per_invoice(invoice: DataFrame) -> DataFrame:
@@ -70,9 +73,9 @@ def ranked_names(
     name_col: str = "Participant_Name",
     order_cols: tuple[str, ...] = (ROW_ORDER, "Position"),
     num_partitions: int | None = None,
-) -> tuple[DataFrame, int]:
-    """``first_appearance_ids`` plus the number of distinct names (known from the
-    partition sizes, so no extra job counts it)."""
+) -> tuple[DataFrame, int, int]:
+    """``first_appearance_ids`` plus the number of distinct names and their total
+    UTF-8 size (both from the per-partition summary, so no extra job)."""
     spark = exploded.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -92,18 +95,21 @@ def ranked_names(
     # one row per range partition (at most ``n`` rows): the partition sizes become
     # running offsets, exactly as RDD.zipWithIndex does it
     sizes = ranked.groupBy("_pid").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_rid").alias("_rid0")
+        F.count(F.lit(1)).alias("_n"),
+        F.min("_rid").alias("_rid0"),
+        F.sum(F.octet_length(name_col)).alias("_bytes"),
     ).collect()
-    offsets, running = [], 0
+    offsets, running, total_bytes = [], 0, 0
     for row in sorted(sizes, key=lambda r: r["_pid"]):
         offsets.append((row["_pid"], row["_rid0"], running))
         running += row["_n"]
+        total_bytes += row["_bytes"] or 0
     offsets_df = spark.createDataFrame(offsets, "_pid int, _rid0 long, _offset long")
     ids = ranked.join(F.broadcast(offsets_df), "_pid").select(
         name_col,
         (F.col("_offset") + F.col("_rid") - F.col("_rid0") + F.lit(1)).alias("Customer_Id"),
     )
-    return ids, running
+    return ids, running, total_bytes
 
 
 POSITION_SCALE = 10 ** 10  # list positions are ints (< 2^31 < 10^10)
@@ -131,13 +137,19 @@ def customer_order(
     invoice: DataFrame,
     as_of=None,
     broadcast_max_names: int = DEFAULT_BROADCAST_MAX_NAMES,
+    broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
     num_partitions: int | None = None,
 ) -> DataFrame:
     """Order-to-participant table: Order_Id, Participant_Name, Customer_Id (text),
-    Last_Updated (run date, default today)."""
+    Last_Updated (run date, default today).
+
+    The name→id table is broadcast only if both its row count and its measured
+    size (name bytes plus a per-row overhead) are under the limits.
+    """
     exploded = explode_participants(invoice)
-    ids, distinct_names = ranked_names(exploded, num_partitions=num_partitions)
-    if distinct_names <= broadcast_max_names:
+    ids, distinct_names, name_bytes = ranked_names(exploded, num_partitions=num_partitions)
+    approx_bytes = name_bytes + ROW_OVERHEAD_BYTES * distinct_names
+    if distinct_names <= broadcast_max_names and approx_bytes <= broadcast_max_bytes:
         ids = F.broadcast(ids)
     joined = exploded.join(ids, "Participant_Name", "left")
     return joined.select(

@@ -168,9 +168,10 @@ def customer_purchases(invoice: DataFrame, customer_order: DataFrame, salesteam:
     )
     # hash aggregate with fixed-width buffers (Part_of_Day is a key here, at most
     # six values); the smallest part of day is taken after the rows are reduced
+    # the name rows (the larger side) stream through the join; invoice rows buffer
     per_pod = (
-        invoice.select("Order_Id", "Type_of_Meal", "Part_of_Day", "Company_Id", "Meal_Price")
-        .join(customer_order.select("Order_Id", "Participant_Name"), "Order_Id")
+        customer_order.select("Order_Id", "Participant_Name")
+        .join(invoice.select("Order_Id", "Type_of_Meal", "Part_of_Day", "Company_Id", "Meal_Price"), "Order_Id")
         .groupBy("Participant_Name", "Type_of_Meal", "Company_Id", "Part_of_Day")
         .agg(
             F.count("Order_Id").alias("_cnt"),

@@ -49,3 +49,19 @@ def test_csv_sources_end_to_end(spark, scratch_dir):
         ("O3", "", "0"), ("O4", 'Hara" ', "3"),
     ])
     assert raw.leads.count() == 1 and raw.salesteam.count() == 1
+
+
+def test_job_runs_from_csv(spark, scratch_dir):
+    from larder import job
+
+    names = job.run(
+        spark,
+        _write(scratch_dir, "Invoices3.csv", INVOICES_CSV),
+        _write(scratch_dir, "OrderLeads3.csv", LEADS_CSV),
+        _write(scratch_dir, "SalesTeam3.csv", TEAM_CSV),
+        database="job_mart",
+        as_of="2024-01-02",
+    )
+    assert "customer_stats" in names
+    rows = spark.sql("SELECT customer_name, number_of_order FROM customer_stats").collect()
+    assert {r[0]: r[1] for r in rows}["David Bishop"] == 2

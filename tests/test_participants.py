@@ -73,3 +73,12 @@ def test_struct_row_order_path(spark):
     inv = spark.createDataFrame(data, schema)
     got = {(r[0], r[1], r[2]) for r in customer_order(inv).select("Order_Id", "Participant_Name", "Customer_Id").collect()}
     assert got == {("y", "A", "1"), ("y", "B", "2"), ("x", "B", "2"), ("z", "C", "3")}
+
+
+def test_shuffle_join_path_gives_same_ids(spark):
+    inv = clean_invoices(raw_sources(spark).invoices)
+    small = customer_order(inv, as_of="2024-01-02")
+    big = customer_order(inv, as_of="2024-01-02", broadcast_max_names=0)
+    assert sorted(map(str, small.collect())) == sorted(map(str, big.collect()))
+    big_bytes = customer_order(inv, as_of="2024-01-02", broadcast_max_bytes=10)
+    assert sorted(map(str, small.collect())) == sorted(map(str, big_bytes.collect()))
