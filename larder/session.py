@@ -16,7 +16,11 @@ def build_session(
     """Session with the settings the plans are written against.
 
     On a cluster leave ``master`` unset and size ``shuffle_partitions`` to the data
-    (AQE coalesces small partitions, so erring high is cheap).
+    (AQE coalesces small partitions towards
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``, so erring high is cheap;
+    for ~100 TB inputs a few tens of thousands is a reasonable start), and keep
+    ``spark.sql.files.maxPartitionBytes`` at its 128 MB default so scan tasks
+    fit executor memory.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -45,13 +49,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     (or set with ``setCheckpointDir``); a machine-local folder would not survive the
     loss of an executor, so outside local mode an unset directory is an error.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote (Connect) session: the server owns the setting
+        if configured:
+            return configured
+        raise RuntimeError("spark.checkpoint.dir is not set on the server session")
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured

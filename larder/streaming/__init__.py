@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The job this package re-expresses is a one-shot batch with a full refresh of
+its tables; it has no watermarks, windows over event time, state or late-data
+handling, so there is no streaming operator to provide. A recurring run is a
+scheduled batch of ``larder.job`` (each run republishes all four tables).
+"""

@@ -134,3 +134,16 @@ def test_previews(spark):
     assert [str(r["Date"]) for r in prev] == ["2016-05-27", "2016-10-03"]
     ranked = [r["Average_Meal_Price"] for r in reports.avg_meal_price_ranked(views.avg_meal_price(t.invoice)).collect()]
     assert ranked == sorted(ranked, reverse=True)
+
+
+def test_collation_option_groups_case_insensitively(spark):
+    from larder.operators.conform import with_collation
+
+    extra = (6, "O6", "06-01-2017", "M6", "C3", "2017-01-06 10:00:00+00:00", "['david bishop']", "10", "Lunch")
+    t = _t(spark, invoices=INVOICES + [extra])
+    binary = {r["customer_name"]: r["number_of_order"] for r in views.customer_stats(t.customer_order, t.invoice).collect()}
+    assert binary["David Bishop"] == 2 and binary["david bishop"] == 1
+    co, inv = with_collation(t.customer_order), with_collation(t.invoice)
+    folded = {r["customer_name"].lower() if r["customer_name"] else None: r["number_of_order"]
+              for r in views.customer_stats(co, inv).collect()}
+    assert folded["david bishop"] == 3
