@@ -59,9 +59,12 @@ def strip_offset(c: str | Column) -> Column:
 def parse_meal_ts(c: str | Column, strict: bool = True) -> Column:
     """``Date of Meal`` text to a wall-clock ``timestamp_ntz`` (offset dropped)."""
     text = strip_offset(c)
+    parsed = F.to_timestamp_ntz(text, F.lit(MEAL_TS_FORMAT))
     if strict:
-        return F.to_timestamp_ntz(text, F.lit(MEAL_TS_FORMAT))
-    return F.try_to_timestamp(text, F.lit(MEAL_TS_FORMAT)).cast("timestamp_ntz")
+        return parsed
+    # validity from the zoned parser (same pattern rules), value from the
+    # zone-free one, so a wall-clock time in a DST gap is never shifted
+    return F.when(F.try_to_timestamp(text, F.lit(MEAL_TS_FORMAT)).isNotNull(), parsed)
 
 
 def meal_hour(ts: str | Column) -> Column:

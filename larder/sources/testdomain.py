@@ -43,6 +43,18 @@ def _quoted_list(names_col: str) -> F.Column:
     return F.concat(F.lit("["), F.coalesce(F.array_join(quoted, " "), F.lit("")), F.lit("]"))
 
 
+def _ntz_text(ts: F.Column) -> F.Column:
+    """``yyyy-MM-dd HH:mm:ss`` text of a ``timestamp_ntz`` from its fields.
+
+    ``date_format`` would pass the value through the session time zone and move
+    a wall-clock time that falls in a daylight-saving gap.
+    """
+    return F.format_string(
+        "%04d-%02d-%02d %02d:%02d:%02d",
+        F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts), F.second(ts),
+    )
+
+
 def order_part_names(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """(l_orderkey, names): sorted distinct part names per order.
 
@@ -79,7 +91,7 @@ def raw_invoices(orders: DataFrame, customer: DataFrame, lineitem: DataFrame, pa
         F.date_format("o_orderdate", "dd-MM-yyyy").alias("Date"),
         F.concat(F.lit("M"), ok.cast("string")).alias("Meal Id"),
         F.col("c_nationkey").cast("string").alias("Company Id"),
-        F.concat(F.date_format(meal_ts, "yyyy-MM-dd HH:mm:ss"), F.lit("+02:00")).alias("Date of Meal"),
+        F.concat(_ntz_text(meal_ts), F.lit("+02:00")).alias("Date of Meal"),
         _quoted_list("names").alias("Participants"),
         F.floor(F.col("o_totalprice") / 100).cast("smallint").cast("string").alias("Meal Price"),
         meal_type.alias("Type of Meal"),

@@ -133,3 +133,26 @@ def test_single_digit_fields_parse(spark):
     df = spark.createDataFrame([("1-5-2016", "2016-5-3 7:00:00+01:00", "2016-5-3")], "d string, t string, l string")
     r = df.select(scalar.parse_invoice_date("d"), scalar.parse_meal_ts("t"), scalar.parse_lead_date("l")).first()
     assert (r[0], r[1], r[2]) == (dt.date(2016, 5, 1), dt.datetime(2016, 5, 3, 7, 0), dt.date(2016, 5, 3))
+
+
+def test_lenient_meal_ts_keeps_wall_clock_in_any_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([("2016-03-13 02:30:00+02:00",), ("not a time",)], "t string")
+        got = [r[0] for r in df.select(scalar.parse_meal_ts("t", strict=False)).collect()]
+        assert got == [dt.datetime(2016, 3, 13, 2, 30), None]  # 02:30 does not exist in that zone that day
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_test_domain_meal_text_is_zone_free(spark):
+    from larder.sources.testdomain import _ntz_text
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([(dt.datetime(2000, 4, 2, 2, 50),)], "t timestamp_ntz")
+        assert df.select(_ntz_text(F.col("t"))).first()[0] == "2000-04-02 02:50:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
