@@ -3,8 +3,8 @@
     python -m larder.job --invoices Invoices.csv --leads OrderLeads.csv \\
         --salesteam SalesTeam.csv --database larder_mart [--buckets 4096]
 
-Stages: read → profile → integrity checks → clean, number customers, refresh the
-four tables → register the views. Each stage logs its summary rows (small,
+Stages: read (staged once as Parquet) → profile → integrity checks → clean,
+number customers, refresh the four tables → register the views. Each stage logs its summary rows (small,
 bounded DataFrames) so a missing line shows where a run stopped.
 """
 
@@ -41,8 +41,8 @@ def run(
     fail_on_violations: bool = False,
 ) -> list[str]:
     ensure_checkpoint_dir(spark)
-    raw = load_csv_sources(spark, invoices, leads, salesteam)
-    log.info("sources read")
+    raw = publish.stage_sources(spark, load_csv_sources(spark, invoices, leads, salesteam))
+    log.info("sources read and staged")
     _log_rows("missing values", profiling.profile_nulls(raw.as_dict()))
     _log_rows("repeated rows", profiling.profile_duplicates(raw.as_dict()))
     lenient = Tables(raw, strict=False, as_of=as_of)

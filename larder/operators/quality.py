@@ -73,16 +73,22 @@ RAW_RANGES = {
 SUMMARY_COLUMNS = ["check_name", "table_name", "column_name", "violations"]
 
 
-def _summary(df: DataFrame, check_name: str, table_name: str, terms: dict[str, Column]) -> DataFrame:
-    """One pass over ``df``: ``count_if`` per term, unpivoted to summary rows."""
-    names = list(terms)
-    agg = df.agg(*[F.count_if(terms[n]).alias(f"_t{i}") for i, n in enumerate(names)])
+def _summary(df: DataFrame, check_name: str, table_name: str, terms: dict) -> DataFrame:
+    """One pass over ``df``: ``count_if`` per term, unpivoted to summary rows.
+
+    ``terms`` maps a column name, or a ``(check_name, column_name)`` pair when
+    one pass serves several checks, to its violation condition.
+    """
+    keys = [k if isinstance(k, tuple) else (check_name, k) for k in terms]
+    conds = list(terms.values())
+    agg = df.agg(*[F.count_if(c).alias(f"_t{i}") for i, c in enumerate(conds)])
     stacked = F.explode(
-        F.array(*[F.struct(F.lit(n).alias("column_name"), F.col(f"_t{i}").alias("violations"))
-                  for i, n in enumerate(names)])
+        F.array(*[F.struct(F.lit(chk).alias("check_name"), F.lit(col).alias("column_name"),
+                           F.col(f"_t{i}").alias("violations"))
+                  for i, (chk, col) in enumerate(keys)])
     ).alias("_r")
     return agg.select(stacked).select(
-        F.lit(check_name).alias("check_name"),
+        F.col("_r.check_name"),
         F.lit(table_name).alias("table_name"),
         F.col("_r.column_name"),
         F.col("_r.violations").cast("long").alias("violations"),
@@ -153,16 +159,13 @@ def check_domain(
 ) -> DataFrame:
     """Value domains of the invoice enums. ``domain`` uses the labels the cleaning
     produces; ``domain_declared`` audits the narrower declared set (no Evening)."""
-    inv = tables["invoice"]
-    parts = [_summary(inv, "domain", "invoice", {
-        "Type_of_Meal": _outside("Type_of_Meal", meal_types),
-        "Part_of_Day": _outside("Part_of_Day", part_labels),
-    })]
+    terms = {
+        ("domain", "Type_of_Meal"): _outside("Type_of_Meal", meal_types),
+        ("domain", "Part_of_Day"): _outside("Part_of_Day", part_labels),
+    }
     if declared_labels is not None:
-        parts.append(_summary(inv, "domain_declared", "invoice", {
-            "Part_of_Day": _outside("Part_of_Day", declared_labels),
-        }))
-    return _union(parts)
+        terms[("domain_declared", "Part_of_Day")] = _outside("Part_of_Day", declared_labels)
+    return _summary(tables["invoice"], "domain", "invoice", terms)
 
 
 def check_length(tables: dict[str, DataFrame]) -> DataFrame:
@@ -180,16 +183,16 @@ def _out_of_range(text: Column, lo: int, hi: int) -> Column:
 def check_range(raw: dict[str, DataFrame]) -> DataFrame:
     """Integer text that does not parse or does not fit the target integer type;
     includes the derived participant count (TINYINT)."""
-    parts = [
-        _summary(raw[t], "range", t, {c: _out_of_range(F.col(c), lo, hi) for c, (lo, hi) in cols.items()})
-        for t, cols in RAW_RANGES.items()
-    ]
     count = F.shiftright(quote_count("Participants"), 1)
     lo, hi = TINYINT_RANGE
-    parts.append(_summary(raw["invoices"], "range", "invoices", {
-        "Number_of_Participants": count.isNotNull() & ((count < lo) | (count > hi)),
-    }))
-    return _union(parts)
+    derived = {"invoices": {"Number_of_Participants": count.isNotNull() & ((count < lo) | (count > hi))}}
+    return _union([
+        _summary(raw[t], "range", t, {
+            **{c: _out_of_range(F.col(c), rlo, rhi) for c, (rlo, rhi) in cols.items()},
+            **derived.get(t, {}),
+        })
+        for t, cols in RAW_RANGES.items()
+    ])
 
 
 def check_participants(tables: dict[str, DataFrame]) -> DataFrame:

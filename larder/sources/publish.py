@@ -69,8 +69,10 @@ def write_table(
 ) -> Observation:
     """Overwrite one table at ``path`` (registered as ``table``); returns the row-count observation."""
     obs = Observation(f"audit_{table.replace('.', '_')}_{uuid.uuid4().hex[:8]}")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer_df = observed.repartition(buckets, BUCKET_KEY) if bucket else observed
+    staged = df.repartition(buckets, BUCKET_KEY) if bucket else df
+    # observed in the writing (result) stage: a re-run map stage after a lost
+    # executor cannot count its rows twice
+    writer_df = staged.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = writer_df.write.mode("overwrite").format("parquet").option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -177,3 +179,22 @@ def refresh_from_raw(
         return refresh(spark, tables, database=database, root=root, buckets=buckets, strict=strict)
     finally:
         invoice.unpersist()
+
+
+def stage_sources(spark: SparkSession, raw, root: str | None = None):
+    """Write the raw frames once as Parquet and return frames that read them back.
+
+    Profiling, the integrity checks and the load each pass over the sources; on
+    text inputs every pass would re-parse the files. The staged copy (in shared
+    storage: ``root`` or the checkpoint directory) is read column-pruned instead,
+    and it cuts the lineage, so a lost executor never re-reads the text.
+    """
+    from larder.session import ensure_checkpoint_dir
+    from larder.sources.testdomain import RawSources
+
+    base = (root or ensure_checkpoint_dir(spark)).rstrip("/") + f"/staged-sources-{uuid.uuid4().hex}"
+    frames = {}
+    for name, df in (("invoices", raw.invoices), ("leads", raw.leads), ("salesteam", raw.salesteam)):
+        df.write.mode("overwrite").parquet(f"{base}/{name}")
+        frames[name] = spark.read.parquet(f"{base}/{name}")
+    return RawSources(**frames)
