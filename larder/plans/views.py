@@ -159,15 +159,17 @@ def customer_purchases(invoice: DataFrame, customer_order: DataFrame, salesteam:
     """Per (participant name, meal type): purchases, total and average spent, with
     every rep of the invoice's company counted (fan-out of the original join).
 
-    The invoice-name rows are first aggregated per (name, meal, company); only
-    that result meets the per-company rep count, so the fan-out is a multiply,
-    not a row explosion.
+    The invoice-name rows are first hash-aggregated per (name, meal, company,
+    part of day), with fixed-width buffers and a map-side partial aggregate; only
+    that result meets the per-company rep table, so the fan-out is a multiply by
+    the rep count, not a row explosion, and no raw row is shuffled by company.
+    The smallest (part of day, company name) over those rows equals the smallest
+    over the fanned-out rows, because every rep row of a company pairs with the
+    same parts of day.
     """
     reps = salesteam.groupBy("Company_Id").agg(
         F.count(F.lit(1)).alias("_reps"), _min_nulls_first("Company_Name").alias("_cname")
     )
-    # hash aggregate with fixed-width buffers (Part_of_Day is a key here, at most
-    # six values); the smallest part of day is taken after the rows are reduced
     # the name rows (the larger side) stream through the join; invoice rows buffer
     per_pod = (
         customer_order.select("Order_Id", "Participant_Name")
@@ -179,15 +181,9 @@ def customer_purchases(invoice: DataFrame, customer_order: DataFrame, salesteam:
             F.count("Meal_Price").alias("_nprice"),
         )
     )
-    per_company = per_pod.groupBy("Participant_Name", "Type_of_Meal", "Company_Id").agg(
-        F.sum("_cnt").alias("_cnt"),
-        F.sum("_sum").alias("_sum"),
-        F.sum("_nprice").alias("_nprice"),
-        _min_nulls_first("Part_of_Day").alias("_pod"),
-    )
-    joined = per_company.join(reps, "Company_Id")
+    joined = per_pod.join(reps, "Company_Id")
     agg = joined.groupBy("Participant_Name", "Type_of_Meal").agg(
-        F.min(F.struct("_pod", "_cname")).alias("_loose"),
+        F.min(F.struct(F.col("Part_of_Day").alias("_pod"), "_cname")).alias("_loose"),
         F.sum(F.col("_cnt") * F.col("_reps")).alias("Number_of_Purchases"),
         F.sum(F.col("_sum") * F.col("_reps")).cast("long").alias("Total_Spent"),
         F.sum(F.col("_nprice") * F.col("_reps")).alias("_n"),
