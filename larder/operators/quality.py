@@ -203,3 +203,96 @@ def check_participants(tables: dict[str, DataFrame]) -> DataFrame:
         "odd_quotes": (quote_count("Participants") % 2) == 1,
         "count_vs_names": participant_count("Participants").cast("int") != F.size(extract_names("Participants")),
     })
+
+
+# ---------------------------------------------------------------------------
+# Row-level violations: which rows break which rule
+# ---------------------------------------------------------------------------
+ROW_KEYS = {
+    "orders": ["Order_Id", "Company_Id"],
+    "invoice": ["Order_Id"],
+    "salesteam": ["Sales_Rep_Id"],
+    "customer_order": ["Order_Id"],
+    "invoices": ["Order Id"],
+    "orderleads": ["Order Id", "Company Id"],
+}
+VIOLATION_COLUMNS = ["check_name", "table_name", "column_name", "row_key", "detail"]
+
+
+def _row_key(table: str) -> Column:
+    return F.concat_ws("|", *[F.col(c).cast("string") for c in ROW_KEYS[table]])
+
+
+def _failed_rules(df: DataFrame, table: str, rules: list[tuple[str, str, Column, Column]]) -> DataFrame:
+    """One narrow pass: each row carries the (check, column, detail) of every rule
+    it breaks; rows breaking none are dropped before anything is shuffled."""
+    failed = F.filter(
+        F.array(*[
+            F.when(cond, F.struct(F.lit(chk).alias("c"), F.lit(col).alias("k"), detail.cast("string").alias("d")))
+            for chk, col, cond, detail in rules
+        ]),
+        lambda x: x.isNotNull(),
+    )
+    return (
+        df.select(_row_key(table).alias("row_key"), failed.alias("_f"))
+        .filter(F.size("_f") > 0)
+        .select("row_key", F.explode("_f").alias("_v"))
+        .select(
+            F.col("_v.c").alias("check_name"),
+            F.lit(table).alias("table_name"),
+            F.col("_v.k").alias("column_name"),
+            "row_key",
+            F.col("_v.d").alias("detail"),
+        )
+    )
+
+
+def violation_rows(tables: dict[str, DataFrame], raw: dict[str, DataFrame]) -> DataFrame:
+    """Every violation as (check_name, table_name, column_name, row_key, detail).
+
+    Per-row rules (not null, domain, declared domain, length, integer range,
+    participant text) are evaluated in one pass per table. Repeated keys are
+    reported once per key value (detail: number of rows), orphan references once
+    per missing key value (detail: number of child rows); both come from
+    aggregated keys, so a hot key is a single row.
+    """
+    parts = []
+    per_table: dict[str, list] = {}
+    for t, cols in NOT_NULL.items():
+        per_table.setdefault(t, []).extend(
+            ("not_null", c, F.col(c).isNull(), F.lit(None)) for c in cols)
+    per_table.setdefault("invoice", []).extend([
+        ("domain", "Type_of_Meal", _outside("Type_of_Meal", MEAL_TYPES), F.col("Type_of_Meal")),
+        ("domain", "Part_of_Day", _outside("Part_of_Day", PART_OF_DAY_LABELS), F.col("Part_of_Day")),
+        ("domain_declared", "Part_of_Day", _outside("Part_of_Day", PART_OF_DAY_DECLARED), F.col("Part_of_Day")),
+        ("participants", "odd_quotes", (quote_count("Participants") % 2) == 1, quote_count("Participants")),
+        ("participants", "count_vs_names",
+         participant_count("Participants").cast("int") != F.size(extract_names("Participants")),
+         F.size(extract_names("Participants"))),
+    ])
+    for t, cols in MAX_LENGTHS.items():
+        per_table.setdefault(t, []).extend(
+            ("length", c, F.length(c) > n, F.length(c)) for c, n in cols.items())
+    for t, rules in per_table.items():
+        parts.append(_failed_rules(tables[t], t, rules))
+    for t, cols in RAW_RANGES.items():
+        parts.append(_failed_rules(raw[t], t, [
+            ("range", c, _out_of_range(F.col(c), lo, hi), F.col(c)) for c, (lo, hi) in cols.items()
+        ]))
+    for check, keysets in (("primary_key", PRIMARY_KEYS), ("unique", UNIQUE_KEYS)):
+        for t, keys in keysets.items():
+            dup = tables[t].groupBy(*keys).count().filter(F.col("count") > 1)
+            parts.append(dup.select(
+                F.lit(check).alias("check_name"), F.lit(t).alias("table_name"),
+                F.lit(",".join(keys)).alias("column_name"),
+                F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("row_key"),
+                F.col("count").cast("string").alias("detail"),
+            ))
+    for child, ck, parent, pk in FOREIGN_KEYS:
+        parts.append(orphan_rows(tables[child], ck, tables[parent], pk).select(
+            F.lit("foreign_key").alias("check_name"), F.lit(child).alias("table_name"),
+            F.lit(f"{ck} -> {parent}.{pk}").alias("column_name"),
+            F.col("_k").cast("string").alias("row_key"),
+            F.col("count").cast("string").alias("detail"),
+        ))
+    return _union(parts)

@@ -344,6 +344,65 @@ def _checks() -> dict[str, str]:
     }
 
 
+def _violation_rows() -> str:
+    from larder.operators import quality as Q
+    from larder.sources.schemas import MEAL_TYPES, PART_OF_DAY_DECLARED, PART_OF_DAY_LABELS
+
+    def inlist(vals):
+        return ", ".join(f"'{v}'" for v in vals)
+
+    def key(table):
+        mapping = dict(_RAW[table][1]) if table in ("invoices", "orderleads") else {}
+        cols = [mapping.get(c, c) for c in Q.ROW_KEYS[table]]
+        return "concat_ws('|', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in cols) + ")"
+
+    def rule(check, table, column, cond, detail="NULL"):
+        cte = _CLEAN.get(table) or _RAW[table][0]
+        return (f"SELECT '{check}' AS check_name, '{table}' AS table_name, '{column}' AS column_name, "
+                f"{key(table)} AS row_key, CAST({detail} AS VARCHAR) AS detail FROM {cte} WHERE {cond}")
+
+    qc = "(length(Participants) - length(replace(Participants, '''', '')))"
+    names = "len(regexp_extract_all(Participants, '''(.*?)''', 1))"
+    parts = []
+    for t, cols in Q.NOT_NULL.items():
+        parts += [rule("not_null", t, c, f'"{c}" IS NULL') for c in cols]
+    parts += [
+        rule("domain", "invoice", "Type_of_Meal",
+             f"Type_of_Meal IS NOT NULL AND Type_of_Meal NOT IN ({inlist(MEAL_TYPES)})", "Type_of_Meal"),
+        rule("domain", "invoice", "Part_of_Day",
+             f"Part_of_Day IS NOT NULL AND Part_of_Day NOT IN ({inlist(PART_OF_DAY_LABELS)})", "Part_of_Day"),
+        rule("domain_declared", "invoice", "Part_of_Day",
+             f"Part_of_Day IS NOT NULL AND Part_of_Day NOT IN ({inlist(PART_OF_DAY_DECLARED)})", "Part_of_Day"),
+        rule("participants", "invoice", "odd_quotes", f"{qc} % 2 = 1", qc),
+        rule("participants", "invoice", "count_vs_names", f"{qc} // 2 <> {names}", names),
+    ]
+    for t, cols in Q.MAX_LENGTHS.items():
+        parts += [rule("length", t, c, f"length({c}) > {n}", f"length({c})") for c, n in cols.items()]
+    for t, cols in Q.RAW_RANGES.items():
+        col_of = dict(_RAW[t][1])
+        for c, (lo, hi) in cols.items():
+            v = col_of[c]
+            parts.append(rule("range", t, c, f"{v} IS NOT NULL AND (TRY_CAST({v} AS BIGINT) IS NULL "
+                                             f"OR TRY_CAST({v} AS BIGINT) < {lo} OR TRY_CAST({v} AS BIGINT) > {hi})", v))
+    for check, keysets in (("primary_key", Q.PRIMARY_KEYS), ("unique", Q.UNIQUE_KEYS)):
+        for t, keys in keysets.items():
+            cols = ", ".join(f'"{k}"' for k in keys)
+            row_key = "concat_ws('|', " + ", ".join(f'CAST("{k}" AS VARCHAR)' for k in keys) + ")"
+            parts.append(
+                f"SELECT '{check}' AS check_name, '{t}' AS table_name, '{','.join(keys)}' AS column_name, "
+                f"{row_key} AS row_key, CAST(COUNT(*) AS VARCHAR) AS detail "
+                f"FROM {_CLEAN[t]} GROUP BY {cols} HAVING COUNT(*) > 1"
+            )
+    for child, ck, parent, pk in Q.FOREIGN_KEYS:
+        parts.append(
+            f"SELECT 'foreign_key' AS check_name, '{child}' AS table_name, '{ck} -> {parent}.{pk}' AS column_name, "
+            f"CAST(c.{ck} AS VARCHAR) AS row_key, CAST(COUNT(*) AS VARCHAR) AS detail FROM {_CLEAN[child]} c "
+            f"WHERE c.{ck} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {_CLEAN[parent]} p WHERE p.{pk} = c.{ck}) "
+            f"GROUP BY c.{ck}"
+        )
+    return _union_all(parts)
+
+
 _PERCENT = VIEWS["percent_converted"]
 _DIFF = VIEWS["difference_days"]
 
@@ -373,6 +432,7 @@ EXTRA.update({
     "profile_nulls": _profile_nulls(),
     "profile_duplicates": _profile_duplicates(),
     **_checks(),
+    "integrity_violations": _violation_rows(),
     "load_audit": _union_all(
         [f"SELECT 'extract' AS stage, '{t}' AS table_name, COUNT(*) AS row_count FROM {cte}"
          for t, (cte, _) in _RAW.items()]

@@ -71,3 +71,17 @@ def test_profiling(spark):
     assert len(nulls) == 8 + 6 + 4
     types = profiling.profile_types(raw)
     assert ("invoices", "Meal Price", "string") in types
+
+
+def test_violation_rows_name_the_offending_rows(spark):
+    t = _bad_tables(spark)
+    rows = {(r["check_name"], r["table_name"], r["column_name"], r["row_key"], r["detail"])
+            for r in quality.violation_rows(t.as_dict(), t.raw.as_dict()).collect()}
+    assert ("unique", "invoice", "Order_Id", "O1", "2") in rows
+    assert ("foreign_key", "invoice", "Order_Id -> orders.Order_Id", "O9", "1") in rows
+    assert ("foreign_key", "salesteam", "Company_Id -> orders.Company_Id", "C7", "1") in rows
+    assert ("domain", "invoice", "Type_of_Meal", "O9", "Brunch") in rows
+    assert ("domain_declared", "invoice", "Part_of_Day", "O2", "Evening") in rows
+    assert ("range", "invoices", "Meal Price", "O9", "40000") in rows
+    assert ("length", "invoice", "Participants", "O9", "304") in rows
+    assert ("participants", "invoice", "odd_quotes", "O1", "3") in rows
