@@ -56,6 +56,7 @@ def view_queries(p: dict, raw: dict) -> dict:
         "check_domain": lambda: quality.check_domain(p),
         "check_length": lambda: quality.check_length(p),
         "check_range": lambda: quality.check_range(raw),
+        "integrity_violations": lambda: quality.violation_rows(p, raw),
     }
 
 
