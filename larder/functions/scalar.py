@@ -86,9 +86,14 @@ def quote_count(c: str | Column) -> Column:
     return F.regexp_count(_col(c), F.lit("'"))
 
 
-def participant_count(c: str | Column) -> Column:
-    """Quote characters divided by two, truncated (an odd count rounds down)."""
-    return F.shiftright(quote_count(c), 1).cast("tinyint")
+def participant_count(c: str | Column, strict: bool = True) -> Column:
+    """Quote characters divided by two, truncated (an odd count rounds down).
+
+    The target column is a TINYINT: over 127 raises under ``strict`` (ANSI cast),
+    otherwise gives null (and ``check_range`` reports it).
+    """
+    half = F.shiftright(quote_count(c), 1)
+    return half.cast("tinyint") if strict else half.try_cast("tinyint")
 
 
 def extract_names(c: str | Column) -> Column:

@@ -51,7 +51,7 @@ def clean_invoices(raw: DataFrame, strict: bool = True) -> DataFrame:
         _cast("Meal_Price", "smallint", strict).alias("Meal_Price"),
         F.col("Type_of_Meal"),
         part_of_day(meal_ts).alias("Part_of_Day"),
-        participant_count("Participants").alias("Number_of_Participants"),
+        participant_count("Participants", strict).alias("Number_of_Participants"),
     )
 
 

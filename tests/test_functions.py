@@ -156,3 +156,11 @@ def test_test_domain_meal_text_is_zone_free(spark):
         assert df.select(_ntz_text(F.col("t"))).first()[0] == "2000-04-02 02:50:00"
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_participant_count_overflow(spark):
+    text = "[" + " ".join(f"'n{i}'" for i in range(130)) + "]"
+    df = spark.createDataFrame([(text,)], "p string")
+    assert df.select(scalar.participant_count("p", strict=False)).first()[0] is None
+    with pytest.raises(Exception):
+        df.select(scalar.participant_count("p")).collect()
