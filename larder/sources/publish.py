@@ -110,10 +110,16 @@ def refresh(
             df, stage_name, f"{base}/{name}", n, partition_by=parts, bucket=name in BUCKETED
         )
         staged[name] = stage_name
-    # every write succeeded: swap the catalog entries (external tables, no data move)
+    # every write succeeded: swap the catalog entries (external tables, so renames
+    # and drops never move or delete data). The previous table is kept under a
+    # side name until its replacement is in place.
     for name, stage_name in staged.items():
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
-        spark.sql(f"ALTER TABLE {stage_name} RENAME TO {database}.{name}")
+        live, previous = f"{database}.{name}", f"{database}.{name}__previous"
+        spark.sql(f"DROP TABLE IF EXISTS {previous}")
+        if spark.catalog.tableExists(live):
+            spark.sql(f"ALTER TABLE {live} RENAME TO {previous}")
+        spark.sql(f"ALTER TABLE {stage_name} RENAME TO {live}")
+        spark.sql(f"DROP TABLE IF EXISTS {previous}")
     rows = [("load", name, int(observations[name].get["rows"])) for name in LOAD_ORDER]
     return spark.createDataFrame(rows, "stage string, table_name string, row_count long")
 
