@@ -65,3 +65,20 @@ def test_job_runs_from_csv(spark, scratch_dir):
     assert "customer_stats" in names
     rows = spark.sql("SELECT customer_name, number_of_order FROM customer_stats").collect()
     assert {r[0]: r[1] for r in rows}["David Bishop"] == 2
+
+
+def test_job_can_refuse_to_publish_on_violations(spark, scratch_dir):
+    import pytest
+
+    from larder import job
+
+    with pytest.raises(RuntimeError, match="violations"):
+        job.run(
+            spark,
+            _write(scratch_dir, "Invoices4.csv", INVOICES_CSV),  # O4 has an odd quote count
+            _write(scratch_dir, "OrderLeads4.csv", LEADS_CSV),
+            _write(scratch_dir, "SalesTeam4.csv", TEAM_CSV),
+            database="job_mart_strict",
+            as_of="2024-01-02",
+            fail_on_violations=True,
+        )
