@@ -82,3 +82,10 @@ def test_shuffle_join_path_gives_same_ids(spark):
     assert sorted(map(str, small.collect())) == sorted(map(str, big.collect()))
     big_bytes = customer_order(inv, as_of="2024-01-02", broadcast_max_bytes=10)
     assert sorted(map(str, small.collect())) == sorted(map(str, big_bytes.collect()))
+
+
+def test_no_names_at_all(spark):
+    schema = "_row_order long, Order_Id string, Participants string"
+    inv = spark.createDataFrame([(1, "a", "[]"), (2, "b", None)], schema)
+    got = sorted((r[0], r[1], r[2]) for r in customer_order(inv).select("Order_Id", "Participant_Name", "Customer_Id").collect())
+    assert got == [("a", None, "0"), ("b", None, "0")]
