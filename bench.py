@@ -8,7 +8,9 @@ the staged sources.
 Prints one JSON line:
 {"metric": "total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 
-Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
+Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
+BENCH_EVENT_LOG (optional directory: write a Spark event log there, then read
+it with tools/stage_times.py).
 A short untimed warm-up at sf0.001 runs first so JVM start-up and code
 generation are not billed to the first query.
 """
@@ -81,15 +83,14 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     scratch = tempfile.mkdtemp(prefix="larder-bench-")
-    spark = build_session(
-        f"local[{cpus}]",
-        shuffle_partitions=cpus,
-        extra={
-            "spark.sql.warehouse.dir": f"{scratch}/warehouse",
-            "spark.ui.showConsoleProgress": "false",
-            "spark.driver.memory": "8g",
-        },
-    )
+    extra = {
+        "spark.sql.warehouse.dir": f"{scratch}/warehouse",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.driver.memory": "8g",
+    }
+    if os.environ.get("BENCH_EVENT_LOG"):
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]})
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus, extra=extra)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(f"{scratch}/checkpoints")
     if os.path.isdir(WARMUP_DIR) and sf_dir != WARMUP_DIR:
