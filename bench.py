@@ -64,15 +64,19 @@ def view_queries(p: dict, raw: dict) -> dict:
 
 def run_all(spark, sf_dir: str) -> dict[str, float]:
     times: dict[str, float] = {}
+    sc = spark.sparkContext
+    sc.setJobDescription(f"stage_sources {sf_dir}")
     t0 = time.perf_counter()
     raw_sources = publish.stage_sources(spark, load_test_sources(spark, sf_dir))
     times["stage_sources"] = time.perf_counter() - t0
+    sc.setJobDescription(f"full_refresh {sf_dir}")
     t0 = time.perf_counter()
     publish.refresh_from_raw(spark, raw_sources)
     times["full_refresh"] = time.perf_counter() - t0
     p = publish.published(spark)
     raw = raw_sources.as_dict()
     for name, q in view_queries(p, raw).items():
+        sc.setJobDescription(f"{name} {sf_dir}")
         t0 = time.perf_counter()
         q().write.format("noop").mode("overwrite").save()
         times[name] = time.perf_counter() - t0
