@@ -12,8 +12,9 @@ Layout choices for large data:
 * ``invoice``, ``orders`` and ``customer_order`` are bucketed and sorted by
   ``Order_Id`` into the same number of buckets, so the views' joins on
   ``Order_Id`` read co-partitioned buckets and need no shuffle; each table is
-  repartitioned by the bucket key first, so every task writes one file per
-  bucket (not tasks × buckets files);
+  first repartitioned by the bucket key into the bucket count (the same hash
+  Spark buckets with), so each write task holds exactly one bucket and writes
+  one file for it (per year for ``invoice``), not one file per bucket per task;
 * row counts are collected with ``observe`` while writing: the audit costs no
   extra scan.
 """
