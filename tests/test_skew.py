@@ -10,10 +10,9 @@ import random
 
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.operators.participants import customer_order, explode_participants, first_appearance_ids
+from larder.operators.participants import customer_order, explode_participants
 from larder.sources.testdomain import ROW_ORDER
 
 SKEW_CONF = {
