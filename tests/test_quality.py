@@ -85,3 +85,12 @@ def test_violation_rows_name_the_offending_rows(spark):
     assert ("range", "invoices", "Meal Price", "O9", "40000") in rows
     assert ("length", "invoice", "Participants", "O9", "304") in rows
     assert ("participants", "invoice", "odd_quotes", "O1", "3") in rows
+
+
+def test_range_counts_participant_overflow_on_raw_text(spark):
+    many = "[" + " ".join(f"'n{i}'" for i in range(130)) + "]"
+    invoices = INVOICES + [(8, "O8", "01-02-2017", "M8", "C1", "2017-02-01 10:00:00+00:00", many, "10", "Lunch")]
+    t = Tables(raw_sources(spark, invoices=invoices), strict=False)
+    rng = _counts(quality.check_range(t.raw.as_dict()))
+    assert rng[("range", "invoices", "Number_of_Participants")] == 1
+    assert t.invoice.filter("Order_Id = 'O8'").first()["Number_of_Participants"] is None
