@@ -66,8 +66,14 @@ def _monthly_by_meal(leads: DataFrame, invoice: DataFrame) -> DataFrame:
 
 def _monthly(leads: DataFrame, invoice: DataFrame) -> DataFrame:
     """Roll the per-meal aggregate up to (company, year, month); the smallest meal
-    type is picked from the already-small per-meal rows."""
-    return _monthly_by_meal(leads, invoice).groupBy("company_name", "year", "month_no").agg(
+    type is picked from the already-small per-meal rows.
+
+    The per-meal rows (at most a few dozen per company and year) are partitioned
+    once by (company, year): that partitioning serves this roll-up and both
+    windows, so no further exchange is planned before the final ordering.
+    """
+    by_meal = _monthly_by_meal(leads, invoice).repartition("company_name", "year")
+    return by_meal.groupBy("company_name", "year", "month_no").agg(
         F.min("meal_typ_sale").alias("meal_typ_sale"),
         F.sum("monthly_total").cast("long").alias("monthly_total"),
         F.sum("_n").alias("_n"),
