@@ -61,3 +61,22 @@ def test_stage_counts(spark):
     t = Tables(raw_sources(spark), as_of="2024-01-02")
     got = {(r["stage"], r["table_name"]): r["row_count"] for r in publish.stage_counts(t.raw.as_dict(), t.as_dict()).collect()}
     assert got[("extract", "invoices")] == 5 and got[("load", "customer_order")] == 7
+
+
+def test_key_checks_on_bucketed_tables_need_no_shuffle(spark):
+    from larder.operators import quality
+
+    t = Tables(raw_sources(spark), as_of="2024-01-02")
+    publish.refresh(spark, t.as_dict(), database="t_mart4")
+    p = publish.published(spark, "t_mart4")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        checks = [
+            quality.orphan_rows(p["invoice"], "Order_Id", p["orders"], "Order_Id"),
+            quality.orphan_rows(p["customer_order"], "Order_Id", p["orders"], "Order_Id"),
+            p["invoice"].groupBy("Order_Id", "Date").count(),
+        ]
+        for df in checks:
+            assert "Exchange" not in _plan(df, "simple")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
