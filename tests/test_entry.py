@@ -45,3 +45,12 @@ def test_query_matches_oracle(spark, duck, key):
     assert got.num_rows == want.num_rows
     assert _types(got) == _types(want)
     assert _digest(got)[0] == _digest(want)[0]
+
+
+def test_entry_schema_is_stable_across_scale_factors(spark):
+    from larder.plans import views
+    from larder.sources.tables import tables_from_test_data
+
+    small = E.entry(spark).schema
+    t = tables_from_test_data(spark, "/root/testdata/sf0.01")
+    assert views.company_metrics(t.leads, t.invoice).schema == small

@@ -56,3 +56,27 @@ def test_registered_views_are_queryable(spark):
     assert len(names) == 11
     got = spark.sql("SELECT Year, Total_Invoices FROM fx_sales_by_year ORDER BY Year").collect()
     assert [(r[0], r[1]) for r in got] == [(2016, 3), (2017, 2)]
+
+
+def _python_part_of_day(hour):
+    # the rule as plain Python, for the brute-force comparison
+    if 5 <= hour <= 8:
+        return "Early Morning"
+    if 8 < hour <= 12:
+        return "Late Morning"
+    if 12 < hour <= 15:
+        return "Early Afternoon"
+    if 15 < hour <= 19:
+        return "Evening"
+    if 19 < hour <= 23:
+        return "Night"
+    return "Late Night"
+
+
+def test_part_of_day_every_hour_matches_python(spark):
+    import datetime as dt
+
+    rows = [(dt.datetime(2020, 1, 1, h, m),) for h in range(24) for m in (0, 59)]
+    df = spark.createDataFrame(rows, "t timestamp_ntz")
+    got = [r[0] for r in df.select(scalar.part_of_day("t")).collect()]
+    assert got == [_python_part_of_day(t.hour) for (t,) in rows]
