@@ -58,19 +58,14 @@ def test_registered_views_are_queryable(spark):
     assert [(r[0], r[1]) for r in got] == [(2016, 3), (2017, 2)]
 
 
-def _python_part_of_day(hour):
-    # the rule as plain Python, for the brute-force comparison
-    if 5 <= hour <= 8:
-        return "Early Morning"
-    if 8 < hour <= 12:
-        return "Late Morning"
-    if 12 < hour <= 15:
-        return "Early Afternoon"
-    if 15 < hour <= 19:
-        return "Evening"
-    if 19 < hour <= 23:
-        return "Night"
-    return "Late Night"
+# hour -> label table (24 entries), filled range by range, as an independent
+# statement of the bands to compare the column expression against
+HOUR_LABELS = ["Late Night"] * 24
+for _label, _hours in (("Early Morning", range(5, 9)), ("Late Morning", range(9, 13)),
+                       ("Early Afternoon", range(13, 16)), ("Evening", range(16, 20)),
+                       ("Night", range(20, 24))):
+    for _h in _hours:
+        HOUR_LABELS[_h] = _label
 
 
 def test_part_of_day_every_hour_matches_python(spark):
@@ -79,4 +74,4 @@ def test_part_of_day_every_hour_matches_python(spark):
     rows = [(dt.datetime(2020, 1, 1, h, m),) for h in range(24) for m in (0, 59)]
     df = spark.createDataFrame(rows, "t timestamp_ntz")
     got = [r[0] for r in df.select(scalar.part_of_day("t")).collect()]
-    assert got == [_python_part_of_day(t.hour) for (t,) in rows]
+    assert got == [HOUR_LABELS[t.hour] for (t,) in rows]
