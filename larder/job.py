@@ -16,7 +16,7 @@ import logging
 from pyspark.sql import SparkSession
 
 from larder.operators import profiling, quality
-from larder.plans.catalog import register_views
+from larder.plans.catalog import publish_views, register_views
 from larder.session import build_session, ensure_checkpoint_dir
 from larder.sources import publish
 from larder.sources.csv import load_csv_sources
@@ -39,6 +39,7 @@ def run(
     lead_date_format: str | None = None,
     as_of: str | None = None,
     fail_on_violations: bool = False,
+    materialize_views: bool = False,
 ) -> list[str]:
     ensure_checkpoint_dir(spark)
     raw = publish.stage_sources(spark, load_csv_sources(spark, invoices, leads, salesteam))
@@ -65,8 +66,11 @@ def run(
         spark, raw, database=database, buckets=buckets, as_of=as_of, lead_date_format=lead_date_format
     )
     _log_rows("loaded", audit)
-    names = register_views(spark, publish.published(spark, database))
+    published = publish.published(spark, database)
+    names = register_views(spark, published)
     log.info("views registered: %s", ", ".join(names))
+    if materialize_views:
+        log.info("view tables written: %s", ", ".join(publish_views(spark, published, database)))
     return names
 
 
@@ -80,11 +84,13 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--lead-date-format")
     ap.add_argument("--as-of")
     ap.add_argument("--fail-on-violations", action="store_true")
+    ap.add_argument("--materialize-views", action="store_true",
+                    help="also write each view's result as a table in the database")
     args = ap.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
     spark = build_session()
     run(spark, args.invoices, args.leads, args.salesteam, args.database, args.buckets,
-        args.lead_date_format, args.as_of, args.fail_on_violations)
+        args.lead_date_format, args.as_of, args.fail_on_violations, args.materialize_views)
 
 
 if __name__ == "__main__":

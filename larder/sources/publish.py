@@ -49,7 +49,8 @@ def stage_counts(raw: dict[str, DataFrame], tables: dict[str, DataFrame]) -> Dat
     return reduce(DataFrame.unionByName, parts)
 
 
-def _location(spark: SparkSession, database: str, root: str | None) -> str:
+def table_root(spark: SparkSession, database: str, root: str | None) -> str:
+    """Directory the database's run folders go to: ``root``, else under the warehouse."""
     if root:
         return root.rstrip("/")
     warehouse = spark.conf.get("spark.sql.warehouse.dir")
@@ -97,7 +98,7 @@ def refresh(
     """
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     run = f"run={time.strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}"
-    base = f"{_location(spark, database, root)}/{run}"
+    base = f"{table_root(spark, database, root)}/{run}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     staged, observations = {}, {}
     for name in LOAD_ORDER:

@@ -80,3 +80,14 @@ def test_key_checks_on_bucketed_tables_need_no_shuffle(spark):
             assert "Exchange" not in _plan(df, "simple")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_view_results_published_as_tables(spark):
+    from larder.plans.catalog import publish_views
+
+    t = Tables(raw_sources(spark), as_of="2024-01-02")
+    publish.refresh(spark, t.as_dict(), database="t_mart5")
+    names = publish_views(spark, publish.published(spark, "t_mart5"), "t_mart5", ["sales_by_year", "customer_stats"])
+    assert names == ["t_mart5.sales_by_year", "t_mart5.customer_stats"]
+    got = {r["Year"]: r["Total_Invoices"] for r in spark.table("t_mart5.sales_by_year").collect()}
+    assert got == {2016: 3, 2017: 2}
