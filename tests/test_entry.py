@@ -54,3 +54,22 @@ def test_entry_schema_is_stable_across_scale_factors(spark):
     small = E.entry(spark).schema
     t = tables_from_test_data(spark, "/root/testdata/sf0.01")
     assert views.company_metrics(t.leads, t.invoice).schema == small
+
+
+@pytest.mark.parametrize("key", ["strip_offset", "parse_meal_ts", "part_of_day", "difference_days"])
+def test_meal_times_match_oracle_under_a_dst_zone(spark, key):
+    # sf0.01 holds a meal time (order 7310) inside a US daylight-saving gap
+    sf = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    for t in TEST_TABLES:
+        path = f"{sf}/{t}.parquet"
+        if os.path.exists(path):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        got = E.queries()[key](spark, sf).toArrow()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    want = con.sql(E.oracle_sql()[key]).to_arrow_table()
+    assert _digest(got)[0] == _digest(want)[0]
