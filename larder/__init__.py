@@ -7,8 +7,9 @@ sources/    raw-table builders (CSV scan, test-table domain), schemas, publishin
 functions/  column expressions (date parsing, part of day, participant count, rounding)
 operators/  DataFrame-to-DataFrame steps (cleaning, participant explode and ids,
             profiling, integrity checks, size-checked joins)
-plans/      the reporting views and their previews
-streaming/  intentionally empty: the reference is a one-shot batch job
+plans/      the reporting views, their previews and their registration by name
+streaming/  intentionally empty: the source job is a one-shot batch
+job         the whole batch job from three CSV paths (``python -m larder``)
 """
 
 from larder.session import build_session, ensure_checkpoint_dir
