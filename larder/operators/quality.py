@@ -125,17 +125,31 @@ def check_unique_order(tables: dict[str, DataFrame]) -> DataFrame:
     return _union([_repeated_key_rows(tables[t], k, "unique", t) for t, k in UNIQUE_KEYS.items()])
 
 
-def orphan_rows(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
+def _parent_keys(parent: DataFrame, parent_key: str) -> DataFrame:
+    return parent.select(F.col(parent_key).alias("_k")).distinct()
+
+
+def orphan_rows(
+    child: DataFrame, child_key: str, parent: DataFrame, parent_key: str, parent_keys: DataFrame | None = None
+) -> DataFrame:
     """(key, count) of non-null child keys missing from the parent."""
     child_keys = child.filter(F.col(child_key).isNotNull()).groupBy(F.col(child_key).alias("_k")).count()
-    parent_keys = parent.select(F.col(parent_key).alias("_k")).distinct()
-    return child_keys.join(parent_keys, "_k", "left_anti")
+    keys = parent_keys if parent_keys is not None else _parent_keys(parent, parent_key)
+    return child_keys.join(keys, "_k", "left_anti")
+
+
+def _fk_orphans(tables: dict[str, DataFrame]):
+    """Orphans per declared reference; one distinct-key frame per (parent, key),
+    shared by every reference to it so its exchange is computed once."""
+    shared: dict[tuple[str, str], DataFrame] = {}
+    for child, ck, parent, pk in FOREIGN_KEYS:
+        keys = shared.setdefault((parent, pk), _parent_keys(tables[parent], pk))
+        yield child, ck, parent, pk, orphan_rows(tables[child], ck, tables[parent], pk, keys)
 
 
 def check_fk(tables: dict[str, DataFrame]) -> DataFrame:
     parts = []
-    for child, ck, parent, pk in FOREIGN_KEYS:
-        orphans = orphan_rows(tables[child], ck, tables[parent], pk)
+    for child, ck, parent, pk, orphans in _fk_orphans(tables):
         parts.append(
             orphans.agg(F.coalesce(F.sum("count"), F.lit(0)).cast("long").alias("violations")).select(
                 F.lit("foreign_key").alias("check_name"),
@@ -288,8 +302,8 @@ def violation_rows(tables: dict[str, DataFrame], raw: dict[str, DataFrame]) -> D
                 F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("row_key"),
                 F.col("count").cast("string").alias("detail"),
             ))
-    for child, ck, parent, pk in FOREIGN_KEYS:
-        parts.append(orphan_rows(tables[child], ck, tables[parent], pk).select(
+    for child, ck, parent, pk, orphans in _fk_orphans(tables):
+        parts.append(orphans.select(
             F.lit("foreign_key").alias("check_name"), F.lit(child).alias("table_name"),
             F.lit(f"{ck} -> {parent}.{pk}").alias("column_name"),
             F.col("_k").cast("string").alias("row_key"),
