@@ -55,3 +55,14 @@ def test_big_side_aggregates_are_partial_hash_aggregates(spark):
         partial = [ln for ln in lines if "partial_sum(Meal_Price" in ln]
         assert partial, key
         assert all(ln.startswith("HashAggregate") for ln in partial), (key, partial)
+
+
+LIMIT_IS_THE_FEATURE = {"top_converted", "preview_difference_days"}
+
+
+@pytest.mark.parametrize("key", sorted(E.queries()))
+def test_no_row_caps_outside_report_limits(spark, key):
+    plan = _plan(E.queries()[key](spark, SF_SMALL))
+    capped = any(op in plan for op in ("GlobalLimit", "CollectLimit", "TakeOrderedAndProject", "LocalLimit"))
+    assert capped == (key in LIMIT_IS_THE_FEATURE), key
+    assert ("LIMIT" in E.oracle_sql()[key].upper().split("WITH", 1)[-1]) == (key in LIMIT_IS_THE_FEATURE), key
