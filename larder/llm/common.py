@@ -18,6 +18,8 @@ from larder.session import ensure_checkpoint_dir
 
 #: Bytes of text handled at once inside a task; a longer single text is handled alone.
 CHUNK_BYTES = 4 << 20
+#: Rows handled at once.
+CHUNK_ROWS = 50_000
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -49,29 +51,31 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(what, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches cut into slices of at most ``max_bytes`` of ``column`` (one row at least)."""
+def slices(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int = CHUNK_BYTES, max_rows: int = CHUNK_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches cut into slices of at most ``max_rows`` and ``max_bytes`` of ``column`` (one row at least)."""
     for batch in batches:
         _, at = flat(batch.column(batch.schema.get_field_index(column)))
         i = 0
         while i < batch.num_rows:
             j = max(i + 1, int(np.searchsorted(at, at[i] + max_bytes, side="right")) - 1)
+            j = min(j, i + max_rows)
             yield batch.slice(i, j - i)
             i = j
 
 
-def gathered(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
+def gathered(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int, max_rows: int = CHUNK_ROWS) -> Iterator[pa.RecordBatch]:
     """As ``slices``, but small neighbouring batches are joined first."""
     held: list[pa.RecordBatch] = []
-    size = 0
-    for part in slices(batches, column, max_bytes):
+    size = rows = 0
+    for part in slices(batches, column, max_bytes, max_rows):
         own = int(flat(part.column(part.schema.get_field_index(column)))[1][-1])
-        if held and size + own > max_bytes:
+        if held and (size + own > max_bytes or rows + part.num_rows > max_rows):
             yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held, size = [], 0
+            held, size, rows = [], 0, 0
         if part.num_rows:
             held.append(part)
             size += own
+            rows += part.num_rows
     if held:
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
@@ -158,5 +162,5 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the cluster's checkpoint folder and read it back (cuts lineage)."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import byte_pairs, packing
+from larder.llm import byte_pairs, fingerprints, language, packing
 from larder.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_pairs(read_table(spark, sf_dir, "documents"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return byte_pairs.encode_decode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
@@ -23,10 +27,16 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op2_fingerprints": op2_fingerprints,
         "op4_byte_bpe": op4_byte_bpe,
         "op8_packing": op8_packing,
+        "op10_language_id": op10_language_id,
     }
 
 
