@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import byte_pairs, fingerprints, language, packing
+from larder.llm import byte_pairs, fingerprints, html_text, language, packing
 from larder.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_pairs(read_table(spark, sf_dir, "documents"))
 
@@ -33,6 +37,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_html_text": op1_html_text,
         "op2_fingerprints": op2_fingerprints,
         "op4_byte_bpe": op4_byte_bpe,
         "op8_packing": op8_packing,
