@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import byte_pairs, fingerprints, html_text, language, packing, personal_data
+from larder.llm import byte_pairs, fingerprints, html_text, language, neighbours, packing, personal_data
 from larder.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,10 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.report(read_table(spark, sf_dir, "documents"))
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(read_table(spark, sf_dir, "embeddings"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -45,6 +49,7 @@ def queries() -> dict[str, Query]:
         "op2_fingerprints": op2_fingerprints,
         "op4_byte_bpe": op4_byte_bpe,
         "op6_personal_data": op6_personal_data,
+        "op7_neighbours": op7_neighbours,
         "op8_packing": op8_packing,
         "op10_language_id": op10_language_id,
     }
