@@ -12,7 +12,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from larder.session import ensure_checkpoint_dir
 
@@ -164,3 +164,80 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Tables of rows with equal keys, from batches sorted by them."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        new = np.zeros(batch.num_rows, bool)
+        for key in keys:
+            column = batch.column(batch.schema.get_field_index(key)).to_numpy(zero_copy_only=False)
+            new[1:] |= column[1:] != column[:-1]
+            if held and held[-1].column(held[-1].schema.get_field_index(key))[-1].as_py() != column[0]:
+                new[0] = True
+        edges = np.flatnonzero(new).tolist()
+        starts = set(edges)
+        for a, b in zip([0, *edges], [*edges, batch.num_rows]):
+            if a in starts and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            if b > a:
+                held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+#: Bits of a Bloom filter that is broadcast: 16 MB, whatever the input.
+BLOOM_BITS = 1 << 27
+
+
+class Bloom:
+    """A filter of fixed size over 64-bit values: no false negatives; false positives only cost time."""
+
+    def __init__(self, words: np.ndarray):
+        self.words = words
+
+    @staticmethod
+    def places(values: np.ndarray, bits: int) -> list[np.ndarray]:
+        h = mix(values.astype(np.uint64) ^ np.uint64(0x5851F42D4C957F2D))
+        return [(h & np.uint64(bits - 1)).astype(np.int64), ((h >> np.uint64(32)) & np.uint64(bits - 1)).astype(np.int64)]
+
+    def __contains__(self, value: int) -> bool:
+        return bool(self.has(np.array([value], np.int64).view(np.uint64))[0])
+
+    def has(self, values: np.ndarray) -> np.ndarray:
+        out = np.ones(len(values), bool)
+        for at in self.places(values, 64 * len(self.words)):
+            out &= (self.words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+        return out
+
+
+def bloom(values: DataFrame, bits: int = BLOOM_BITS) -> Bloom:
+    """Filter over the one long column of ``values``; at most bits / 64 words reach the driver."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.column(0).drop_null().to_numpy().view(np.uint64)
+            at = np.unique(np.concatenate(Bloom.places(own, bits)))
+            word, bit = at >> 6, np.uint64(1) << (at & 63).astype(np.uint64)
+            if len(at):
+                first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+                yield pa.RecordBatch.from_arrays([pa.array(word[first].astype(np.int32)), pa.array(np.bitwise_or.reduceat(bit, first).view(np.int64))], names=["word", "bits"])
+
+    table = values.mapInArrow(run, "word int, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words = np.zeros(bits // 64, np.uint64)
+    if table.num_rows:
+        words[table["word"].to_numpy()] = table["bits"].to_numpy().view(np.uint64)
+    return Bloom(words)
+
+
+def transposed(values: np.ndarray) -> bytes:
+    """64-bit values byte plane by byte plane, which shuffle compression likes."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def restored(raw: bytes, kind: type = np.int64) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(kind).ravel()

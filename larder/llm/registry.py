@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import byte_pairs, fingerprints, html_text, language, neighbours, packing, personal_data
+from larder.llm import byte_pairs, fingerprints, html_text, jaccard_join, language, neighbours, packing, personal_data
 from larder.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_pairs(read_table(spark, sf_dir, "documents"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(read_table(spark, sf_dir, "documents"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return byte_pairs.encode_decode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
@@ -47,6 +51,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_html_text": op1_html_text,
         "op2_fingerprints": op2_fingerprints,
+        "op3_jaccard_join": op3_jaccard_join,
         "op4_byte_bpe": op4_byte_bpe,
         "op6_personal_data": op6_personal_data,
         "op7_neighbours": op7_neighbours,
