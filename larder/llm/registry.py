@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import byte_pairs, fingerprints, html_text, jaccard_join, language, neighbours, packing, personal_data
+from larder.llm import byte_pairs, fingerprints, html_text, jaccard_join, language, neighbours, packing, personal_data, suffix_dedup
 from larder.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_pairs.encode_decode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(read_table(spark, sf_dir, "documents"))
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.report(read_table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ def queries() -> dict[str, Query]:
         "op2_fingerprints": op2_fingerprints,
         "op3_jaccard_join": op3_jaccard_join,
         "op4_byte_bpe": op4_byte_bpe,
+        "op5_suffix_dedup": op5_suffix_dedup,
         "op6_personal_data": op6_personal_data,
         "op7_neighbours": op7_neighbours,
         "op8_packing": op8_packing,
