@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import byte_pairs, fingerprints, html_text, jaccard_join, language, neighbours, packing, personal_data, suffix_dedup
+from larder.llm import byte_pairs, fingerprints, html_text, jaccard_join, language, neighbours, packing, personal_data, substring_dedup, suffix_dedup
 from larder.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.report(read_table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(read_table(spark, sf_dir, "documents"))
 
@@ -61,6 +65,7 @@ def queries() -> dict[str, Query]:
         "op6_personal_data": op6_personal_data,
         "op7_neighbours": op7_neighbours,
         "op8_packing": op8_packing,
+        "op9_substring_dedup": op9_substring_dedup,
         "op10_language_id": op10_language_id,
     }
 

@@ -35,8 +35,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from larder.llm.common import _BASE, _TABLE, Bloom, bloom, flat, gathered, keep, mix, powers, shuffle_width
-from larder.llm.windows import HOT, begins, prefix_hashes, segments, spans_of, spans_table, unions
+from larder.llm.common import _BASE, _TABLE, bloom, flat, gathered, keep, mix, powers, shuffle_width
+from larder.llm.windows import HOT, begins, keyed_rows, prefix_hashes, segments, spans_of, spans_table, unions, with_spans
 
 LENGTH = 400
 GRAM = 64
@@ -321,34 +321,9 @@ def _kept(raw: bytes, spans: list | None) -> tuple[bytes, int, int]:
     return b"".join([*out, raw[at:]]), int((ends - starts).sum()), len(starts)
 
 
-def _with_spans(docs: DataFrame, spans: DataFrame, key: str, run: Callable, schema: str) -> DataFrame:
-    """``run`` over all rows of docs, given the spans of each; only rows that may have some are shuffled."""
-    grouped = keep(spans.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
-    touched = docs.sparkSession.sparkContext.broadcast(bloom(grouped.select("key")))
-    place = docs.columns.index(key)
-
-    def side(inside: bool) -> Callable:
-        def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                has = touched.value.has(batch.column(place).to_numpy().view(np.uint64))
-                yield batch.filter(pa.array(has if inside else ~has))
-
-        return split
-
-    none = F.lit(None).cast("array<struct<start:long,end:long>>")
-    hit = docs.mapInArrow(side(True), docs.schema).join(grouped.withColumnRenamed("key", key), key, "left").select(*docs.columns, "spans")
-    rest = docs.mapInArrow(side(False), docs.schema).withColumn("spans", none)
-    return rest.mapInArrow(run, schema).unionByName(hit.mapInArrow(run, schema))
-
-
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    cols = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
-    return cols.withColumn("key", F.xxhash64("doc_id", "text"))
-
-
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, hot: int = HOT) -> DataFrame:
     """Sizes and digest of what is left of every document (see the module)."""
-    keyed = _keyed(docs, id_col, text_col)
+    keyed = keyed_rows(docs, id_col, text_col)
     spans = repeated_spans(keyed.select("key", "text"), length, min(GRAM, length), hot)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -360,7 +335,7 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
                 names=[f.split()[0] for f in SCHEMA.split(", ")],
             )
 
-    return _with_spans(keyed, spans, "key", run, SCHEMA)
+    return with_spans(keyed, spans, "key", run, SCHEMA)
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
@@ -377,7 +352,4 @@ def deduplicated(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(kept, pa.string()) if i == at else batch.column(i) for i in range(len(docs.columns))], names=docs.columns)
 
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return _with_spans(keyed, spans, mark, run, ddl)
-
-
-__all__ = ["Bloom", "LoserTree", "deduplicated", "repeated_spans", "report", "shared_prefix"]
+    return with_spans(keyed, spans, mark, run, ddl)
