@@ -8,7 +8,6 @@ functions/  column expressions (date parsing, part of day, participant count, ro
 operators/  DataFrame-to-DataFrame steps (cleaning, participant explode and ids,
             profiling, integrity checks, schema conformance and collation)
 plans/      the reporting views, their previews and their registration by name
-streaming/  intentionally empty: the source job is a one-shot batch
 job         the whole batch job from three CSV paths (``python -m larder``)
 """
 

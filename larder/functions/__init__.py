@@ -1,31 +1 @@
-"""Column expressions used by the cleaning steps and the views (all JVM-side)."""
-
-from larder.functions.scalar import (
-    extract_names,
-    meal_hour,
-    meal_order,
-    parse_invoice_date,
-    parse_lead_date,
-    parse_meal_ts,
-    part_of_day,
-    participant_count,
-    quote_count,
-    strip_offset,
-)
-from larder.functions.rounding import avg_half_up, percent_half_up, round2_of_avg
-
-__all__ = [
-    "avg_half_up",
-    "extract_names",
-    "meal_hour",
-    "meal_order",
-    "parse_invoice_date",
-    "parse_lead_date",
-    "parse_meal_ts",
-    "part_of_day",
-    "participant_count",
-    "percent_half_up",
-    "quote_count",
-    "round2_of_avg",
-    "strip_offset",
-]
+"""Column expressions used by the cleaning steps and the views."""

@@ -16,10 +16,9 @@ names into one task, so the ranking runs as a distributed zip-with-index:
    running offsets, which are broadcast (their size is the partition count) and
    added to the local index.
 
-Names are then joined back to the exploded rows. That join is broadcast only
-when the counted names and their measured bytes are under the limits; otherwise
-it is a shuffle join on the name, where AQE splits a skewed (hot) name on the
-exploded side.
+Names are then joined back to the exploded rows. Spark chooses that join from
+measured sizes; as a shuffle join, a skewed (hot) name is split on the exploded
+side.
 """
 
 from __future__ import annotations
@@ -32,11 +31,6 @@ from larder.functions.scalar import extract_names
 from larder.session import ensure_checkpoint_dir
 from larder.sources.testdomain import ROW_ORDER
 
-DEFAULT_BROADCAST_MAX_NAMES = 1_000_000
-DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-ROW_OVERHEAD_BYTES = 32  # id, offsets and row header per name in the hashed relation
-
-
 def names_per_invoice(invoice: DataFrame) -> DataFrame:
     """(Order_Id, Name_Count, Names): extracted names, joined by ``|`` for display."""
     names = extract_names("Participants")
@@ -65,17 +59,6 @@ def first_appearance_ids(
     num_partitions: int | None = None,
 ) -> DataFrame:
     """(name, Customer_Id long): dense rank of each non-null name by first appearance."""
-    return ranked_names(exploded, name_col, order_cols, num_partitions)[0]
-
-
-def ranked_names(
-    exploded: DataFrame,
-    name_col: str = "Participant_Name",
-    order_cols: tuple[str, ...] = (ROW_ORDER, "Position"),
-    num_partitions: int | None = None,
-) -> tuple[DataFrame, int, int]:
-    """``first_appearance_ids`` plus the number of distinct names and their total
-    UTF-8 size (both from the per-partition summary, so no extra job)."""
     spark = exploded.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -97,19 +80,16 @@ def ranked_names(
     sizes = ranked.groupBy("_pid").agg(
         F.count(F.lit(1)).alias("_n"),
         F.min("_rid").alias("_rid0"),
-        F.sum(F.octet_length(name_col)).alias("_bytes"),
     ).collect()
-    offsets, running, total_bytes = [], 0, 0
+    offsets, running = [], 0
     for row in sorted(sizes, key=lambda r: r["_pid"]):
         offsets.append((row["_pid"], row["_rid0"], running))
         running += row["_n"]
-        total_bytes += row["_bytes"] or 0
     offsets_df = spark.createDataFrame(offsets, "_pid int, _rid0 long, _offset long")
-    ids = ranked.join(F.broadcast(offsets_df), "_pid").select(
+    return ranked.join(F.broadcast(offsets_df), "_pid").select(
         name_col,
         (F.col("_offset") + F.col("_rid") - F.col("_rid0") + F.lit(1)).alias("Customer_Id"),
     )
-    return ids, running, total_bytes
 
 
 POSITION_SCALE = 10 ** 10  # list positions are ints (< 2^31 < 10^10)
@@ -118,15 +98,14 @@ POSITION_SCALE = 10 ** 10  # list positions are ints (< 2^31 < 10^10)
 def _appearance_key(df: DataFrame, order_cols: tuple[str, ...]) -> Column:
     """Sortable first-appearance key of (row order, list position).
 
-    With an integral row order the pair is packed into one ``decimal(38,0)``
-    (``row * 10^10 + position``, exact for any long row order), whose ``min``
-    runs in a hash aggregate; any other row-order type (e.g. the CSV reader's
-    (file, split, row) struct) falls back to ``min(struct)``, a sort aggregate.
+    The pair is packed into one ``decimal(38,0)`` (``row * 10^10 + position``,
+    exact for any long row order), whose ``min`` runs in a hash aggregate. Text
+    sources get their long row order when they are staged.
     """
     row_col, pos_col = order_cols
-    if isinstance(df.schema[row_col].dataType, (T.LongType, T.IntegerType, T.ShortType)):
-        return F.col(row_col).cast("decimal(38,0)") * F.lit(POSITION_SCALE) + F.col(pos_col)
-    return F.struct(F.col(row_col), F.col(pos_col))
+    if not isinstance(df.schema[row_col].dataType, (T.LongType, T.IntegerType, T.ShortType)):
+        raise ValueError(f"{row_col} must be an integer row order; stage the sources first")
+    return F.col(row_col).cast("decimal(38,0)") * F.lit(POSITION_SCALE) + F.col(pos_col)
 
 
 def _run_date(as_of) -> Column:
@@ -136,21 +115,12 @@ def _run_date(as_of) -> Column:
 def customer_order(
     invoice: DataFrame,
     as_of=None,
-    broadcast_max_names: int = DEFAULT_BROADCAST_MAX_NAMES,
-    broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
     num_partitions: int | None = None,
 ) -> DataFrame:
     """Order-to-participant table: Order_Id, Participant_Name, Customer_Id (text),
-    Last_Updated (run date, default today).
-
-    The name→id table is broadcast only if both its row count and its measured
-    size (name bytes plus a per-row overhead) are under the limits.
-    """
+    Last_Updated (run date, default today)."""
     exploded = explode_participants(invoice)
-    ids, distinct_names, name_bytes = ranked_names(exploded, num_partitions=num_partitions)
-    approx_bytes = name_bytes + ROW_OVERHEAD_BYTES * distinct_names
-    if distinct_names <= broadcast_max_names and approx_bytes <= broadcast_max_bytes:
-        ids = F.broadcast(ids)
+    ids = first_appearance_ids(exploded, num_partitions=num_partitions)
     joined = exploded.join(ids, "Participant_Name", "left")
     return joined.select(
         "Order_Id",

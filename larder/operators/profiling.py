@@ -35,11 +35,14 @@ def profile_nulls(frames: dict[str, DataFrame]) -> DataFrame:
 def duplicate_rows(df: DataFrame, table_name: str) -> DataFrame:
     """(table_name, duplicates): rows identical to an earlier row (nulls compare equal).
 
-    The group-by over all columns is partially aggregated before the shuffle, so
-    a row repeated very many times collapses on the map side.
+    First the rows' 64-bit hashes are counted (partially before the shuffle, so
+    a row repeated very many times collapses); whole rows are compared only where
+    a hash occurs more than once.
     """
     cols = _data_columns(df)
-    counts = df.groupBy(*cols).count()
+    hashed = df.select(F.xxhash64(*cols).alias("_hash"), *cols)
+    again = hashed.groupBy("_hash").count().filter(F.col("count") > 1).select("_hash")
+    counts = hashed.join(again, "_hash", "left_semi").groupBy(*cols).count()
     return counts.agg(
         F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("long").alias("duplicates")
     ).select(F.lit(table_name).alias("table_name"), "duplicates")

@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions.scalar import extract_names, participant_count, quote_count
+from larder.functions.scalar import extract_names, quote_count
 from larder.sources.schemas import (
     ID_MAX_LENGTH,
     MEAL_TYPES,
@@ -194,12 +194,24 @@ def _out_of_range(text: Column, lo: int, hi: int) -> Column:
     return text.isNotNull() & (v.isNull() | (v < lo) | (v > hi))
 
 
+def _listed_count() -> Column:
+    """Participants by the quote count, of any size (not narrowed to the target type)."""
+    return F.shiftright(quote_count("Participants"), 1)
+
+
+def _too_many_participants() -> Column:
+    lo, hi = TINYINT_RANGE
+    return F.coalesce((_listed_count() < lo) | (_listed_count() > hi), F.lit(False))
+
+
+def _count_differs() -> Column:
+    return _listed_count() != F.size(extract_names("Participants"))
+
+
 def check_range(raw: dict[str, DataFrame]) -> DataFrame:
     """Integer text that does not parse or does not fit the target integer type;
     includes the derived participant count (TINYINT)."""
-    count = F.shiftright(quote_count("Participants"), 1)
-    lo, hi = TINYINT_RANGE
-    derived = {"invoices": {"Number_of_Participants": count.isNotNull() & ((count < lo) | (count > hi))}}
+    derived = {"invoices": {"Number_of_Participants": _too_many_participants()}}
     return _union([
         _summary(raw[t], "range", t, {
             **{c: _out_of_range(F.col(c), rlo, rhi) for c, (rlo, rhi) in cols.items()},
@@ -215,7 +227,7 @@ def check_participants(tables: dict[str, DataFrame]) -> DataFrame:
     inv = tables["invoice"]
     return _summary(inv, "participants", "invoice", {
         "odd_quotes": (quote_count("Participants") % 2) == 1,
-        "count_vs_names": participant_count("Participants").cast("int") != F.size(extract_names("Participants")),
+        "count_vs_names": _count_differs(),
     })
 
 
@@ -280,9 +292,7 @@ def violation_rows(tables: dict[str, DataFrame], raw: dict[str, DataFrame]) -> D
         ("domain", "Part_of_Day", _outside("Part_of_Day", PART_OF_DAY_LABELS), F.col("Part_of_Day")),
         ("domain_declared", "Part_of_Day", _outside("Part_of_Day", PART_OF_DAY_DECLARED), F.col("Part_of_Day")),
         ("participants", "odd_quotes", (quote_count("Participants") % 2) == 1, quote_count("Participants")),
-        ("participants", "count_vs_names",
-         participant_count("Participants").cast("int") != F.size(extract_names("Participants")),
-         F.size(extract_names("Participants"))),
+        ("participants", "count_vs_names", _count_differs(), F.size(extract_names("Participants"))),
     ])
     for t, cols in MAX_LENGTHS.items():
         per_table.setdefault(t, []).extend(
@@ -290,9 +300,10 @@ def violation_rows(tables: dict[str, DataFrame], raw: dict[str, DataFrame]) -> D
     for t, rules in per_table.items():
         parts.append(_failed_rules(tables[t], t, rules))
     for t, cols in RAW_RANGES.items():
-        parts.append(_failed_rules(raw[t], t, [
-            ("range", c, _out_of_range(F.col(c), lo, hi), F.col(c)) for c, (lo, hi) in cols.items()
-        ]))
+        rules = [("range", c, _out_of_range(F.col(c), lo, hi), F.col(c)) for c, (lo, hi) in cols.items()]
+        if t == "invoices":
+            rules.append(("range", "Number_of_Participants", _too_many_participants(), _listed_count()))
+        parts.append(_failed_rules(raw[t], t, rules))
     for check, keysets in (("primary_key", PRIMARY_KEYS), ("unique", UNIQUE_KEYS)):
         for t, keys in keysets.items():
             dup = tables[t].groupBy(*keys).count().filter(F.col("count") > 1)

@@ -30,16 +30,3 @@ def preview_difference_days(difference_days: DataFrame, n: int = 2) -> DataFrame
 def preview(df: DataFrame, order_by: list[str], n: int) -> DataFrame:
     """Generic ordered head of any view or table."""
     return df.orderBy(*order_by).limit(n)
-
-
-def fetch_pandas(df: DataFrame, max_rows: int = 100_000):
-    """Bring a (small) view result to the client as pandas, refusing unbounded results.
-
-    At most ``max_rows + 1`` rows ever leave the executors; if the result is
-    larger, nothing is returned and the caller should aggregate, filter or
-    preview instead.
-    """
-    pdf = df.limit(max_rows + 1).toPandas()
-    if len(pdf) > max_rows:
-        raise ValueError(f"result has more than {max_rows} rows; aggregate, filter or preview it first")
-    return pdf

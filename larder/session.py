@@ -2,38 +2,47 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 
+#: Set only where nothing else has: neither spark-submit, spark-defaults nor the caller.
+DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+
 def build_session(
     master: str | None = None,
-    app_name: str = "larder",
-    shuffle_partitions: int = 8,
+    app_name: str | None = None,
+    shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
     """Session with the settings the plans are written against.
 
-    On a cluster leave ``master`` unset and size ``shuffle_partitions`` to the data
-    (AQE coalesces small partitions towards
-    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``, so erring high is cheap;
-    for ~100 TB inputs a few tens of thousands is a reasonable start), and keep
-    ``spark.sql.files.maxPartitionBytes`` at its 128 MB default so scan tasks
-    fit executor memory.
+    What was submitted wins over ``DEFAULTS``; only the arguments given here are
+    forced. On a cluster leave ``master`` and ``shuffle_partitions`` unset and
+    size the submitted ``spark.sql.shuffle.partitions`` to the data (AQE
+    coalesces small partitions, so erring high is cheap; for ~100 TB inputs a
+    few tens of thousands is a reasonable start).
     """
-    builder = SparkSession.builder.appName(app_name)
+    SparkContext._ensure_initialized()  # so that SparkConf sees what was submitted
+    submitted = SparkConf()
+    builder = SparkSession.builder
+    if app_name or not submitted.contains("spark.app.name"):
+        builder = builder.appName(app_name or "larder")
     if master:
         builder = builder.master(master)
-    conf = {
-        "spark.sql.shuffle.partitions": str(shuffle_partitions),
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.ui.enabled": "false",
-    }
+    conf = {k: v for k, v in DEFAULTS.items() if not submitted.contains(k)}
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -63,7 +72,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
+    if not re.match(r"local(\[|$)", sc.master):  # local-cluster has executors of its own
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at shared storage "
             "(HDFS/S3/ABFS) before building customer ids"

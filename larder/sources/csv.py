@@ -4,11 +4,18 @@
   (inference would turn ``Date of Meal`` into a zoned timestamp and shift it);
 * ``multiLine`` and ``escape='"'`` read doubled quotes and line breaks inside a
   quoted field the way a standard CSV reader does;
-* the header row is skipped and columns bind by position, as the original load
-  did, so the file's column order is part of the contract;
+* the header row must name the expected columns in their order, else the read
+  fails;
 * the usual missing-value tokens become nulls;
-* ``_row_order`` records the file order (file, split start, row) so that
-  customer ids by first appearance do not depend on Spark's partitioning.
+* ``_row_order`` records the file order (file, split start, row); staging turns
+  it into one long (``number_rows``), so that customer ids by first appearance do
+  not depend on Spark's partitioning.
+
+A multi-line file is read by one task, since a line break may stand inside quotes;
+a large source gets its parallelism from many files, read in the order of their
+paths. A caller who knows that every record is one line passes
+``multi_line=False``: files are then split, and a line with an odd number of
+quotes fails the read.
 """
 
 from __future__ import annotations
@@ -34,12 +41,18 @@ NA_TOKENS = [
 ]
 
 
-def scan_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Read a headered UTF-8 CSV as text columns named ``columns`` (by position)."""
+def scan_csv(spark: SparkSession, path: str, columns: list[str], multi_line: bool = True) -> DataFrame:
+    """Read a headered UTF-8 CSV as text columns named ``columns``."""
+    if not multi_line:
+        odd = spark.read.text(path).filter(F.regexp_count("value", F.lit('"')) % 2 == 1).select("value").head(1)
+        if odd:
+            raise ValueError(f"{path}: a line has an odd number of quotes; records with line breaks need multi_line=True")
     df = (
         spark.read.schema(string_schema(columns))
         .option("header", True)
-        .option("multiLine", True)
+        .option("enforceSchema", False)
+        .option("columnPruning", False)
+        .option("multiLine", multi_line)
         .option("escape", '"')
         .option("encoding", "UTF-8")
         .option("mode", "FAILFAST")
@@ -56,11 +69,32 @@ def scan_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     )
 
 
+def number_rows(df: DataFrame) -> DataFrame:
+    """Replace a (file, split, row) order by one long, in the same order.
+
+    ``df`` must be stored (rows keep their numbers when it is read again). Rows of
+    a split are consecutive, so a running offset per split, one small row each,
+    is all that has to be gathered.
+    """
+    spark = df.sparkSession
+    place = [F.col(f"{ROW_ORDER}.file").alias("_file"), F.col(f"{ROW_ORDER}.split").alias("_split")]
+    sizes = df.groupBy(*place).agg(F.count("*").alias("n"), F.min(f"{ROW_ORDER}.row").alias("first")).collect()
+    offsets, running = [], 0
+    for file, split, n, first in sorted(sizes):
+        offsets.append((file, split, running - first))
+        running += n
+    table = spark.createDataFrame(offsets, "_file string, _split long, _offset long")
+    numbered = df.withColumns({"_file": place[0], "_split": place[1]}).join(table, ["_file", "_split"])
+    return numbered.select(
+        (F.col(f"{ROW_ORDER}.row") + F.col("_offset")).alias(ROW_ORDER), *[c for c in df.columns if c != ROW_ORDER]
+    )
+
+
 def load_csv_sources(
-    spark: SparkSession, invoices_path: str, leads_path: str, salesteam_path: str
+    spark: SparkSession, invoices_path: str, leads_path: str, salesteam_path: str, multi_line: bool = True
 ) -> RawSources:
     return RawSources(
-        invoices=scan_csv(spark, invoices_path, INVOICE_CSV_COLUMNS),
-        leads=scan_csv(spark, leads_path, LEADS_CSV_COLUMNS),
-        salesteam=scan_csv(spark, salesteam_path, SALESTEAM_CSV_COLUMNS),
+        invoices=scan_csv(spark, invoices_path, INVOICE_CSV_COLUMNS, multi_line),
+        leads=scan_csv(spark, leads_path, LEADS_CSV_COLUMNS, multi_line),
+        salesteam=scan_csv(spark, salesteam_path, SALESTEAM_CSV_COLUMNS, multi_line),
     )

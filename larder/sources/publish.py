@@ -1,9 +1,13 @@
 """Publishing: full refresh of the four tables, catalog registration, audit.
 
-A refresh writes every table into a fresh run directory and only after all four
-writes succeed re-points the catalog tables at it, so readers see either the
-previous complete set or the new one (the original job's drop-and-recreate of
-the whole schema, without the window where tables are missing).
+A refresh writes every table under names of its own run. Only after all four
+writes succeed are the public names, which are persistent views over the run's
+tables, replaced (``CREATE OR REPLACE VIEW``); so a failed write leaves the
+previous set readable, a public name never disappears, and readers in any
+session see current tables. Each name is replaced at once, but the four names
+one after the other: a query that starts between two of them joins tables of two
+runs. ``drop_old_runs`` removes the tables and files of earlier runs, and
+``remove_staged`` a run's staged sources, when no reader needs them any more.
 
 Layout choices for large data:
 
@@ -27,6 +31,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larder.operators.conform import conform
 from larder.sources.schemas import TARGET_SCHEMAS
@@ -34,6 +39,7 @@ from larder.sources.schemas import TARGET_SCHEMAS
 DEFAULT_DATABASE = "larder_mart"
 BUCKET_KEY = "Order_Id"
 BUCKETED = ("orders", "invoice", "customer_order")
+RUN_MARK = "__run_"
 LOAD_ORDER = ("orders", "invoice", "salesteam", "customer_order")  # parents first
 
 
@@ -97,35 +103,55 @@ def refresh(
     Returns the audit as a DataFrame (stage, table_name, row_count).
     """
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    run = f"run={time.strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}"
-    base = f"{table_root(spark, database, root)}/{run}"
+    run = f"{time.strftime('%Y%m%dT%H%M%S')}_{uuid.uuid4().hex[:8]}"
+    base = f"{table_root(spark, database, root)}/run={run}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    staged, observations = {}, {}
+    written, observations = {}, {}
     for name in LOAD_ORDER:
         df = conform(tables[name], TARGET_SCHEMAS[name], strict=strict)
         parts = None
         if name == "invoice":
             df, parts = with_year(df), ["Year"]
-        stage_name = f"{database}.{name}__staged"
-        spark.sql(f"DROP TABLE IF EXISTS {stage_name}")
+        written[name] = f"{database}.{name}{RUN_MARK}{run}"
         observations[name] = write_table(
-            df, stage_name, f"{base}/{name}", n, partition_by=parts, bucket=name in BUCKETED
+            df, written[name], f"{base}/{name}", n, partition_by=parts, bucket=name in BUCKETED
         )
-        staged[name] = stage_name
-    # every write succeeded: swap the catalog entries (external tables, so renames
-    # and drops never move or delete data). The previous table is kept under a
-    # side name until its replacement is in place.
-    for name, stage_name in staged.items():
-        live, previous = f"{database}.{name}", f"{database}.{name}__previous"
-        spark.sql(f"DROP TABLE IF EXISTS {previous}")
-        if spark.catalog.tableExists(live):
-            spark.sql(f"ALTER TABLE {live} RENAME TO {previous}")
-        spark.sql(f"ALTER TABLE {stage_name} RENAME TO {live}")
-        spark.sql(f"DROP TABLE IF EXISTS {previous}")
+    for name, table in written.items():
+        replace_view(spark, f"{database}.{name}", f"SELECT * FROM {table}")
     rows = [("load", name, int(observations[name].get["rows"])) for name in LOAD_ORDER]
     return spark.createDataFrame(rows, "stage string, table_name string, row_count long")
 
 
+def replace_view(spark: SparkSession, name: str, sql: str) -> None:
+    """Point a persistent view at ``sql`` in one catalog step."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {sql}")
+
+
+def drop_old_runs(spark: SparkSession, database: str = DEFAULT_DATABASE, keep: int = 2) -> list[str]:
+    """Drop the tables, files included, of all but the last ``keep`` runs; returns what was dropped.
+
+    The run that the public names show is never dropped. Call it once readers of
+    the older runs are done.
+    """
+    tables = [t.name for t in spark.catalog.listTables(database) if not t.isTemporary and RUN_MARK in t.name]
+    runs = sorted({t.split(RUN_MARK)[1] for t in tables})
+    shown = spark.sql(f"SHOW CREATE TABLE {database}.{LOAD_ORDER[0]}").first()[0]
+    old = [r for r in runs[: max(0, len(runs) - keep)] if r not in shown.lower()]
+    dropped = []
+    for table in tables:
+        if table.split(RUN_MARK)[1] in old:
+            location = spark.sql(f"DESCRIBE TABLE EXTENDED {database}.{table}").filter("col_name = 'Location'").first()[1]
+            spark.sql(f"DROP TABLE {database}.{table}")
+            _remove(spark, location)
+            dropped.append(table)
+    return dropped
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def published(spark: SparkSession, database: str = DEFAULT_DATABASE) -> dict[str, DataFrame]:
     """The published tables as DataFrames (``invoice`` without its ``Year`` column)."""
     out = {name: spark.table(f"{database}.{name}") for name in LOAD_ORDER}
@@ -134,8 +160,8 @@ def published(spark: SparkSession, database: str = DEFAULT_DATABASE) -> dict[str
 
 
 def list_tables(spark: SparkSession, database: str = DEFAULT_DATABASE) -> list[str]:
-    """Tables of the schema (session temp views, which the catalog also lists, excluded)."""
-    return sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)
+    """Public names of the schema (tables of single runs and session temp views excluded)."""
+    return sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary and RUN_MARK not in t.name)
 
 
 def invoice_for_year(spark: SparkSession, year: int, database: str = DEFAULT_DATABASE) -> DataFrame:
@@ -143,17 +169,6 @@ def invoice_for_year(spark: SparkSession, year: int, database: str = DEFAULT_DAT
     return spark.table(f"{database}.invoice").filter(F.col("Year") == year)
 
 
-def write_invoice_by_year(invoice: DataFrame, path: str, strict: bool = True) -> None:
-    """Write the invoice table as year-partitioned Parquet at ``path`` (overwrite)."""
-    df = with_year(conform(invoice, TARGET_SCHEMAS["invoice"], strict=strict))
-    df.write.mode("overwrite").partitionBy("Year").parquet(path)
-
-
-def read_invoice_year(spark: SparkSession, path: str, year: int) -> DataFrame:
-    """One year of a year-partitioned invoice directory; only that directory is listed and read."""
-    return spark.read.parquet(path).filter(F.col("Year") == year)
-
-
 def refresh_from_raw(
     spark: SparkSession,
     raw,
@@ -166,27 +181,14 @@ def refresh_from_raw(
 ) -> DataFrame:
     """The whole job: clean the raw frames, number the customers, refresh the tables.
 
-    The cleaned invoice feeds both its own write and the customer table, so it is
-    persisted (memory, spilling to disk) for the duration of the refresh; a lost
-    block is recomputed from lineage.
+    The raw frames are expected to be stored (``stage_sources``): the cleaned
+    invoice is one narrow select over them, read once for its own write and,
+    column-pruned, for the customer table.
     """
-    from pyspark import StorageLevel
+    from larder.sources.tables import Tables
 
-    from larder.operators.cleaning import clean_invoices, clean_leads, clean_salesteam
-    from larder.operators.participants import customer_order
-
-    invoice = clean_invoices(raw.invoices, strict=strict).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        leads_kw = {"date_format": lead_date_format} if lead_date_format else {}
-        tables = {
-            "orders": clean_leads(raw.leads, strict=strict, **leads_kw),
-            "invoice": invoice,
-            "salesteam": clean_salesteam(raw.salesteam),
-            "customer_order": customer_order(invoice, as_of=as_of),
-        }
-        return refresh(spark, tables, database=database, root=root, buckets=buckets, strict=strict)
-    finally:
-        invoice.unpersist()
+    tables = Tables(raw, strict=strict, as_of=as_of, lead_date_format=lead_date_format).as_dict()
+    return refresh(spark, tables, database=database, root=root, buckets=buckets, strict=strict)
 
 
 def stage_sources(spark: SparkSession, raw, root: str | None = None):
@@ -195,14 +197,24 @@ def stage_sources(spark: SparkSession, raw, root: str | None = None):
     Profiling, the integrity checks and the load each pass over the sources; on
     text inputs every pass would re-parse the files. The staged copy (in shared
     storage: ``root`` or the checkpoint directory) is read column-pruned instead,
-    and it cuts the lineage, so a lost executor never re-reads the text.
+    and it cuts the lineage, so a lost executor never re-reads the text. Text
+    sources get their rows numbered here. ``remove_staged`` deletes the copy.
     """
     from larder.session import ensure_checkpoint_dir
-    from larder.sources.testdomain import RawSources
+    from larder.sources.csv import number_rows
+    from larder.sources.testdomain import ROW_ORDER, RawSources
 
     base = (root or ensure_checkpoint_dir(spark)).rstrip("/") + f"/staged-sources-{uuid.uuid4().hex}"
     frames = {}
     for name, df in (("invoices", raw.invoices), ("leads", raw.leads), ("salesteam", raw.salesteam)):
         df.write.mode("overwrite").parquet(f"{base}/{name}")
-        frames[name] = spark.read.parquet(f"{base}/{name}")
-    return RawSources(**frames)
+        stored = spark.read.parquet(f"{base}/{name}")
+        text_order = ROW_ORDER in df.columns and isinstance(df.schema[ROW_ORDER].dataType, T.StructType)
+        frames[name] = number_rows(stored) if text_order else stored
+    return RawSources(**frames, path=base)
+
+
+def remove_staged(spark: SparkSession, raw) -> None:
+    """Delete a staged copy of the sources; frames over it cannot be read afterwards."""
+    if raw.path:
+        _remove(spark, raw.path)

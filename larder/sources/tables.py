@@ -7,7 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from larder.operators.cleaning import clean_invoices, clean_leads, clean_salesteam
-from larder.operators.participants import customer_order
+from larder.operators.participants import customer_order, explode_participants
 from larder.sources.testdomain import RawSources, load_test_sources
 
 
@@ -18,10 +18,11 @@ class Tables:
     is not confused with the TPC-H ``orders`` test table it is derived from.
     """
 
-    def __init__(self, raw: RawSources, strict: bool = True, as_of=None):
+    def __init__(self, raw: RawSources, strict: bool = True, as_of=None, lead_date_format: str | None = None):
         self.raw = raw
         self.strict = strict
         self.as_of = as_of
+        self.lead_date_format = lead_date_format
 
     @cached_property
     def invoice(self) -> DataFrame:
@@ -29,7 +30,8 @@ class Tables:
 
     @cached_property
     def leads(self) -> DataFrame:
-        return clean_leads(self.raw.leads, strict=self.strict)
+        kw = {"date_format": self.lead_date_format} if self.lead_date_format else {}
+        return clean_leads(self.raw.leads, strict=self.strict, **kw)
 
     @cached_property
     def salesteam(self) -> DataFrame:
@@ -40,12 +42,16 @@ class Tables:
         # eager: ranks names and checkpoints the ranking
         return customer_order(self.invoice, as_of=self.as_of)
 
+    @cached_property
+    def order_names(self) -> DataFrame:
+        """``customer_order`` without ids: same rows, no ranking."""
+        return explode_participants(self.invoice, keep_order=False).select("Order_Id", "Participant_Name")
 
-    def as_dict(self, with_customer_order: bool = True) -> dict[str, DataFrame]:
+    def as_dict(self, with_customer_order: bool = True, ids: bool = True) -> dict[str, DataFrame]:
         """Cleaned tables under their target table names."""
         out = {"orders": self.leads, "invoice": self.invoice, "salesteam": self.salesteam}
         if with_customer_order:
-            out["customer_order"] = self.customer_order
+            out["customer_order"] = self.customer_order if ids else self.order_names
         return out
 
 

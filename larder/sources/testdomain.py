@@ -5,8 +5,8 @@ are not available, so the raw frames are derived from the test tables, in raw
 text form (string columns under the CSV header names) so that every cleaning
 step runs. The mapping:
 
-* invoices  <- orders ⋈ customer, closed orders only (status <> 'O'); the
-  participant list is the sorted set of part names on the order's line items.
+* invoices  <- orders ⋈ customer; the participant list is the sorted list of
+  part names on the order's line items, a name as often as it is there.
 * leads     <- orders ⋈ customer ⋈ nation (every order is a lead).
 * salesteam <- supplier ⋈ nation (suppliers act as reps of the nation "company").
 
@@ -56,23 +56,17 @@ def _ntz_text(ts: F.Column) -> F.Column:
 
 
 def order_part_names(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """(l_orderkey, names): sorted distinct part names per order.
-
-    ``collect_set`` is partially aggregated on the map side, so an order with
-    very many line items is reduced before the shuffle; the set is bounded by the
-    number of distinct part names.
-    """
+    """(l_orderkey, names): sorted part names per order, with repeats."""
     return (
         lineitem.select("l_orderkey", "l_partkey")
         .join(part.select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("l_orderkey")
-        .agg(F.array_sort(F.collect_set("p_name")).alias("names"))
+        .agg(F.array_sort(F.collect_list("p_name")).alias("names"))
     )
 
 
 def raw_invoices(orders: DataFrame, customer: DataFrame, lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    o = orders.filter(F.col("o_orderstatus") != "O")
-    base = o.join(customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    base = orders.join(customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
     base = base.join(
         order_part_names(lineitem, part), F.col("o_orderkey") == F.col("l_orderkey"), "left"
     )
@@ -137,6 +131,7 @@ class RawSources:
     invoices: DataFrame
     leads: DataFrame
     salesteam: DataFrame
+    path: str | None = None  # folder of the staged copy, if these frames read one
 
     def as_dict(self) -> dict[str, DataFrame]:
         """Raw frames under their source names."""

@@ -1,8 +1,14 @@
+import contextlib
+import io
 import os
 
+import pandas as pd
+import pytest
+
 from larder.operators.cleaning import clean_invoices
 from larder.operators.participants import customer_order
 from larder.sources.csv import load_csv_sources, scan_csv
+from larder.sources.publish import stage_sources
 from larder.sources.schemas import INVOICE_CSV_COLUMNS
 
 INVOICES_CSV = '''Order Id,Date,Meal Id,Company Id,Date of Meal,Participants,Meal Price,Type of Meal
@@ -12,7 +18,12 @@ O2,03-10-2016,M2,C1,2016-10-01 16:00:00+02:00,"['David Bishop'
 O3,04-10-2016,M3,C2,2016-10-01 12:30:00+00:00,[],NA,Dinner
 O4,05-01-2017,M4,C2,2017-01-05 00:15:00+01:00,"[""Pat O'Hara"" 'Ann Lee']",75,Lunch
 '''
-LEADS_CSV = "Order Id,Company Id,Company Name,Date,Order Value,Converted\nO1,C1,Acme,2016-05-20,500,1\n"
+LEADS_CSV = """Order Id,Company Id,Company Name,Date,Order Value,Converted
+O1,C1,Acme,2016-05-20,500,1
+O2,C1,Acme,2016-05-21,300,0
+O3,C2,Bolt,2016-05-22,200,1
+O4,C2,Bolt,2016-05-23,100,0
+"""
 TEAM_CSV = "Sales Rep,Sales Rep Id,Company Name,Company Id\nRita,R1,Acme,C1\n"
 
 
@@ -40,6 +51,7 @@ def test_csv_sources_end_to_end(spark, scratch_dir):
         _write(scratch_dir, "OrderLeads.csv", LEADS_CSV),
         _write(scratch_dir, "SalesTeam.csv", TEAM_CSV),
     )
+    raw = stage_sources(spark, raw)
     inv = clean_invoices(raw.invoices)
     got = sorted(
         (r[0], r[1] or "", r[2]) for r in customer_order(inv).select("Order_Id", "Participant_Name", "Customer_Id").collect()
@@ -48,7 +60,7 @@ def test_csv_sources_end_to_end(spark, scratch_dir):
         ("O1", "David Bishop", "1"), ("O2", "David Bishop", "1"), ("O2", "Ann Lee", "2"),
         ("O3", "", "0"), ("O4", 'Hara" ', "3"),
     ])
-    assert raw.leads.count() == 1 and raw.salesteam.count() == 1
+    assert raw.leads.count() == 4 and raw.salesteam.count() == 1
 
 
 def test_job_runs_from_csv(spark, scratch_dir):
@@ -67,18 +79,101 @@ def test_job_runs_from_csv(spark, scratch_dir):
     assert {r[0]: r[1] for r in rows}["David Bishop"] == 2
 
 
-def test_job_can_refuse_to_publish_on_violations(spark, scratch_dir):
-    import pytest
-
+def _job(spark, d, tag, invoices=INVOICES_CSV, leads=LEADS_CSV, team=TEAM_CSV, **kw):
     from larder import job
 
+    return job.run(
+        spark, _write(d, f"I{tag}.csv", invoices), _write(d, f"L{tag}.csv", leads), _write(d, f"S{tag}.csv", team),
+        database=f"job_{tag}", as_of="2024-01-02", **kw,
+    )
+
+
+BAD = {
+    "fk": dict(leads=LEADS_CSV.replace("O3,C2", "O8,C2")),  # invoice O3 has no order
+    "fk_company": dict(team=TEAM_CSV + "Zed,R9,Nowhere,C9\n"),
+    "length": dict(team=TEAM_CSV + f"{'z' * 300},R9,Acme,C1\n"),
+    "dup_key": dict(leads=LEADS_CSV + "O1,C1,Acme,2016-05-20,500,1\n"),
+    "null_key": dict(leads=LEADS_CSV + ",C1,Acme,2016-05-20,500,1\n"),
+}
+
+
+@pytest.mark.parametrize("case", sorted(BAD))
+def test_job_refuses_to_publish_broken_constraints(spark, scratch_dir, case):
     with pytest.raises(RuntimeError, match="violations"):
-        job.run(
-            spark,
-            _write(scratch_dir, "Invoices4.csv", INVOICES_CSV),  # O4 has an odd quote count
-            _write(scratch_dir, "OrderLeads4.csv", LEADS_CSV),
-            _write(scratch_dir, "SalesTeam4.csv", TEAM_CSV),
-            database="job_mart_strict",
-            as_of="2024-01-02",
-            fail_on_violations=True,
-        )
+        _job(spark, scratch_dir, f"bad_{case}", **BAD[case])
+    assert not spark.catalog.databaseExists(f"job_bad_{case}")
+
+
+def test_job_publishes_anyway_when_told(spark, scratch_dir):
+    _job(spark, scratch_dir, "anyway", publish_anyway=True, **BAD["fk_company"])
+    assert spark.table("job_anyway.salesteam").count() == 2
+
+
+def test_lead_date_format_reaches_the_checks(spark, scratch_dir):
+    leads = LEADS_CSV.replace("2016-05-2", "2016/05/2")
+    _job(spark, scratch_dir, "dates", leads=leads, lead_date_format="yyyy/M/d")
+    assert spark.table("job_dates.orders").filter("Date IS NULL").count() == 0
+
+
+def test_swapped_header_fails(spark, scratch_dir):
+    path = _write(scratch_dir, "swapped.csv", INVOICES_CSV.replace("Meal Id,Company Id", "Company Id,Meal Id"))
+    with pytest.raises(Exception, match="(?i)header"):
+        scan_csv(spark, path, INVOICE_CSV_COLUMNS).collect()
+
+
+def _many(n, at=0):
+    rows = [f"O{at + i},27-05-2016,M{at + i},C1,2016-05-31 07:00:00+02:00,['n{(at + i) * 7 % 50}' 'n{(at + i) * 3 % 40}'],10,Lunch" for i in range(n)]
+    return "\n".join([INVOICES_CSV.splitlines()[0], *rows]) + "\n"
+
+
+def _ids(inv):
+    return {(r[0], r[1], int(r[2])) for r in customer_order(inv).select("Order_Id", "Participant_Name", "Customer_Id").collect()}
+
+
+def _want(n):
+    pairs = [(f"O{i}", f"n{k}") for i in range(n) for k in (i * 7 % 50, i * 3 % 40)]
+    ids = pd.Series([p[1] for p in pairs]).factorize()[0] + 1
+    return {(o, name, int(k)) for (o, name), k in zip(pairs, ids)}
+
+
+def test_single_line_file_is_split_and_keeps_its_order(spark, scratch_dir):
+    path = _write(scratch_dir, "many.csv", _many(4000))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        raw = scan_csv(spark, path, INVOICE_CSV_COLUMNS, multi_line=False)
+        assert raw.rdd.getNumPartitions() > 4
+        empty = raw.limit(0)
+        staged = stage_sources(spark, type("R", (), {"invoices": raw, "leads": empty, "salesteam": empty}))
+        inv = clean_invoices(staged.invoices)
+        assert _ids(inv) == _want(4000)
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            from larder.operators.participants import _appearance_key, explode_participants
+            from pyspark.sql import functions as F
+
+            ex = explode_participants(inv)
+            ex.groupBy("Participant_Name").agg(F.min(_appearance_key(ex, ("_row_order", "Position")))).explain()
+        assert "HashAggregate" in buf.getvalue() and "SortAggregate" not in buf.getvalue()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_folder_of_many_multi_line_files_keeps_the_order_of_paths(spark, scratch_dir):
+    folder = os.path.join(scratch_dir, "parts")
+    os.makedirs(folder)
+    for k in range(6):
+        _write(folder, f"part-{k}.csv", _many(100, at=100 * k))
+    raw = scan_csv(spark, folder, INVOICE_CSV_COLUMNS)
+    empty = raw.limit(0)
+    staged = stage_sources(spark, type("R", (), {"invoices": raw, "leads": empty, "salesteam": empty}))
+    assert _ids(clean_invoices(staged.invoices)) == _want(600)
+
+
+def test_single_line_read_refuses_broken_lines(spark, scratch_dir):
+    with pytest.raises(ValueError, match="odd number of quotes"):
+        scan_csv(spark, _write(scratch_dir, "odd.csv", INVOICES_CSV), INVOICE_CSV_COLUMNS, multi_line=False)
+    short = _write(scratch_dir, "short.csv", _many(3) + "O9,27-05-2016,M9\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        scan_csv(spark, short, INVOICE_CSV_COLUMNS, multi_line=False).collect()

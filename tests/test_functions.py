@@ -103,11 +103,15 @@ def test_rounding_is_exact_half_up(spark):
     assert [r["r2"] for r in rows] == [1.01, 0.33, 0.67, 0.13, None, None]
 
 
-def test_round2_of_avg_rounds_the_four_digit_average(spark):
-    # 1.00495 -> AVG keeps 1.0050 (half up at 4 digits) -> ROUND(.., 2) = 1.01
-    df = spark.createDataFrame([(100495, 100000)], "s long, n long")
-    assert df.select(rounding.round2_of_avg("s", "n")).first()[0] == 1.01
-    assert df.select(rounding.avg_half_up("s", "n", digits=2)).first()[0] == 1.0
+def test_round2_of_avg_rounds_the_exact_quotient(spark):
+    df = spark.createDataFrame([(100495, 100000), (1004996, 1000000)], "s long, n long")
+    assert [r[0] for r in df.select(rounding.round2_of_avg("s", "n")).collect()] == [1.0, 1.0]
+
+
+def test_negative_sums_round_half_away_from_zero(spark):
+    df = spark.createDataFrame([(-16, 10), (-5, 1000), (-201, 200)], "s long, n long")
+    rows = df.select(rounding.avg_half_up("s", "n").alias("a4"), rounding.round2_of_avg("s", "n").alias("r2")).collect()
+    assert [tuple(r) for r in rows] == [(-1.6, -1.6), (-0.005, -0.01), (-1.005, -1.01)]
 
 
 def test_rounding_large_sums_do_not_overflow(spark):

@@ -1,10 +1,12 @@
 import contextlib
 import io
 
+import pytest
+
 from larder.plans import views
 from larder.sources import publish
 from larder.sources.tables import Tables
-from tests.fixtures import raw_sources
+from tests.fixtures import INVOICES, raw_sources
 
 
 def _plan(df, mode="formatted"):
@@ -82,12 +84,56 @@ def test_key_checks_on_bucketed_tables_need_no_shuffle(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_view_results_published_as_tables(spark):
-    from larder.plans.catalog import publish_views
+def test_persistent_views_equal_the_frames_and_follow_a_refresh(spark):
+    from larder.plans.catalog import VIEW_BUILDERS, create_views
 
     t = Tables(raw_sources(spark), as_of="2024-01-02")
     publish.refresh(spark, t.as_dict(), database="t_mart5")
-    names = publish_views(spark, publish.published(spark, "t_mart5"), "t_mart5", ["sales_by_year", "customer_stats"])
-    assert names == ["t_mart5.sales_by_year", "t_mart5.customer_stats"]
-    got = {r["Year"]: r["Total_Invoices"] for r in spark.table("t_mart5.sales_by_year").collect()}
-    assert got == {2016: 3, 2017: 2}
+    names = create_views(spark, "t_mart5")
+    assert len(names) == 11
+    for _ in range(2):
+        p = publish.published(spark, "t_mart5")
+        for name, build in VIEW_BUILDERS.items():
+            want, got = build(p), spark.newSession().table(f"t_mart5.{name}")  # seen by other sessions
+            assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in want.schema], name
+            assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), name
+        refund = (6, "O6", "05-01-2018", "M6", "C3", "2018-01-06 10:00:00+01:00", "['Ann Lee']", "-77", "Dinner")
+        t = Tables(raw_sources(spark, invoices=INVOICES + [refund]), as_of="2024-01-02")
+        publish.refresh(spark, t.as_dict(), database="t_mart5")
+    assert spark.table("t_mart5.invoice").count() == 6
+
+
+def test_failed_write_leaves_the_previous_set(spark):
+    from larder.plans.catalog import create_views
+
+    t = Tables(raw_sources(spark), as_of="2024-01-02")
+    publish.refresh(spark, t.as_dict(), database="t_mart6")
+    create_views(spark, "t_mart6")
+    before = _snapshot(publish.published(spark, "t_mart6"))
+    stats = sorted(map(str, spark.table("t_mart6.customer_stats").collect()))
+    bad = (6, "O6", "05-01-2018", "M6", "C3", "2018-01-06 10:00:00+01:00", "['Ann Lee']", "40000", "Dinner")  # price too large
+    t = Tables(raw_sources(spark, invoices=INVOICES + [bad]), as_of="2024-01-02")
+    with pytest.raises(Exception, match="(?i)overflow|CAST_INVALID"):
+        publish.refresh(spark, t.as_dict(), database="t_mart6")
+    assert _snapshot(publish.published(spark, "t_mart6")) == before
+    assert sorted(map(str, spark.table("t_mart6.customer_stats").collect())) == stats
+
+
+def test_old_runs_are_dropped_with_their_files(spark):
+    t = Tables(raw_sources(spark), as_of="2024-01-02")
+    for _ in range(3):
+        publish.refresh(spark, t.as_dict(), database="t_mart7")
+    before = _snapshot(publish.published(spark, "t_mart7"))
+    dropped = publish.drop_old_runs(spark, "t_mart7", keep=1)
+    assert len(dropped) == 8
+    assert _snapshot(publish.published(spark, "t_mart7")) == before
+    left = [x.name for x in spark.catalog.listTables("t_mart7") if publish.RUN_MARK in x.name]
+    assert len(left) == 4
+
+
+def test_staged_sources_can_be_removed(spark):
+    raw = publish.stage_sources(spark, raw_sources(spark))
+    assert raw.invoices.count() == 5
+    publish.remove_staged(spark, raw)
+    with pytest.raises(Exception):
+        spark.read.parquet(raw.path + "/invoices")

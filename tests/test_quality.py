@@ -94,3 +94,13 @@ def test_range_counts_participant_overflow_on_raw_text(spark):
     rng = _counts(quality.check_range(t.raw.as_dict()))
     assert rng[("range", "invoices", "Number_of_Participants")] == 1
     assert t.invoice.filter("Order_Id = 'O8'").first()["Number_of_Participants"] is None
+
+
+def test_more_names_than_the_column_holds_are_reported_not_raised(spark):
+    many = "[" + " ".join(f"'n{i}'" for i in range(200)) + "]"
+    invoices = INVOICES + [(8, "O8", "01-02-2017", "M8", "C1", "2017-02-01 10:00:00+00:00", many, "10", "Lunch")]
+    t = Tables(raw_sources(spark, invoices=invoices), strict=False)
+    parts = _counts(quality.check_participants(t.as_dict(False)))
+    assert parts[("participants", "invoice", "count_vs_names")] == 0
+    rows = {tuple(r) for r in quality.violation_rows(t.as_dict(), t.raw.as_dict()).collect()}
+    assert ("range", "invoices", "Number_of_Participants", "O8", "200") in rows

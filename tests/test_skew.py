@@ -57,7 +57,7 @@ def _invoices(spark, n=3000, seed=3):
 def test_hot_name_shuffle_join_is_exact(spark, skew_conf):
     inv, rows = _invoices(spark)
     want = pd.Series([x for r in rows for x in r[3]]).factorize()[0] + 1
-    co = customer_order(inv, broadcast_max_names=0, num_partitions=4)
+    co = customer_order(inv, num_partitions=4)
     ex = explode_participants(inv)
     got = (
         ex.join(co.select("Order_Id", "Participant_Name", "Customer_Id").distinct(), ["Order_Id", "Participant_Name"])

@@ -147,13 +147,3 @@ def test_collation_option_groups_case_insensitively(spark):
     folded = {r["customer_name"].lower() if r["customer_name"] else None: r["number_of_order"]
               for r in views.customer_stats(co, inv).collect()}
     assert folded["david bishop"] == 3
-
-
-def test_fetch_pandas_is_bounded(spark):
-    import pytest
-
-    t = _t(spark)
-    pdf = reports.fetch_pandas(views.sales_by_year(t.invoice), max_rows=10)
-    assert sorted(pdf["Year"].tolist()) == [2016, 2017]
-    with pytest.raises(ValueError):
-        reports.fetch_pandas(views.difference_days(t.invoice), max_rows=2)
