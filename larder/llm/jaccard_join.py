@@ -48,11 +48,11 @@ from larder.llm.components import components
 
 SHINGLE = 5
 GROUPS = 64
-HEAVY = 1 << 18
-HEAVY_FROM = 16
-BLOCK = 2048
-FANOUT = 16
-_CHUNK = 8 << 20
+HEAVY = 1 << 20
+HEAVY_FROM = 4
+BLOCK = 512
+FANOUT = 32
+_CHUNK = 4 << 20
 
 
 def least_overlap(n: np.ndarray | int, m: np.ndarray | int) -> np.ndarray | int:
@@ -99,7 +99,8 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
 
 
 _POSTINGS = "bucket int, doc_id long, n int, sig1 long, sig2 long, hits int, hashes binary, ids binary, counts binary"
-_FOUND = "doc_id long, n int, sig1 long, sig2 long, hits int, token long, df int"
+_FOUND = "part int, ids binary, hits binary, sizes binary, sig1 binary, sig2 binary, tokens binary, dfs binary"
+_SIZES = "doc_id long, n int, sig1 long, sig2 long, hits long"
 
 
 def _post(buckets: int):
@@ -143,35 +144,73 @@ def _post(buckets: int):
     return run
 
 
-def _meet(table: pa.Table) -> pa.Table:
-    """One hash range: how many posted shingles of each document others have too; frequent shingles."""
-    packed = table["hashes"].is_valid()
-    docs = table.filter(pa.compute.invert(packed)).select(["doc_id", "n", "sig1", "sig2", "hits"])
-    rows = table.filter(packed)
-    out = [docs.append_column("token", pa.nulls(docs.num_rows, pa.int64())).append_column("df", pa.nulls(docs.num_rows, pa.int32()))]
-    if rows.num_rows:
-        t = np.concatenate([np.frombuffer(x, np.uint64) for x in rows["hashes"].to_pylist()])
-        ids = np.concatenate([restored(x) for x in rows["ids"].to_pylist()])
-        counts = np.concatenate([np.frombuffer(x, np.int32) for x in rows["counts"].to_pylist()])
-        order = np.argsort(t)
-        t, ids, counts = t[order], ids[order], counts[order]
-        at = np.flatnonzero(np.append(True, t[1:] != t[:-1]))
-        size = np.diff(np.append(at, len(t)))
-        told = ids[np.repeat(size > 1, size) & (counts == 1)]  # inside a chunk repeated ones are counted already
-        who, hits = np.unique(told, return_counts=True)
-        df = np.add.reduceat(counts, at)
-        heavy = np.flatnonzero(df >= HEAVY_FROM)
-        null = lambda k, kind: pa.nulls(k, kind)
-        names = out[0].schema.names
-        out.append(pa.table([pa.array(who), null(len(who), pa.int32()), null(len(who), pa.int64()), null(len(who), pa.int64()), pa.array(hits.astype(np.int32)), null(len(who), pa.int64()), null(len(who), pa.int32())], names=names))
-        k = len(heavy)
-        out.append(pa.table([null(k, pa.int64()), null(k, pa.int32()), null(k, pa.int64()), null(k, pa.int64()), null(k, pa.int32()), pa.array(t[at][heavy].view(np.int64)), pa.array(df[heavy].astype(np.int32))], names=names))
-    return pa.concat_tables(out)
+def _meet(parts: int):
+    """One hash range: documents with their own hits, hits told by other chunks, and frequent shingles, packed by document part."""
+
+    def run(table: pa.Table) -> pa.Table:
+        packed = table["hashes"].is_valid()
+        docs, rows = table.filter(pa.compute.invert(packed)), table.filter(packed)
+        out: list[dict] = []
+        for part, own in _parts(docs["doc_id"].to_numpy(), parts):
+            columns = {k: docs[c].take(pa.array(own)).to_numpy() for k, c in (("ids", "doc_id"), ("hits", "hits"), ("sizes", "n"), ("sig1", "sig1"), ("sig2", "sig2"))}
+            out.append({"part": part, **{k: v.astype(np.int64).tobytes() for k, v in columns.items()}})
+        if rows.num_rows:
+            t = np.concatenate([np.frombuffer(x, np.uint64) for x in rows["hashes"].to_pylist()])
+            ids = np.concatenate([restored(x) for x in rows["ids"].to_pylist()])
+            counts = np.concatenate([np.frombuffer(x, np.int32) for x in rows["counts"].to_pylist()])
+            order = np.argsort(t)
+            t, ids, counts = t[order], ids[order], counts[order]
+            at = np.flatnonzero(np.append(True, t[1:] != t[:-1]))
+            size = np.diff(np.append(at, len(t)))
+            told = ids[np.repeat(size > 1, size) & (counts == 1)]  # inside a chunk repeated ones are counted already
+            who, hits = np.unique(told, return_counts=True)
+            for part, own in _parts(who, parts):
+                out.append({"part": part, "ids": who[own].tobytes(), "hits": hits[own].astype(np.int64).tobytes()})
+            df = np.add.reduceat(counts, at)
+            heavy = np.flatnonzero(df >= HEAVY_FROM)
+            if len(heavy):
+                out.append({"part": -1, "tokens": t[at][heavy].tobytes(), "dfs": df[heavy].astype(np.int64).tobytes()})
+        return pa.Table.from_pylist(out, schema=pa.schema([("part", pa.int32()), *[(f.split()[0], pa.binary()) for f in _FOUND.split(", ")[1:]]]))
+
+    return run
+
+
+def _parts(ids: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Positions of the ids of each part."""
+    part = (mix(ids.astype(np.int64).view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    edges = np.searchsorted(part[order], np.arange(parts + 1))
+    for p in np.flatnonzero(np.diff(edges)).tolist():
+        yield p, order[edges[p] : edges[p + 1]]
+
+
+def _total(table: pa.Table) -> pa.Table:
+    """One part: every document with all its hits."""
+    hold: dict[int, list] = {}
+    for row in table.to_pylist():
+        ids, hits = (np.frombuffer(row[c], np.int64).tolist() for c in ("ids", "hits"))
+        if row["sizes"] is None:
+            for doc, n in zip(ids, hits):
+                hold.setdefault(doc, [0, 0, 0, 0])[3] += n
+        else:
+            for doc, n, *own in zip(ids, hits, *(np.frombuffer(row[c], np.int64).tolist() for c in ("sizes", "sig1", "sig2"))):
+                have = hold.setdefault(doc, [0, 0, 0, 0])
+                have[:3] = max(have[:3], own)
+                have[3] += n
+    out = list(hold.values())
+    columns = [list(hold), *([x[k] for x in out] for k in range(4))]
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+    return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)], names=[f.split()[0] for f in _SIZES.split(", ")])
 
 
 def _heavy(found: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent posted shingles, HEAVY at most, ascending, and their frequencies."""
-    frequent = found.filter(F.col("token").isNotNull())
+    def unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for token, df in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(token, np.int64)), pa.array(np.frombuffer(df, np.int64))], names=["token", "df"])
+
+    frequent = found.filter("part = -1").select("tokens", "dfs").mapInArrow(unpack, "token long, df long")
     bands = frequent.groupBy(F.floor(F.log2("df")).alias("band")).count().collect()
     least, total = 63, 0
     for band, n in sorted(((r[0], r[1]) for r in bands), reverse=True):
@@ -227,6 +266,17 @@ class CountTree:
         other = self.sizes[found]
         return found[np.minimum(self.points[found], point).sum(axis=1) >= least_overlap(size, other)]
 
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """All (a, b), a <> b, that a search from each set finds; a tree of one leaf is compared at once."""
+        n = len(self.sizes)
+        if n <= FANOUT:
+            bound = np.minimum(self.points[:, None], self.points[None]).sum(axis=2)
+            a, b = np.nonzero(bound >= least_overlap(self.sizes[:, None], self.sizes[None]))
+        else:
+            near = [self.search(self.points[i], int(self.sizes[i])) for i in range(n)]
+            a, b = np.repeat(np.arange(n), [len(x) for x in near]), np.concatenate(near)
+        return a[a != b], b[a != b]
+
 
 def counts_of(token: np.ndarray) -> np.ndarray:
     return np.bincount((token & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
@@ -275,11 +325,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     buckets = 4 * shuffle_width(spark)
 
     # 1. posted shingles meet by hash range
-    found = keep(named.mapInArrow(_post(buckets), _POSTINGS).groupBy("bucket").applyInArrow(_meet, _FOUND), "posted")
-    sizes = keep(
-        found.filter(F.col("doc_id").isNotNull()).groupBy("doc_id")
-        .agg(F.max("n").alias("n"), F.max("sig1").alias("sig1"), F.max("sig2").alias("sig2"), F.sum("hits").alias("hits")), "sizes",
-    )
+    found = keep(named.mapInArrow(_post(buckets), _POSTINGS).groupBy("bucket").applyInArrow(_meet(shuffle_width(spark)), _FOUND), "posted")
+    sizes = keep(found.filter("part >= 0").groupBy("part").applyInArrow(_total, _SIZES), "sizes")
     left = sizes.filter((F.col("n") > 0) & (25 * F.col("hits") >= 4 * F.col("n")))
     token, df = _heavy(found)
     heavy = spark.sparkContext.broadcast((token, df))
@@ -357,20 +404,31 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     pairs_of_blocks = pairs_of_blocks.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
 
     def across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        count = 0
+
+        def told() -> pa.RecordBatch:
+            """The pairs found since the last time, once each."""
+            rows = np.unique(np.concatenate(held), axis=0)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(rows[:, 0].copy()), pa.array(rows[:, 1].copy())], names=["a", "b"])
+
         for rows in runs(batches, ["token", "low", "high"]):
             ids, sizes, comp = (rows[c].to_numpy() for c in ("rep", "n", "component"))
             own, low, high = (rows[c].to_numpy() for c in ("own", "low", "high"))
-            points = np.array([np.frombuffer(x, "<u2" if len(x) == 2 * GROUPS else "<u4") for x in rows["point"].to_pylist()]).astype(np.int64)
-            tree = CountTree(points, sizes.astype(np.int64))
-            one, two = [], []
-            for i in range(len(ids)):
-                near = tree.search(points[i], int(sizes[i]))
-                near = near[(comp[near] != comp[i]) & (ids[near] > ids[i])]
-                if low[0] != high[0]:
-                    near = near[own[near] != own[i]]
-                one.append(np.full(len(near), ids[i]))
-                two.append(ids[near])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(one)), pa.array(np.concatenate(two))], names=["a", "b"])
+            points = np.array([np.frombuffer(x, "<u2" if len(x) == 2 * GROUPS else "<u4") for x in rows["point"].to_pylist()]).astype(np.int32)
+            a, b = CountTree(points, sizes.astype(np.int64)).pairs()
+            good = (comp[a] != comp[b]) & (ids[a] < ids[b])
+            if low[0] != high[0]:
+                good &= own[a] != own[b]
+            if good.any():
+                held.append(np.stack([ids[a[good]], ids[b[good]]], axis=1))
+                count += int(good.sum())
+                if count >= 1 << 20:
+                    yield told()
+                    count = 0
+        if held:
+            yield told()
 
     candidates = pairs_of_blocks.select("token", "low", "high", "own", "rep", "n", "component", "point").repartition(width, "token", "low", "high").sortWithinPartitions("token", "low", "high")
     candidates = keep(candidates.mapInArrow(across, "a long, b long").distinct(), "candidates")
