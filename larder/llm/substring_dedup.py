@@ -36,7 +36,9 @@ from larder.llm.windows import HOT, begins, keyed_rows, prefix_hashes, segments,
 
 WINDOW = 50
 GRAM = 6
-_CHUNK = 8 << 20
+_CHUNK = 2 << 20
+#: Bytes of text whose equal segments are taken together before they travel.
+_DEAL_TEXT = 16 << 20
 _WORD = 6  # bytes of a word's hash that travel
 _LAST = 2**63 - 1
 _GROUP = "bucket int, anchors binary, counts binary, keys binary, docs binary, places binary, lefts binary, rights binary, text binary"
@@ -193,21 +195,31 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot:
         text = np.searchsorted(texts, at[some], side="right") - 1
         return w, texts, anchor[some], at[some], first[some], last[some], text
 
+    schema = pa.schema([("bucket", pa.int32()), *[(f.split()[0], pa.binary()) for f in _GROUP.split(", ")[1:]]])
+
+    def packed(held: dict[tuple, list]) -> pa.RecordBatch:
+        out: dict[int, list] = {}
+        for (hashed, text, left, right), places in held.items():
+            out.setdefault((hashed >> 32) * buckets >> 32, []).append((hashed, text, left, right, places))
+        return pa.RecordBatch.from_pylist([{"bucket": b, **_pack(rows)} for b, rows in out.items()], schema=schema)
+
     def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, list] = {}
+        read = 0
         for batch in gathered(batches, "text", _CHUNK):
             keys, ids = batch.column(0).to_numpy().tolist(), batch.column(1).to_numpy().tolist()
             w, texts, anchor, at, first, last, text = candidates(batch)
             short = np.ascontiguousarray(w.view(np.uint8).reshape(-1, 8)[:, :_WORD]).tobytes()
-            held: dict[tuple, list] = {}
             for i in np.flatnonzero(~np.isin(anchor, crowded.value)).tolist():
                 a, f, e, t = int(at[i]), int(first[i]), int(last[i]), int(text[i])
                 segment = (int(anchor[i]), short[f * _WORD : (e + window) * _WORD], a - f, e + window - a)
                 held.setdefault(segment, []).append((keys[t], ids[t], a - int(texts[t])))
-            out: dict[int, list] = {}
-            for (hashed, words_, left, right), places in held.items():
-                out.setdefault((hashed >> 32) * buckets >> 32, []).append((hashed, words_, left, right, places))
-            if out:
-                yield pa.RecordBatch.from_pylist([{"bucket": b, **_pack(rows)} for b, rows in out.items()], schema=pa.schema([("bucket", pa.int32()), *[(f.split()[0], pa.binary()) for f in _GROUP.split(", ")[1:]]]))
+            read += batch.column(2).nbytes
+            if read >= _DEAL_TEXT and held:
+                yield packed(held)
+                held, read = {}, 0
+        if held:
+            yield packed(held)
 
     spans = docs.mapInArrow(deal, _GROUP).groupBy("bucket").applyInArrow(_group(window, gram), "key long, start long, end long")
     if not len(crowded.value):

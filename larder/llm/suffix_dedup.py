@@ -40,7 +40,9 @@ from larder.llm.windows import HOT, begins, keyed_rows, prefix_hashes, segments,
 
 LENGTH = 400
 GRAM = 64
-_CHUNK = 8 << 20
+_CHUNK = 2 << 20
+#: Bytes of text whose suffixes are sorted into one run.
+_RUN_TEXT = 16 << 20
 _MEMBERS = 8192
 _RUN = "bucket int, shared binary, sizes binary, rest binary, counts binary, keys binary, places binary, lefts binary, before binary"
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -268,20 +270,27 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
         text = np.searchsorted(offsets, at[some], side="right") - 1
         return data, offsets, anchor[some], at[some], first[some], last[some], text
 
+    schema = pa.schema([("bucket", pa.int32()), *[(f.split()[0], pa.binary()) for f in _RUN.split(", ")[1:]]])
+
     def sort(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        entries: dict[bytes, list] = {}
+        read = 0
         for batch in gathered(batches, "text", _CHUNK):
             keys = batch.column(0).to_numpy()
             data, offsets, anchor, at, first, last, text = candidates(batch)
             raw = data.tobytes()
             calm = ~np.isin(anchor, crowded.value)
             head = anchor.astype(">u8").tobytes()
-            entries: dict[bytes, list] = {}
             for i in np.flatnonzero(calm).tolist():
                 a, f, e = int(at[i]), int(first[i]), int(last[i])
                 suffix = head[8 * i : 8 * i + 8] + raw[a : e + length]
                 entries.setdefault(suffix, []).append((raw[f:a], int(keys[text[i]]), a - int(offsets[text[i]])))
-            if entries:
-                yield pa.RecordBatch.from_pylist(_write_runs(sorted(entries.items()), buckets), schema=pa.schema([("bucket", pa.int32()), *[(f.split()[0], pa.binary()) for f in _RUN.split(", ")[1:]]]))
+            read += len(data)
+            if read >= _RUN_TEXT and entries:
+                yield pa.RecordBatch.from_pylist(_write_runs(sorted(entries.items()), buckets), schema=schema)
+                entries, read = {}, 0
+        if entries:
+            yield pa.RecordBatch.from_pylist(_write_runs(sorted(entries.items()), buckets), schema=schema)
 
     spans = docs.mapInArrow(sort, _RUN).groupBy("bucket").applyInArrow(_merge(length), "key long, start long, end long")
     if not len(crowded.value):
@@ -343,13 +352,14 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     mark = "__key"
     keyed = docs.withColumn(mark, F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
     spans = repeated_spans(keyed.select(F.col(mark).alias("key"), F.coalesce("text", F.lit("")).alias("text")))
-    at = docs.columns.index("text")
+    names = docs.columns
+    at = names.index("text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in gathered(batches, "text", _CHUNK):
             kept = [None if text is None else text if not own else _kept(text.encode(), own)[0].decode("utf-8", "ignore")
                     for text, own in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.string()) if i == at else batch.column(i) for i in range(len(docs.columns))], names=docs.columns)
+            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.string()) if i == at else batch.column(i) for i in range(len(names))], names=names)
 
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return with_spans(keyed, spans, mark, run, ddl)
