@@ -52,7 +52,7 @@ HEAVY = 1 << 20
 HEAVY_FROM = 4
 BLOCK = 512
 FANOUT = 32
-_CHUNK = 4 << 20
+_CHUNK = 2 << 20
 
 
 def least_overlap(n: np.ndarray | int, m: np.ndarray | int) -> np.ndarray | int:
@@ -217,6 +217,8 @@ def _heavy(found: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         if total + n > HEAVY:
             break
         least, total = band, total + n
+    if not total:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     rows = frequent.filter(F.col("df") >= F.lit(1 << least)).select("token", "df").toArrow()
     token, df = rows["token"].to_numpy().view(np.uint64), rows["df"].to_numpy()
     order = np.argsort(token)

@@ -40,10 +40,10 @@ from larder.llm.windows import HOT, begins, keyed_rows, prefix_hashes, segments,
 
 LENGTH = 400
 GRAM = 64
-_CHUNK = 2 << 20
+_CHUNK = 512 << 10
 #: Bytes of text whose suffixes are sorted into one run.
-_RUN_TEXT = 16 << 20
-_MEMBERS = 8192
+_RUN_TEXT = 8 << 20
+_MEMBERS = 1024
 _RUN = "bucket int, shared binary, sizes binary, rest binary, counts binary, keys binary, places binary, lefts binary, before binary"
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
@@ -249,7 +249,7 @@ def _merge(length: int) -> Callable[[pa.Table], pa.Table]:
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """(key, start, end) of byte spans made of repeated windows; docs has key and text."""
     spark = docs.sparkSession
-    buckets = 2 * shuffle_width(spark)
+    buckets = 8 * shuffle_width(spark)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in gathered(batches, "text", _CHUNK):
