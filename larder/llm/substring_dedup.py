@@ -36,9 +36,9 @@ from larder.llm.windows import HOT, begins, keyed_rows, prefix_hashes, segments,
 
 WINDOW = 50
 GRAM = 6
-_CHUNK = 2 << 20
+_CHUNK = 512 << 10
 #: Bytes of text whose equal segments are taken together before they travel.
-_DEAL_TEXT = 16 << 20
+_DEAL_TEXT = 8 << 20
 _WORD = 6  # bytes of a word's hash that travel
 _LAST = 2**63 - 1
 _GROUP = "bucket int, anchors binary, counts binary, keys binary, docs binary, places binary, lefts binary, rights binary, text binary"
@@ -170,7 +170,7 @@ def _group(window: int, gram: int) -> Callable[[pa.Table], pa.Table]:
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """(key, start, end) of word spans made of windows that a smaller document has; docs has key, doc and text."""
     spark = docs.sparkSession
-    buckets = 2 * shuffle_width(spark)
+    buckets = 8 * shuffle_width(spark)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in gathered(batches, "text", _CHUNK):
