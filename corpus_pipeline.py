@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from larder.llm import jaccard_join, language, packing, personal_data, suffix_dedup
-from larder.llm.common import keep, read_table
+from larder.llm.common import keep, read_table, small_batches
 
 
 def _same_columns(out: DataFrame, docs: DataFrame) -> DataFrame:
@@ -24,6 +24,7 @@ def _same_columns(out: DataFrame, docs: DataFrame) -> DataFrame:
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that is recognised; those without text or letters, or called with little confidence, go."""
+    small_batches(spark)
     return language.accepted(docs)
 
 
@@ -32,6 +33,7 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
     Documents without an id cannot be grouped and stay.
     """
+    small_batches(spark)
     groups = jaccard_join.join(docs)
     heads = groups.filter(F.col("doc_id").isNotNull() & (F.col("doc_id") == F.col("component_id"))).select("doc_id").distinct()
     named = docs.filter(F.col("doc_id").isNotNull()).join(keep(heads, "heads"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
@@ -40,6 +42,7 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages of 400 bytes or more that repeat across the corpus."""
+    small_batches(spark)
     return _same_columns(suffix_dedup.deduplicated(docs), docs)
 
 
@@ -50,6 +53,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of every document in sequences of 1024 tokens."""
+    small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

@@ -29,9 +29,17 @@ _LOWER[65:91] += 32
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches that whole texts travel in, unless the session has its own setting."""
+    for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", "2000"), ("spark.sql.execution.arrow.maxBytesPerBatch", "8m")):
+        if not spark.sparkContext.getConf().contains(key):
+            spark.conf.set(key, value)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """The cluster's number of shuffle partitions, which sizes every bucketed exchange."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -190,8 +198,8 @@ def runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
         yield pa.Table.from_batches(held)
 
 
-#: Bits of a Bloom filter that is broadcast: 16 MB, whatever the input.
-BLOOM_BITS = 1 << 27
+#: Bits of a Bloom filter that is broadcast: 8 MB, whatever the input.
+BLOOM_BITS = 1 << 26
 
 
 class Bloom:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from larder.llm.common import _BASE, _TABLE, bloom, flat, gathered, keep, mix, powers, shuffle_width
-from larder.llm.windows import HOT, begins, keyed_rows, prefix_hashes, segments, spans_of, spans_table, unions, with_spans
+from larder.llm.windows import HOT, begins, keyed_rows, segments, spans_of, spans_table, unions, with_spans
 
 LENGTH = 400
 GRAM = 64
@@ -176,20 +176,22 @@ def _repeated(members: list[tuple[int, int, bytes, bytes, list]], length: int) -
     lefts = np.array([len(m[3]) for m in members])
     rights = np.array([m[1] for m in members])
     width = int(lefts.max(initial=0))
-    grid = np.zeros((len(members), width), np.uint64)
+    grid = np.zeros((width, len(members)), np.uint8)
     for i, m in enumerate(members):
-        grid[i, : lefts[i]] = np.frombuffer(m[3], np.uint8)[::-1]
-    before = prefix_hashes(grid)
+        grid[: lefts[i], i] = np.frombuffer(m[3], np.uint8)[::-1]
+    before = np.zeros(len(members), np.uint64)  # hash of the o bytes before each anchor
     common = np.array([m[0] for m in members])
-    offsets = np.arange(width + 1)
-    owned = (offsets >= (length - rights)[:, None]) & (offsets <= lefts[:, None])
-    marks = np.zeros_like(owned)
-    marks |= owned & np.array([len(m[4]) > 1 for m in members])[:, None]  # equal as a whole
+    many = np.array([len(m[4]) > 1 for m in members])
+    marks = np.zeros((len(members), width + 1), bool)
     for o in range(width + 1):
-        rows = np.flatnonzero(owned[:, o])
+        if o:
+            before = mix(before + _TABLE[grid[o - 1]])
+        owned = (o >= length - rights) & (o <= lefts)
+        marks[:, o] = owned & many  # equal as a whole
+        rows = np.flatnonzero(owned)
         if len(rows) > 1:
             group = np.cumsum(common < length - o)[rows]
-            key = mix(group.astype(np.uint64)) ^ before[rows, o]
+            key = mix(group.astype(np.uint64)) ^ before[rows]
             order = np.argsort(key)
             same = key[order][1:] == key[order][:-1]
             marks[rows[order[1:][same]], o] = True

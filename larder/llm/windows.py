@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from larder.llm.common import bloom, keep, mix
 
+#: Column that ``with_spans`` adds.
+SPANS = "__spans"
 #: Occurrences beyond which an anchor's windows are counted by hash, with partial sums, instead of being sorted together.
 HOT = 100_000
 
@@ -93,7 +95,7 @@ def spans_table(keys: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Ta
 
 def with_spans(docs: DataFrame, spans: DataFrame, key: str, run: Callable, schema: str) -> DataFrame:
     """``run`` over all rows of docs, given the spans of each; only rows that may have some are shuffled."""
-    grouped = keep(spans.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
+    grouped = keep(spans.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias(SPANS)), "spans")
     touched = docs.sparkSession.sparkContext.broadcast(bloom(grouped.select("key")))
     place = docs.columns.index(key)
 
@@ -106,8 +108,8 @@ def with_spans(docs: DataFrame, spans: DataFrame, key: str, run: Callable, schem
         return split
 
     none = F.lit(None).cast("array<struct<start:long,end:long>>")
-    hit = docs.mapInArrow(side(True), docs.schema).join(grouped.withColumnRenamed("key", key), key, "left").select(*docs.columns, "spans")
-    rest = docs.mapInArrow(side(False), docs.schema).withColumn("spans", none)
+    hit = docs.mapInArrow(side(True), docs.schema).join(grouped.withColumnRenamed("key", key), key, "left").select(*docs.columns, SPANS)
+    rest = docs.mapInArrow(side(False), docs.schema).withColumn(SPANS, none)
     return rest.mapInArrow(run, schema).unionByName(hit.mapInArrow(run, schema))
 
 
