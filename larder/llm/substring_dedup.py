@@ -58,7 +58,7 @@ def word_segments(data: np.ndarray, offsets: np.ndarray, window: int, gram: int)
         grams += w[k : n - gram + 1 + k] * np.uint64(pow(0xD1342543DE82EF95, k, 1 << 64))
     grams = mix(grams)
     at, begin, last = segments(grams, begins(first, window, n), window - gram + 1)
-    return w, first, grams[at], at, begin, last
+    return w, first, mix(grams[at]), at, begin, last  # scrambled: least hashes are all small
 
 
 def _pack(rows: list[tuple[int, bytes, int, int, list]]) -> dict:

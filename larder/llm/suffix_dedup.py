@@ -58,7 +58,7 @@ def byte_segments(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, g
     np.cumsum(_TABLE[data] * powers(n), out=sums[1:])
     grams = mix((sums[gram:] - sums[: n - gram + 1]) * powers(n + 1, pow(_BASE, -1, 1 << 64))[: n - gram + 1])
     at, first, last = segments(grams, begins(offsets, length, n), length - gram + 1)
-    return grams[at], at, first, last
+    return mix(grams[at]), at, first, last  # scrambled: least hashes are all small, ranges of them would be uneven
 
 
 def shared_prefix(a: bytes, b: bytes, known: int = 0) -> int:
