@@ -2,8 +2,9 @@
 
 The raw frames are derived from the test tables and staged once as Parquet (as
 the job stages its CSV inputs); the refresh cleans them, numbers customers and
-writes the four tables; views and checks read the published tables, profiles
-the staged sources.
+writes the four tables; views and checks read the published tables, profiles and
+cleaning steps the staged sources. Every key of the reference's operators is
+timed; the corpus queries are measured by their own check.
 
 Prints one JSON line:
 {"metric": "total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
@@ -26,10 +27,15 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from larder.operators import profiling, quality  # noqa: E402
+from larder.functions import scalar  # noqa: E402
+from larder.operators import participants, profiling, quality  # noqa: E402
+from larder.operators.cleaning import underscore_columns  # noqa: E402
+from larder.operators.conform import conform  # noqa: E402
 from larder.plans import reports, views  # noqa: E402
 from larder.session import build_session  # noqa: E402
 from larder.sources import publish  # noqa: E402
+from larder.sources.schemas import TARGET_SCHEMAS  # noqa: E402
+from larder.sources.tables import Tables  # noqa: E402
 from larder.sources.testdomain import load_test_sources  # noqa: E402
 
 WARMUP_DIR = "/root/testdata/sf0.001"
@@ -58,7 +64,34 @@ def view_queries(p: dict, raw: dict) -> dict:
         "check_domain": lambda: quality.check_domain(p),
         "check_length": lambda: quality.check_length(p),
         "check_range": lambda: quality.check_range(raw),
+        "check_unique_order": lambda: quality.check_unique_order(p),
+        "check_participants": lambda: quality.check_participants(p),
         "integrity_violations": lambda: quality.violation_rows(p, raw),
+        "avg_meal_price_ranked": lambda: reports.avg_meal_price_ranked(views.avg_meal_price(inv)),
+        "preview_difference_days": lambda: reports.preview_difference_days(views.difference_days(inv)),
+        "invoice_year_pruned": lambda: publish.invoice_for_year(inv.sparkSession, 1998),
+    }
+
+
+def cleaning_queries(t: Tables) -> dict:
+    """Cleaning steps, ids and loads from the staged sources."""
+    lenient = Tables(t.raw, strict=False, as_of=t.as_of)
+    return {
+        "parse_invoice_date": lambda: t.invoice.select("Order_Id", "Date"),
+        "parse_lead_date": lambda: t.leads.select("Order_Id", "Date"),
+        "strip_offset": lambda: underscore_columns(t.raw.invoices).select("Order_Id", scalar.strip_offset("Date_of_Meal").alias("x")),
+        "parse_meal_ts": lambda: t.invoice.select("Order_Id", "Date_of_Meal"),
+        "meal_hour": lambda: t.invoice.select("Order_Id", scalar.meal_hour("Date_of_Meal").alias("Meal_Hour")),
+        "part_of_day": lambda: t.invoice.select("Order_Id", "Part_of_Day"),
+        "participant_count": lambda: t.invoice.select("Order_Id", "Number_of_Participants"),
+        "extract_names": lambda: participants.names_per_invoice(t.invoice),
+        "explode_participants": lambda: participants.explode_participants(t.invoice, keep_order=False),
+        "customer_order": lambda: t.customer_order,
+        "load_orders": lambda: conform(t.leads, TARGET_SCHEMAS["orders"]),
+        "load_invoice": lambda: conform(t.invoice, TARGET_SCHEMAS["invoice"]),
+        "load_salesteam": lambda: conform(t.salesteam, TARGET_SCHEMAS["salesteam"]),
+        "load_customer_order": lambda: conform(Tables(t.raw, as_of=t.as_of).customer_order, TARGET_SCHEMAS["customer_order"]),
+        "load_audit": lambda: publish.stage_counts(t.raw.as_dict(), lenient.as_dict(ids=False)),
     }
 
 
@@ -75,7 +108,8 @@ def run_all(spark, sf_dir: str) -> dict[str, float]:
     times["full_refresh"] = time.perf_counter() - t0
     p = publish.published(spark)
     raw = raw_sources.as_dict()
-    for name, q in view_queries(p, raw).items():
+    tables = Tables(raw_sources, as_of="2024-01-01")
+    for name, q in {**view_queries(p, raw), **cleaning_queries(tables)}.items():
         sc.setJobDescription(f"{name} {sf_dir}")
         t0 = time.perf_counter()
         q().write.format("noop").mode("overwrite").save()
