@@ -117,7 +117,7 @@ def _post(buckets: int):
             squared = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)), dtype=np.uint64)])
             sig1, sig2 = ((s[first[1:]] - s[first[:-1]]).view(np.int64) for s in (scrambled, squared))
             post = np.arange(len(h)) - first[:-1][who] < posted(n)[who]
-            t, who = h[post], who[post]
+            t, who = mix(h[post]), who[post]  # scrambled: least hashes would crowd the low ranges
             order = np.argsort(t)
             t, who = t[order], who[order]
             new = np.ones(len(t), bool)
@@ -356,7 +356,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             for rep, raw in zip(reps.tolist(), batch.column(1).to_pylist()):
                 own = np.frombuffer(raw, np.uint64)
                 n = len(own)
-                own = own[: int(posted(n))]
+                own = mix(own[: int(posted(n))])
                 place = np.minimum(np.searchsorted(token, own), max(len(token) - 1, 0))
                 weight = np.where(token[place] == own, df[place], 0) if len(token) else np.zeros(len(own), np.int64)
                 own = own[np.lexsort((own, weight))][: len(own) - int(shared_posted(n)) + 1]
