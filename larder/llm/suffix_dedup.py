@@ -173,6 +173,8 @@ def _write_runs(entries: list[tuple[bytes, list]], buckets: int) -> list[dict]:
 
 def _repeated(members: list[tuple[int, int, bytes, bytes, list]], length: int) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
     """Spans of repeated windows. members: (prefix shared with the one before, right size, suffix, left, places)."""
+    if not members:
+        return [], [], []
     lefts = np.array([len(m[3]) for m in members])
     rights = np.array([m[1] for m in members])
     width = int(lefts.max(initial=0))

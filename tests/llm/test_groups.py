@@ -116,6 +116,10 @@ def test_suffix_dedup_edges(spark):
     assert kept[1] == "" and kept[2] == "x" * 399 and kept[3] is None
 
 
+def test_a_range_without_repeats_has_no_spans():
+    assert suffix_dedup._repeated([], 400) == ([], [], [])
+
+
 def test_loser_tree_merges_and_knows_prefixes():
     rng = random.Random(5)
     for _ in range(60):
