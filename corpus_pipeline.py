@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from larder.llm import jaccard_join, language, packing, personal_data, suffix_dedup
-from larder.llm.common import keep, read_table, small_batches
+from larder.llm.common import bloom, keep, parted, read_table, small_batches
 
 
 def _same_columns(out: DataFrame, docs: DataFrame) -> DataFrame:
@@ -34,10 +34,15 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     Documents without an id cannot be grouped and stay.
     """
     small_batches(spark)
-    groups = jaccard_join.join(docs)
-    heads = groups.filter(F.col("doc_id").isNotNull() & (F.col("doc_id") == F.col("component_id"))).select("doc_id").distinct()
-    named = docs.filter(F.col("doc_id").isNotNull()).join(keep(heads, "heads"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
+    groups = keep(jaccard_join.join(docs).filter(F.col("doc_id").isNotNull()), "groups")
+    named = docs.filter(F.col("doc_id").isNotNull())
+    gone = groups.filter("doc_id <> component_id").select("doc_id")
+    again = named.groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    # texts move only where a document may have to go
+    doubtful, sure = parted(named, "doc_id", bloom(keep(gone.unionByName(again), "doubtful")))
+    heads = keep(groups.filter("doc_id = component_id").select("doc_id").distinct(), "heads")
+    chosen = doubtful.join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    return sure.unionByName(chosen).unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

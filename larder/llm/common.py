@@ -242,6 +242,22 @@ def bloom(values: DataFrame, bits: int = BLOOM_BITS) -> Bloom:
     return Bloom(words)
 
 
+def parted(docs: DataFrame, key: str, wanted: Bloom) -> tuple[DataFrame, DataFrame]:
+    """(rows whose long ``key`` may be in the filter, rows whose key surely is not); keys are not null."""
+    shared = docs.sparkSession.sparkContext.broadcast(wanted)
+    place = docs.columns.index(key)
+
+    def side(inside: bool):
+        def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                has = shared.value.has(batch.column(place).to_numpy().astype(np.int64).view(np.uint64))
+                yield batch.filter(pa.array(has if inside else ~has))
+
+        return split
+
+    return docs.mapInArrow(side(True), docs.schema), docs.mapInArrow(side(False), docs.schema)
+
+
 def transposed(values: np.ndarray) -> bytes:
     """64-bit values byte plane by byte plane, which shuffle compression likes."""
     return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes()

@@ -35,7 +35,7 @@ ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.05
 PASSES = 4
 UNKNOWN = "und"
 #: A document whose language is called with less than this is rejected by ``accepted``.
-LEAST_SCORE = 0.5
+LEAST_SCORE = 0.3
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
 

@@ -10,13 +10,13 @@ window, which sets most of the text aside before anything is sorted.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from larder.llm.common import bloom, keep, mix
+from larder.llm.common import bloom, keep, mix, parted
 
 #: Column that ``with_spans`` adds.
 SPANS = "__spans"
@@ -96,20 +96,10 @@ def spans_table(keys: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Ta
 def with_spans(docs: DataFrame, spans: DataFrame, key: str, run: Callable, schema: str) -> DataFrame:
     """``run`` over all rows of docs, given the spans of each; only rows that may have some are shuffled."""
     grouped = keep(spans.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias(SPANS)), "spans")
-    touched = docs.sparkSession.sparkContext.broadcast(bloom(grouped.select("key")))
-    place = docs.columns.index(key)
-
-    def side(inside: bool) -> Callable:
-        def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                has = touched.value.has(batch.column(place).to_numpy().view(np.uint64))
-                yield batch.filter(pa.array(has if inside else ~has))
-
-        return split
-
+    hit, rest = parted(docs, key, bloom(grouped.select("key")))
     none = F.lit(None).cast("array<struct<start:long,end:long>>")
-    hit = docs.mapInArrow(side(True), docs.schema).join(grouped.withColumnRenamed("key", key), key, "left").select(*docs.columns, SPANS)
-    rest = docs.mapInArrow(side(False), docs.schema).withColumn(SPANS, none)
+    hit = hit.join(grouped.withColumnRenamed("key", key), key, "left").select(*docs.columns, SPANS)
+    rest = rest.withColumn(SPANS, none)
     return rest.mapInArrow(run, schema).unionByName(hit.mapInArrow(run, schema))
 
 
