@@ -8,8 +8,8 @@ of pairs come from an open-addressing hash table over (left id, right id).
 Pieces longer than ``LONG_PIECE`` bytes would make the matrices quadratic; they
 merge in the same order with a heap over a linked list.
 
-A worker remembers the pieces it has encoded, up to ``MEMORY_IDS`` ids; then it
-starts anew. Results do not depend on that.
+A task remembers the pieces it has encoded, up to ``MEMORY_IDS`` ids; then it
+starts anew, and it forgets them at its end. Results do not depend on that.
 
 Defined cases: null and empty texts have no ids; equal texts have equal ids;
 rows are independent, so repeated rows and repeated or null ids pass through.
@@ -33,7 +33,7 @@ from larder.llm.common import cut, flat, gathered, span_hashes
 from larder.llm.pretokens import pieces
 
 LONG_PIECE = 1024
-MEMORY_IDS = 4_000_000
+MEMORY_IDS = 2_000_000
 NEVER = np.int32(2**31 - 1)
 PAD = 0xFFFF
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -70,7 +70,7 @@ class BytePairEncoder:
         self.token_at = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int64)
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self._table(tokens)
-        self._forget()
+        self.forget()
 
     def _table(self, tokens: list[bytes]) -> None:
         keys, values, ranks = [], [], self.ranks
@@ -202,7 +202,7 @@ class BytePairEncoder:
             out[spread(at[part], n)] = ids
         return out, at
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.known: dict[int, int] = {}
         self.known_ids = np.empty(1 << 16, np.int32)
         self.known_at = np.zeros((1 << 14) + 1, np.int64)
@@ -225,7 +225,7 @@ class BytePairEncoder:
         ends = np.append(starts[1:], len(data))
         code, distinct = pd.factorize(span_hashes(data, starts, ends))
         if self.known_at[len(self.known)] > MEMORY_IDS:
-            self._forget()
+            self.forget()
         row = np.array([self.known.get(h, -1) for h in distinct.tolist()], np.int64)
         new = np.flatnonzero(row < 0)
         if len(new):
@@ -277,6 +277,7 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
                 ],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
+        enc.forget()
 
     cols = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
     return cols.mapInArrow(run, SCHEMA)
