@@ -6,8 +6,9 @@ its share of the text's n-grams times its inverse document frequency. Document
 frequencies are counted over all labelled training documents. Weights are
 learned by the follow-the-regularised-leader rule with L1 and L2 penalties on a
 bounded sample of at most ``SAMPLE`` labelled documents, dealt evenly over the
-languages and picked by a hash of the id; a fifth of it, kept out of the
-fitting, sets the temperature of the scores. The fitted table has
+languages and picked by a hash of the id; about a fifth of each language's,
+dealt by a second hash and kept out of the fitting, sets the temperature of the
+scores. The fitted table has
 FEATURES x languages floats and is broadcast.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0,
@@ -120,15 +121,17 @@ def _document_frequencies(train: DataFrame) -> tuple[np.ndarray, int]:
     return total, n
 
 
-def _sample(train: DataFrame) -> list[tuple[str, np.ndarray, np.ndarray]]:
-    """(label, columns, shares) of at most SAMPLE training documents, even over the labels."""
+def _sample(train: DataFrame) -> list[tuple[str, np.ndarray, np.ndarray, int]]:
+    """(label, columns, shares, lot from 0 to 4) of at most SAMPLE training documents, even over the labels."""
     sizes = {r[0]: r[1] for r in train.groupBy("lang").count().collect()}
     if not sizes:
         return []
     each = max(1, SAMPLE // len(sizes))
     rate = F.create_map(*[F.lit(x) for k, v in sizes.items() for x in (k, min(1.0, each / v))])
     spin = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    picked = train.withColumn("spin", spin).filter(F.col("spin") < rate[F.col("lang")])
+    # from 0 to 1 in every label, so that order and limit treat all labels alike
+    picked = train.withColumn("spin", spin / rate[F.col("lang")]).filter(F.col("spin") < 1)
+    picked = picked.withColumn("lot", F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(5)).cast("int"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in gathered(batches, "text", 2 << 20):
@@ -138,10 +141,18 @@ def _sample(train: DataFrame) -> list[tuple[str, np.ndarray, np.ndarray]]:
                 own, count = np.unique(np.concatenate([column[at[k] : at[k + 1]] for column, at in sized]), return_counts=True)
                 ids.append(own.astype("<i4").tobytes())
                 shares.append((count / max(1, count.sum())).astype("<f4").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array(shares, pa.binary()), batch.column(2)], names=["lang", "ids", "shares", "spin"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array(shares, pa.binary()), batch.column(2), batch.column(3)], names=["lang", "ids", "shares", "spin", "lot"])
 
-    rows = picked.select("lang", "text", "spin").mapInArrow(run, "lang string, ids binary, shares binary, spin double").orderBy("spin", "lang", "ids").limit(SAMPLE).collect()
-    return [(r[0], np.frombuffer(r[1], "<i4"), np.frombuffer(r[2], "<f4")) for r in rows]
+    rows = picked.select("lang", "text", "spin", "lot").mapInArrow(run, "lang string, ids binary, shares binary, spin double, lot int").orderBy("spin", "lang", "ids").limit(SAMPLE).collect()
+    return [(r[0], np.frombuffer(r[1], "<i4"), np.frombuffer(r[2], "<f4"), r[4]) for r in rows]
+
+
+def _dealt(sample: list) -> tuple[list, list]:
+    """(calibration rows, fitting rows); every label keeps rows to be fitted on."""
+    fitted = {s[0] for s in sample if s[3]}
+    held = [s for s in sample if not s[3] and s[0] in fitted]
+    rest = [s for s in sample if s[3] or s[0] not in fitted]
+    return (held, rest) if held else (sample, sample)
 
 
 @dataclass
@@ -182,7 +193,7 @@ def _ftrl(sample: list, langs: list[str], idf: np.ndarray) -> tuple[np.ndarray,
     order = np.random.default_rng(11)
     for _ in range(PASSES):
         for k in order.permutation(len(sample)):
-            label, ids, shares = sample[k]
+            label, ids, shares, _ = sample[k]
             i = np.append(ids, FEATURES)
             x = np.append(SCALE * shares * idf[ids], 1.0)
             w = weights(i)
@@ -206,12 +217,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     frequency, n = _document_frequencies(train)
     idf = np.log((1 + n) / (1 + frequency)) + 1.0
     langs = sorted({s[0] for s in sample})
-    held, rest = sample[: len(sample) // 5], sample[len(sample) // 5 :]
-    if not rest or not held:
-        held = rest = sample
+    held, rest = _dealt(sample)
     w, bias = _ftrl(rest, langs, idf)
     table = SCALE * idf[:, None] * w
-    logits = np.array([s @ table[i] + bias for _, i, s in held])
+    logits = np.array([s @ table[i] + bias for _, i, s, _ in held])
     truth = np.array([langs.index(x[0]) for x in held])
     grid = np.exp(np.linspace(np.log(0.05), np.log(20), 120))
     loss = [-np.log(np.maximum(_softmax(logits / t)[np.arange(len(truth)), truth], 1e-12)).mean() for t in grid]

@@ -92,6 +92,21 @@ def test_language_edges(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 5]
 
 
+def test_language_with_one_label_far_larger_than_the_others(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE", 800)
+    rng = random.Random(4)
+    vocabulary = [["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 8))) for _ in range(60)] for _ in range(16)]
+    labels = [0] * 1900 + [k for k in range(1, 16) for _ in range(200)]
+    rng.shuffle(labels)
+    rows = [(i, " ".join(rng.choice(vocabulary[k]) for _ in range(20)), f"l{k:02}", "s", 0) for i, k in enumerate(labels)]
+    table = spark.createDataFrame(rows, DOCS).repartition(3)
+    named = {r[0]: r[2] for r in rows}
+    hits = {}
+    for r in language.identify(table).collect():
+        hits.setdefault(named[r.doc_id], []).append(r.lang_pred == named[r.doc_id])
+    assert len(hits) == 16 and all(np.mean(own) > 0.9 for own in hits.values())
+
+
 PARTS = ["a@b.cd", "_x@e.fg", "@", "..", "1.2.3.4", ".5.6", "7.8", "256.1.1.1", "0009.1.2.3", " ", "-", "+1 (555) 555-7777", "+",
          "12 34-5678 9012 3456", " 4111 1111 1111 1111", "é", "𝒳", "x", "9", "(", ")", "a.b@c", "a+b@c-d.e.f."]
 
