@@ -24,6 +24,8 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -62,6 +64,7 @@ _INLINE = frozenset(
     "a b i u s em strong span small big sub sup code kbd samp var cite q abbr acronym font mark del ins time label tt bdi bdo dfn img wbr data ruby rt rp".split()
 )
 _CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
+           "option": ({"option"}, {"optgroup", "select", "datalist"}), "optgroup": ({"option", "optgroup"}, {"select", "datalist"}),
            "tr": ({"tr", "td", "th"}, {"table", "tbody", "thead"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
 
 Block = tuple[tuple[str, ...], str, float]  # path names, text, share of it in links
@@ -82,14 +85,17 @@ def blocks(page: str) -> list[Block]:
     """Leaf blocks of a page in order."""
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
+    places: defaultdict[str, list[int]] = defaultdict(list)  # where in the stack each tag is open
+    solid: list[int] = []  # where an element is open that is not inline
+    bounds: list[int] = []  # those of them that are not paragraphs
     held: list[str] = []
-    linked = links = 0
+    linked = unshown = 0
 
     def flush() -> None:
         nonlocal linked
         if held:
             text = " ".join("".join(held).split())
-            if text and not any(tag in _UNSHOWN for tag, _ in stack):
+            if text and not unshown:
                 path = tuple(n for _, names in stack for n in names)
                 out.append((path, text, min(1.0, linked / len(text))))
             held.clear()
@@ -100,9 +106,19 @@ def blocks(page: str) -> list[Block]:
         if raw:
             text = html.unescape(raw) if "&" in raw else raw
             held.append(text)
-            if links:
+            if places["a"]:
                 linked += len(text)
 
+    def shut_from(k: int) -> None:
+        nonlocal unshown
+        for tag, _ in reversed(stack[k:]):
+            places[tag].pop()
+            unshown -= tag in _UNSHOWN
+        del stack[k:]
+        for own in (solid, bounds):
+            while own and own[-1] >= k:
+                own.pop()
+
     at = 0
     for m in _TOKEN.finditer(page):
         add(page[at : m.start()])
@@ -122,26 +138,24 @@ def blocks(page: str) -> list[Block]:
         if not inline:
             flush()
         if closing:
-            for k in range(len(stack) - 1, max(-1, len(stack) - 64), -1):
-                if stack[k][0] == tag:
-                    if inline and any(t not in _INLINE for t, _ in stack[k:]):
-                        break
-                    links -= sum(t == "a" for t, _ in stack[k:])
-                    del stack[k:]
-                    break
+            if places[tag] and not (inline and solid and solid[-1] > places[tag][-1]):
+                shut_from(places[tag][-1])
             continue
         if tag in _VOID or attributes.endswith("/") and not inline:
             continue
-        shut, within = _CLOSES.get(tag, ({"p"}, ()))
         if not inline:
-            for k in range(len(stack) - 1, max(-1, len(stack) - 64), -1):
-                if stack[k][0] in shut or stack[k][0] == "p":
-                    links -= sum(t == "a" for t, _ in stack[k:])
-                    del stack[k:]
-                elif stack[k][0] in within or stack[k][0] not in _INLINE and tag not in _CLOSES:
-                    break
+            shut, within = _CLOSES.get(tag, ((), None))
+            bound = bounds[-1:] if within is None else [places[t][-1] for t in within if places[t]]
+            least = max(bound, default=-1)
+            ends = [places[t][at_least] for t in ("p", *shut) if (at_least := bisect_right(places[t], least)) < len(places[t])]
+            if ends:
+                shut_from(min(ends))
+            solid.append(len(stack))
+            if tag != "p":
+                bounds.append(len(stack))
+        places[tag].append(len(stack))
+        unshown += tag in _UNSHOWN
         stack.append((tag, _names(tag, attributes)))
-        links += tag == "a"
     add(page[at:])
     flush()
     return out

@@ -168,6 +168,17 @@ def test_blocks_of_a_page():
     assert [b[1] for b in html_text.blocks("<p>x<script>never closed")] == ["x"]
 
 
+def test_closing_tags_find_their_element_at_any_depth():
+    for inside in ("<option>land" * 80, "<optgroup label=x><option>land" * 80, "<option>land<optgroup>" * 80):
+        got = html_text.blocks(f"<body><p>before<select>{inside}</select><article><p>main text</article>")
+        assert [b[1] for b in got] == ["before", "main text"]
+    for tag in ("a", "font", "div"):
+        got = html_text.blocks(f"<body><nav>{f'<{tag}>x ' * 80}</nav><article><p>main text</article>")
+        assert got[-1][1:] == ("main text", 0.0) and set(got[-1][0]) == {"body", "article", "p"}
+    got = html_text.blocks(f"<ul><li>one{'<font>' * 80}<li>two</ul>")
+    assert [b[1] for b in got] == ["one", "two"] and got[1][0] == ("ul", "li")
+
+
 def test_extraction_on_the_table_and_on_another_layout(spark):
     table = spark.read.parquet(f"{SF_CHECK}/pages.parquet")
     model = html_text.fit(table)
