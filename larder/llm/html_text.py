@@ -2,8 +2,8 @@
 
 A page becomes its sequence of leaf blocks: runs of text between block-level
 tags, each with the tags, classes, ids and roles above it. A bidirectional LSTM
-in numpy reads, for every block, the hashed tag path, a hashed word vector and a
-few measures (length, link share, place in the page), so that each block is
+in numpy reads, for every block, the hashed names of its whole tag path, a hashed
+word vector and a few measures (length, link share, place in the page), so that each block is
 judged with the whole page in view. Blocks called main are joined by a blank line.
 
 The labeller is trained here on at most ``SAMPLE`` pages of the table. Their
@@ -37,6 +37,8 @@ from larder.llm.common import flat, gathered, span_hashes, words
 
 SAMPLE = 500
 PATHS, WORDS, MEASURES, HIDDEN = 1024, 32, 6, 24
+#: Path names whose weights are gathered at once.
+GATHER = 1 << 16
 SCHEMA = "page_id long, url string, text string, n_chars long"
 
 #: Names in tags, classes, ids or roles that mark main text, and those that mark what is not.
@@ -67,7 +69,7 @@ _CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "
            "option": ({"option"}, {"optgroup", "select", "datalist"}), "optgroup": ({"option", "optgroup"}, {"select", "datalist"}),
            "tr": ({"tr", "td", "th"}, {"table", "tbody", "thead"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
 
-Block = tuple[tuple[str, ...], str, float]  # path names, text, share of it in links
+Block = tuple[tuple[str, ...], str, float]  # distinct names of the whole path, text, share of it in links
 
 
 @lru_cache(maxsize=4096)
@@ -84,7 +86,8 @@ def _names(tag: str, attributes: str) -> tuple[str, ...]:
 def blocks(page: str) -> list[Block]:
     """Leaf blocks of a page in order."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[tuple[str, int]] = []  # open tags, and how many distinct names are above each
+    above: dict[str, None] = {}  # distinct names of the open tags
     places: defaultdict[str, list[int]] = defaultdict(list)  # where in the stack each tag is open
     solid: list[int] = []  # where an element is open that is not inline
     bounds: list[int] = []  # those of them that are not paragraphs
@@ -96,8 +99,7 @@ def blocks(page: str) -> list[Block]:
         if held:
             text = " ".join("".join(held).split())
             if text and not unshown:
-                path = tuple(n for _, names in stack for n in names)
-                out.append((path, text, min(1.0, linked / len(text))))
+                out.append((tuple(above), text, min(1.0, linked / len(text))))
             held.clear()
         linked = 0
 
@@ -114,6 +116,8 @@ def blocks(page: str) -> list[Block]:
         for tag, _ in reversed(stack[k:]):
             places[tag].pop()
             unshown -= tag in _UNSHOWN
+        while len(above) > stack[k][1]:
+            above.popitem()
         del stack[k:]
         for own in (solid, bounds):
             while own and own[-1] >= k:
@@ -155,14 +159,16 @@ def blocks(page: str) -> list[Block]:
                 bounds.append(len(stack))
         places[tag].append(len(stack))
         unshown += tag in _UNSHOWN
-        stack.append((tag, _names(tag, attributes)))
+        stack.append((tag, len(above)))
+        above.update(dict.fromkeys(_names(tag, attributes)))
     add(page[at:])
     flush()
     return out
 
 
 def _path_ids(path: tuple[str, ...]) -> list[int]:
-    return [_hash_name(n) for n in dict.fromkeys(path[-40:])] or [0]
+    """Columns of a path's names, at most PATHS, whatever the depth."""
+    return list(dict.fromkeys(map(_hash_name, path))) or [0]
 
 
 @lru_cache(maxsize=1 << 16)
@@ -200,6 +206,15 @@ def features(pages: list[list[Block]]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return np.array(ids, np.int64), np.array(at, np.int64), dense
 
 
+def _parts(at: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of blocks with at most GATHER path names (or one block), given each block's first name (n+1)."""
+    i = 0
+    while i < len(at) - 1:
+        j = max(i + 1, int(np.searchsorted(at, at[i] + GATHER, side="right")) - 1)
+        yield i, j
+        i = j
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-x))
 
@@ -218,7 +233,8 @@ class BlockLabeller:
         self.w = {k: v.astype(np.float32) for k, v in self.w.items()}
 
     def _inputs(self, ids: np.ndarray, at: np.ndarray, dense: np.ndarray) -> np.ndarray:
-        return np.add.reduceat(self.w["path"][ids], at[:-1], axis=0) + dense @ self.w["dense"] + self.w["bias"]
+        sums = [np.add.reduceat(self.w["path"][ids[at[i] : at[j]]], at[i:j] - at[i], axis=0) for i, j in _parts(at)]
+        return np.concatenate(sums) + dense @ self.w["dense"] + self.w["bias"]
 
     def _sweep(self, x: np.ndarray, mask: np.ndarray, back: np.ndarray, trace: list | None = None) -> np.ndarray:
         """Hidden states of pages x steps; where the mask is 0 the state stays."""
@@ -317,7 +333,8 @@ class BlockLabeller:
                     grads[back] = dback
                 grads["dense"], grads["bias"] = dense.T @ dx, dx.sum(axis=0)
                 dpath = np.zeros_like(self.w["path"])
-                np.add.at(dpath, ids, np.repeat(dx, np.diff(at), axis=0))
+                for i, j in _parts(at):
+                    np.add.at(dpath, ids[at[i] : at[j]], np.repeat(dx[i:j], np.diff(at[i : j + 1]), axis=0))
                 grads["path"] = dpath
                 step += 1
                 for k, g_k in grads.items():

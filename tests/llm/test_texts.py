@@ -199,5 +199,31 @@ def test_extraction_on_the_table_and_on_another_layout(spark):
     assert [r.n_chars for r in got if r.page_id == 2] == [0, 0]
 
 
+UTILITY = "class='flex grid mx px rounded shadow'"
+
+
+def deep_page(rng, own):
+    """Main text and comments that differ only in the outermost wrapper, ten levels above."""
+    def part(k):
+        inner = "".join(f"<div class='u{own}a{d} v{d} w{d} flex grid mx px'>" for d in range(10))
+        text = " ".join(rng.choice("one two three four five six seven".split()) for _ in range(20))
+        return f"{inner}<p {UTILITY}>{k} {text}.</p>{'</div>' * 10}"
+
+    parts = [f"<{t}>" + "".join(part(k) for _ in range(3)) + f"</{t.split()[0]}>" for t, k in (("article", "yes"), ("section class=comments", "no"))]
+    rng.shuffle(parts)
+    return f"<html><body>{''.join(parts)}</body></html>"
+
+
+def test_outermost_names_of_deep_paths_reach_the_labeller(spark):
+    ids = [html_text._path_ids(b[0]) for b in html_text.blocks(deep_page(random.Random(1), 0))]
+    assert len(ids) == 6 and all((html_text._hash_name("article") in own) != (html_text._hash_name(".comments") in own) for own in ids)
+    rng = random.Random(8)
+    # words do not tell the kinds apart: half of the pages name them the other way round
+    pages = [(k, "u", deep_page(rng, k % 3) if k % 2 else deep_page(rng, k % 3).replace(">yes ", ">x ").replace(">no ", ">yes ").replace(">x ", ">no ")) for k in range(120)]
+    want = {k: "\n\n".join(b[1] for b in html_text.blocks(page) if html_text.markup_label(b[0])) for k, _, page in pages}
+    table = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(2)
+    assert np.mean([r.text == want[r.page_id] for r in html_text.extract(table).collect()]) > 0.95
+
+
 def test_no_pages(spark):
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
