@@ -23,7 +23,7 @@ def _same_columns(out: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that is recognised; those without text or letters, or called with little confidence, go."""
+    """Documents in a language that is recognised; those without text or letters, mostly of unknown n-grams, or called hardly above chance, go."""
     small_batches(spark)
     return language.accepted(docs)
 

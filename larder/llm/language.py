@@ -35,8 +35,14 @@ SCALE = 32.0
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.05
 PASSES = 4
 UNKNOWN = "und"
-#: A document whose language is called with less than this is rejected by ``accepted``.
-LEAST_SCORE = 0.3
+#: ``accepted`` rejects a document whose score is less than this part of the way from chance (one in the number
+#: of languages) to 1: 0.3 for four languages.
+LEAST_MARGIN = 1 / 15
+#: It also rejects one whose share of n-grams known in the called language is less than this part of the way from
+#: chance (the share of all columns known there) to the share that the calibration documents of the language have.
+LEAST_KNOWN = 0.5
+#: What counts as the latter share above chance where a language has no calibration documents.
+FEW_KNOWN = 0.1
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
 
@@ -161,10 +167,30 @@ class LanguageModel:
     table: np.ndarray  # langs x FEATURES: weight of one whole share of a column
     bias: np.ndarray
     temperature: float
+    known: np.ndarray  # langs x FEATURES: columns that the language's sampled documents have
+    least_known: np.ndarray  # share of known n-grams that a text of the language must have
 
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Probabilities of each language for every text, and whether it has a letter."""
         sized, has = grams(data, offsets)
+        return self._scores(sized, has), has
+
+    def accepts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Which texts are in a known language (see LEAST_MARGIN and LEAST_KNOWN), whatever the number of languages."""
+        sized, has = grams(data, offsets)
+        p = self._scores(sized, has)
+        called, chance = p.argmax(axis=1), 1 / len(self.langs)
+        n, known = np.zeros(len(has), np.int64), np.zeros(len(has))
+        for column, at in sized:
+            each = np.diff(at)
+            n += each
+            full = np.flatnonzero(each)
+            if len(full):
+                known[full] += np.add.reduceat(self.known[np.repeat(called, each), column], at[full], dtype=np.int64)
+        sure = p.max(axis=1, initial=0) >= chance + LEAST_MARGIN * (1 - chance)
+        return has & sure & (known >= self.least_known[called] * n)
+
+    def _scores(self, sized: list[tuple[np.ndarray, np.ndarray]], has: np.ndarray) -> np.ndarray:
         n = np.zeros(len(has), np.int64)
         sums = np.zeros((len(has), len(self.langs)))
         for column, at in sized:
@@ -173,7 +199,7 @@ class LanguageModel:
             if len(full):
                 for k in range(len(self.langs)):
                     sums[full, k] += np.add.reduceat(self.table[k][column], at[full])
-        return _softmax((sums / np.maximum(n, 1)[:, None] + self.bias) / self.temperature), has
+        return _softmax((sums / np.maximum(n, 1)[:, None] + self.bias) / self.temperature)
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -207,6 +233,24 @@ def _ftrl(sample: list, langs: list[str], idf: np.ndarray) -> tuple[np.ndarray,
     return w[:-1], w[-1]
 
 
+def _known(sample: list, held: list, rest: list, langs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Columns that each language's sampled documents have, and the least share of them in a text of it."""
+
+    def columns(rows: list) -> np.ndarray:
+        out = np.zeros((len(langs), FEATURES), np.uint8)
+        for label, ids, *_ in rows:
+            out[langs.index(label), ids] = 1
+        return out
+
+    fitted, least = columns(rest), np.zeros(len(langs))
+    for k, lang in enumerate(langs):
+        chance = fitted[k].mean()
+        shares = [s[fitted[k][i] > 0].sum() for label, i, s, _ in held if label == lang and len(i)] if held is not rest else []
+        usual = np.quantile(shares, 0.01) if shares else chance + FEW_KNOWN
+        least[k] = chance + LEAST_KNOWN * max(0.0, usual - chance)
+    return columns(sample), least
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel | None:
     """Model of the labelled documents that are not held out; None if there are none."""
     train = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
@@ -224,7 +268,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     truth = np.array([langs.index(x[0]) for x in held])
     grid = np.exp(np.linspace(np.log(0.05), np.log(20), 120))
     loss = [-np.log(np.maximum(_softmax(logits / t)[np.arange(len(truth)), truth], 1e-12)).mean() for t in grid]
-    return LanguageModel(langs, np.ascontiguousarray(table.T, np.float32), bias, float(grid[int(np.argmin(loss))]))
+    known, least = _known(sample, held, rest, langs)
+    return LanguageModel(langs, np.ascontiguousarray(table.T, np.float32), bias, float(grid[int(np.argmin(loss))]), known, least)
 
 
 def predict(docs: DataFrame, model: LanguageModel | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -252,7 +297,7 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame) -> DataFrame:
-    """Rows whose text is in a known language with at least ``LEAST_SCORE``; all columns kept."""
+    """Rows whose text is in a known language (see ``LanguageModel.accepts``); all columns kept."""
     model = fit(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index("text")
@@ -261,7 +306,6 @@ def accepted(docs: DataFrame) -> DataFrame:
         own = shared.value
         for batch in gathered(batches, "text", 2 << 20):
             if own is not None:
-                p, has = own.scores(*flat(batch.column(place)))
-                yield batch.filter(pa.array(has & (p.max(axis=1) >= LEAST_SCORE)))
+                yield batch.filter(pa.array(own.accepts(*flat(batch.column(place)))))
 
     return docs.mapInArrow(run, docs.schema)

@@ -107,6 +107,17 @@ def test_language_with_one_label_far_larger_than_the_others(spark, monkeypatch):
     assert len(hits) == 16 and all(np.mean(own) > 0.9 for own in hits.values())
 
 
+def test_unlearned_scripts_are_rejected_whatever_the_number_of_labels(spark):
+    rng = random.Random(6)
+    script = lambda low: " ".join("".join(chr(rng.randrange(low, low + 24)) for _ in range(rng.randrange(2, 9))) for _ in range(80))
+    table = spark.read.parquet(f"{SF_CHECK}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    odd = docs(spark, [script(low) for low in (0x3B1, 0x430, 0x561, 0x4E00) for _ in range(10)], ids=range(-40, 0))
+    for labels in (["de"], ["de", "en"], ["de", "en", "es", "fr"]):
+        clean = table.filter(table.lang.isin(labels))
+        kept = {r.doc_id for r in language.accepted(clean.unionByName(odd)).select("doc_id").collect()}
+        assert kept == {r.doc_id for r in clean.select("doc_id").collect()}
+
+
 PARTS = ["a@b.cd", "_x@e.fg", "@", "..", "1.2.3.4", ".5.6", "7.8", "256.1.1.1", "0009.1.2.3", " ", "-", "+1 (555) 555-7777", "+",
          "12 34-5678 9012 3456", " 4111 1111 1111 1111", "é", "𝒳", "x", "9", "(", ")", "a.b@c", "a+b@c-d.e.f."]
 
