@@ -4,7 +4,7 @@ The tree is fitted by spherical k-means on a bounded sample (``SAMPLE`` rows)
 and has at most that many leaves; every row is then dealt to a leaf by walking
 down to the nearest centroid. A query walks the tree best bin first: a priority
 queue holds unopened nodes by their centroid's cosine, and leaves are visited
-until ``visits`` of them are open. ``visits`` is widened on queries from the
+until ``visits`` of them are open and hold enough rows for all neighbours. ``visits`` is widened on queries from the
 sample until their recall against brute force there reaches ``TARGET``.
 
 Rows of a leaf are packed in blocks of about ``BLOCK`` vectors and its queries
@@ -70,11 +70,11 @@ class Tree:
             todo += [(kid, rows[best == k]) for k, kid in enumerate(kids) if (best == k).any()]
         return out
 
-    def order(self, unit: np.ndarray, visits: int) -> list[int]:
-        """Leaves that one query visits, best bin first."""
-        heap, found = [(-1.0, 0)], []
+    def order(self, unit: np.ndarray, visits: int, sizes: np.ndarray | None = None, least: int = 0) -> list[int]:
+        """Leaves that one query visits, best bin first, until ``visits`` of them and ``least`` rows are open."""
+        heap, found, rows = [(-1.0, 0)], [], 0
         near = self.centroids @ unit
-        while heap and len(found) < visits:
+        while heap and (len(found) < visits or rows < least):
             _, node = heapq.heappop(heap)
             kids = self.children[node]
             if kids:
@@ -82,6 +82,7 @@ class Tree:
                     heapq.heappush(heap, (-float(near[kid]), kid))
             else:
                 found.append(self.leaf[node])
+                rows += least if sizes is None else int(sizes[self.leaf[node]])
         return found
 
 
@@ -208,11 +209,15 @@ def search(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding
 
     held = index.withColumn("salt", salt).groupBy("leaf", "salt").applyInArrow(packs("row"), "leaf int, row_ids binary, row_vs binary")
 
+    rows_of = np.zeros(tree.leaves, np.int64)
+    rows_of[list(sizes)] = list(sizes.values())
+    leaf_rows = spark.sparkContext.broadcast(rows_of)
+
     def walk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
             v = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.float64).reshape(-1, dim)
-            visits = [own.order(u, own.visits) for u in _unit(v)] if len(v) else []
+            visits = [own.order(u, own.visits, leaf_rows.value, NEAREST + 1) for u in _unit(v)] if len(v) else []
             each = np.repeat(np.arange(len(visits)), [len(o) for o in visits])
             if len(each):
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(visits).astype(np.int32)), batch.column(0).take(pa.array(each)), batch.column(1).take(pa.array(each))], names=["leaf", "id", "v"])

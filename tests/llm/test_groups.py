@@ -203,3 +203,15 @@ def test_neighbours_with_few_rows(spark):
     assert got == [(0, 1, 1), (0, 2, 50), (50, 1, 1), (50, 2, 0)]
     assert neighbours.search(spark.createDataFrame([], schema)).count() == 0
     assert neighbours.search(spark.createDataFrame([(0, [1.0])], schema)).count() == 0
+
+
+def test_neighbours_where_the_visited_leaves_hold_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "LEAF", 3)
+    monkeypatch.setattr(neighbours, "TARGET", 0.1)  # one visit
+    rng = np.random.default_rng(2)
+    rows = [(10 * k, [float(x) for x in rng.normal(size=8)]) for k in range(200)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.search(table).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert set(got) == {i for i, _ in rows if i % 50 == 0} and all(len(own) == 5 for own in got.values())
