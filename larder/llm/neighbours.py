@@ -15,8 +15,8 @@ Blocks meet lots in an equality join on the leaf, which Spark may split.
 Cosines are taken in double precision on the original vectors, each pair by the
 same order of additions, so that equal vectors tie exactly.
 
-Defined cases: vectors that are null, zero, of another length than the first
-sampled one, or that hold nulls or non-finite numbers take no part, nor do rows
+Defined cases: vectors that are null, zero, of another length than most
+(of lengths equally frequent, the longest counts), or that hold nulls or non-finite numbers take no part, nor do rows
 with a null id; rows with the query's id are its own; with fewer candidates all
 are returned; no rows give no rows.
 """
@@ -168,14 +168,15 @@ def search(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding
     cols = rows.select(rows[id_col].cast("long").alias("id"), rows[vector_col].cast("array<double>").alias("v"))
     cols = cols.filter(F.col("id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0))
     spin = F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 30))
-    count = cols.count()
+    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    lengths = cols.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), F.desc("dim")).head()
+    if lengths is None:
+        return empty
+    dim, count = lengths
+    cols = cols.filter(F.size("v") == dim)
     share = min(1.0, 1.2 * SAMPLE / max(count, 1))
     taken = cols.withColumn("spin", spin).filter(F.col("spin") <= F.lit(int(share * (1 << 30)))).orderBy("spin", "id").limit(SAMPLE)
     table = taken.select("id", "v").toArrow()
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    if not table.num_rows:
-        return empty
-    dim = len(table["v"][0])
     _, x = vectors(table["v"], dim)
     if not len(x):
         return empty

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from larder.llm import jaccard_join, neighbours, substring_dedup, suffix_dedup
 from larder.llm.components import components
@@ -215,3 +216,14 @@ def test_neighbours_where_the_visited_leaves_hold_few_rows(spark, monkeypatch):
     for r in neighbours.search(table).collect():
         got.setdefault(r.query_id, set()).add(r.vec_id)
     assert set(got) == {i for i, _ in rows if i % 50 == 0} and all(len(own) == 5 for own in got.values())
+
+
+@pytest.mark.parametrize("size", [1, 9])
+def test_neighbours_with_malformed_vectors_sampled_first(spark, size):
+    rng = np.random.default_rng(5)
+    ids = list(range(0, 1000, 10))
+    table = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=4)]) for i in ids], "vec_id long, embedding array<double>")
+    first = table.orderBy(F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(1 << 30))).first().vec_id
+    table = table.filter(F.col("vec_id") != first).unionByName(spark.createDataFrame([(first, [1.0] * size)], table.schema))
+    counts = {r.query_id: r["count"] for r in neighbours.search(table).groupBy("query_id").count().collect()}
+    assert counts == {i: 5 for i in ids if i % 50 == 0 and i != first}
