@@ -7,6 +7,8 @@ columns of docs, whatever they are, and work on every row they are given.
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -31,18 +33,32 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near copies the document with the least id stays (once, where rows repeat).
 
-    Documents without an id cannot be grouped and stay.
+    Documents without an id cannot be grouped and stay. Where different texts share
+    an id, each of them is a document of its own.
     """
     small_batches(spark)
-    groups = keep(jaccard_join.join(docs).filter(F.col("doc_id").isNotNull()), "groups")
     named = docs.filter(F.col("doc_id").isNotNull())
-    gone = groups.filter("doc_id <> component_id").select("doc_id")
-    again = named.groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    text = F.xxhash64("text", F.col("text").isNull())
+    again = named.groupBy("doc_id").agg(F.count("*").alias("rows"), F.min(text).alias("low"), F.max(text).alias("high")).filter("rows > 1")
+    again = keep(again, "again")
+    if again.filter("low <> high").isEmpty():
+        rows, mark = named, "doc_id"
+    else:  # ids do not tell documents apart
+        mark = f"mark-{uuid.uuid4().hex}"
+        rows = named.withColumn(mark, F.xxhash64("doc_id", "text", F.col("text").isNull()))
+        again = rows.groupBy(mark).count().filter("count > 1")
+    groups = jaccard_join.join(rows.select(F.col(mark).alias("doc_id"), "text")).select(F.col("doc_id").alias("key"), "component_id")
+    moved = keep(groups.filter("key <> component_id"), "groups")
+    gone = moved.select("key")
+    if mark != "doc_id":  # the least id, not the least mark, stays
+        members = moved.unionByName(moved.select(F.col("component_id").alias("key"), "component_id").distinct())
+        members = keep(members.join(rows.select(F.col(mark).alias("key"), "doc_id").distinct(), "key"), "members")
+        heads = members.groupBy("component_id").agg(F.min(F.struct("doc_id", "key")).getField("key").alias("key"))
+        gone = keep(members.select("key").join(heads, "key", "left_anti"), "gone")
     # texts move only where a document may have to go
-    doubtful, sure = parted(named, "doc_id", bloom(keep(gone.unionByName(again), "doubtful")))
-    heads = keep(groups.filter("doc_id = component_id").select("doc_id").distinct(), "heads")
-    chosen = doubtful.join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return sure.unionByName(chosen).unionByName(docs.filter(F.col("doc_id").isNull()))
+    doubtful, sure = parted(rows, mark, bloom(keep(gone.unionByName(again.select(F.col(mark).alias("key"))), "doubtful")))
+    chosen = doubtful.join(gone.withColumnRenamed("key", mark), mark, "left_anti").dropDuplicates([mark])
+    return sure.select(*docs.columns).unionByName(chosen.select(*docs.columns)).unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

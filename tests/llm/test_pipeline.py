@@ -63,6 +63,14 @@ def test_stages_with_odd_rows_and_clashing_columns(spark):
         corpus_pipeline.packed(spark, docs, "").collect()
 
 
+def test_texts_that_share_an_id_are_documents_of_their_own(spark):
+    text = {k: " ".join(f"{k}{j}" for j in range(30)) for k in "abc"}
+    rows = [(1, text["a"]), (1, text["b"]), (1, text["b"]), (2, text["b"] + " end"), (3, text["c"]), (3, text["a"]), (4, None), (4, ""), (5, text["c"]), (None, text["a"])]
+    out = corpus_pipeline.one_of_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "")
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert got == sorted([(1, text["a"]), (1, text["b"]), (3, text["c"]), (4, None), (4, ""), (None, text["a"])], key=str)
+
+
 def test_run(spark):
     rows = corpus_pipeline.run(spark, SF_SMALL).collect()
     fill = {}
