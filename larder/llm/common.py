@@ -128,6 +128,32 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
     return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
+def block_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 19) -> np.ndarray:
+    """The values of ``span_hashes``, block by block: memory does not grow with the text, only with the spans.
+
+    A running total and the power at the block's start carry the sums over;
+    ``starts`` and ``ends`` must each be in ascending order.
+    """
+    low, high, shift = (np.zeros(len(starts), np.uint64) for _ in range(3))
+    ahead, back = powers(block), powers(block, pow(_BASE, -1, 1 << 64))
+    total, up, down = 0, 1, 1
+    sums = np.zeros(block + 1, np.uint64)
+    for begin in range(0, len(data), block):
+        part = data[begin : begin + block]
+        size = len(part)
+        np.cumsum(_TABLE[part] * ahead[:size], out=sums[1 : size + 1])
+        last = begin + size == len(data)
+        for at, out in ((starts, low), (ends, high)):
+            i, j = np.searchsorted(at, [begin, begin + size + last])
+            out[i:j] = np.uint64(total) + np.uint64(up) * sums[at[i:j] - begin]
+            if out is low:
+                near = at[i:j] - begin
+                shift[i:j] = np.uint64(down) * back[np.minimum(near, size - 1)]
+        total = (total + up * int(sums[size])) % (1 << 64)
+        up = up * pow(_BASE, block, 1 << 64) % (1 << 64)
+        down = down * pow(_BASE, -block, 1 << 64) % (1 << 64)
+    return mix((high - low) * shift + (ends - starts).astype(np.uint64))
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of the texts: starts, ends, and the first word of each text (n+1)."""
     n = len(data)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import byte_pairs, fingerprints, html_text, jaccard_join, language, neighbours, packing, personal_data, substring_dedup, suffix_dedup
+from larder.llm import byte_pairs, divergence, fingerprints, html_text, jaccard_join, language, neighbours, packing, personal_data, quality_rules, spelling, substring_dedup, suffix_dedup
 from larder.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(read_table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read_table(spark, sf_dir, "documents"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_html_text": op1_html_text,
@@ -67,8 +79,11 @@ def queries() -> dict[str, Query]:
         "op8_packing": op8_packing,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_language_id": op10_language_id,
+        "op11_source_divergence": op11_source_divergence,
+        "op12_spelling_variants": op12_spelling_variants,
+        "op13_quality_rules": op13_quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_source_divergence": divergence.ORACLE_SQL, "op12_spelling_variants": spelling.ORACLE_SQL}

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -119,3 +120,77 @@ def personal_data(text):
 def edited(text, following):
     n = len(text)
     return text[: n - n // 2] + following[: n // 2]
+
+
+def divergence(rows, min_df, top):
+    """Rows (lang, source, part, item, value, rank) from (text, lang, source) rows."""
+    rows = [tuple(x or "" for x in r) for r in rows]
+    found = lambda text: re.findall("[^\x00-\x40\x5b-\x60\x7b-\x7f]+", text.translate(_LOWER))
+    out = []
+    for lang in {r[1] for r in rows}:
+        own = [(found(t), s) for t, at, s in rows if at == lang]
+        in_docs, by_source = defaultdict(int), defaultdict(lambda: defaultdict(int))
+        for words_, s in own:
+            by_source[s]  # noqa: B018
+            for w in set(words_):
+                in_docs[w] += 1
+            for w in words_:
+                by_source[s][w] += 1
+        kept = [w for w, n in in_docs.items() if n >= min_df]
+
+        def rates(n):
+            total = sum(n.get(w, 0) for w in kept)
+            return {w: 1 + 10**9 * (n.get(w, 0) + 5) // (total + 5 * len(kept)) for w in kept}
+
+        q = rates({w: sum(n.get(w, 0) for n in by_source.values()) for w in kept})
+        p = {s: rates(n) for s, n in by_source.items()}
+        for s in by_source:
+            pairs = sorted((-sum(abs(p[s][w] - p[o][w]) for w in kept), o.encode(), o) for o in by_source if o != s)
+            above = sorted((q[w] - p[s][w], w.encode(), w) for w in kept if by_source[s].get(w, 0) and p[s][w] > q[w])[:top]
+            for part, listed in (("pair", pairs), ("term", above)):
+                out += [(lang, s, part, item, -v, k + 1) for k, (v, _, item) in enumerate(listed)]
+    return out
+
+
+def one_edit(a, b):
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    short, long = sorted((a, b), key=len)
+    return any(long[:k] + long[k + 1 :] == short for k in range(len(long)))
+
+
+def spelling(rows):
+    """{word: (form, root, n, n_near, form_n)} from (doc_id, text) rows."""
+    n = defaultdict(int)
+    for i, t in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            run = run.translate(_LOWER)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            n[run if h % 199 else run[: h % len(run)] + run[h % len(run) + 1 :]] += 1
+    n = {w: k for w, k in n.items() if len(w) >= 6 and k >= 5}
+    near = {w: [o for o in n if one_edit(w, o)] for w in n}
+    form = {}
+    for w in n:
+        best = min(near[w], key=lambda o: (-n[o], o), default=None)
+        form[w] = best if best is not None and n[best] >= 5 * n[w] else None
+    out = {}
+    for w in n:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out[w] = (form[w], root, n[w], len(near[w]), n[form[w]] if form[w] else None)
+    return out
+
+
+def rule_counts(text):
+    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed)"""
+    w = words(text)
+    lines = [x for x in (text or "").split("\n") if words(x)]
+    seen = defaultdict(list)
+    for k in range(len(w) - 4):
+        seen[tuple(w[k : k + 5])].append(k)
+    repeated = {k + j for places in seen.values() if len(places) > 1 for k in places for j in range(5)}
+    failed = len(w) < 10 or 100 * len(repeated) > 20 * len(w)
+    return len(w), sum(map(len, w)), len(re.findall("[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(repeated), failed
