@@ -198,4 +198,4 @@ def test_counts_of_a_very_long_text_need_little_memory():
     c = quality_rules.counts(data, at)
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
-    assert c[0, 0] == 8 * 400_000 and peak < 45 * len(data)
+    assert c[0, 0] == 9 * 400_000 and peak < 25 * len(data)
