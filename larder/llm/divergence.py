@@ -45,15 +45,18 @@ SCALE = 1_000_000_000
 PRIOR = 5
 #: Sources that are compared in one matrix.
 BLOCK = 64
+#: Numbered languages up to which their table is broadcast; more are joined by a shuffle.
+BROADCAST_LANGS = 10_000
 #: Greatest vocabulary that the vectorizer accepts.
 MAX_VOCABULARY = 2**31 - 1
-_TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+_BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def terms(text: Column) -> Column:
     """Runs of letters and characters beyond ASCII, with A-Z lower-cased."""
-    return F.regexp_extract_all(F.translate(text, _UPPER, _LOWER), F.lit(_TERM), F.lit(0))
+    # split is linear in the text; extracting all matches copies it for each of them
+    return F.array_remove(F.split(F.translate(text, _UPPER, _LOWER), _BETWEEN), "")
 
 
 def rate(count: Column, total: Column, kept: Column) -> Column:
@@ -73,7 +76,7 @@ def _stored(docs: DataFrame, min_df: int) -> tuple[str, list[tuple[int, str]], D
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/divergence-terms-{uuid.uuid4().hex}"
     numbers = list(enumerate(langs))
     named = spark.createDataFrame(numbers, "lang_no int, lang string")
-    tokens = read.join(named, "lang").select("lang_no", "source", terms(F.col("text")).alias("terms"))
+    tokens = read.join(F.broadcast(named) if len(numbers) <= BROADCAST_LANGS else named, "lang").select("lang_no", "source", terms(F.col("text")).alias("terms"))
     tokens.write.partitionBy("lang_no").option("compression", "zstd").parquet(path)
     return path, numbers, groups
 
