@@ -55,8 +55,10 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def terms(text: Column) -> Column:
     """Runs of letters and characters beyond ASCII, with A-Z lower-cased."""
+    ascii_only = F.octet_length(text) == F.length(text)  # where the faster lower() does the same
+    low = F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER))
     # split is linear in the text; extracting all matches copies it for each of them
-    return F.array_remove(F.split(F.translate(text, _UPPER, _LOWER), _BETWEEN), "")
+    return F.array_remove(F.split(low, _BETWEEN), "")
 
 
 def rate(count: Column, total: Column, kept: Column) -> Column:
