@@ -1,6 +1,7 @@
 import contextlib
 import io
 import os
+import random
 
 import pandas as pd
 import pytest
@@ -174,6 +175,84 @@ def test_folder_of_many_multi_line_files_keeps_the_order_of_paths(spark, scratch
 def test_single_line_read_refuses_broken_lines(spark, scratch_dir):
     with pytest.raises(ValueError, match="odd number of quotes"):
         scan_csv(spark, _write(scratch_dir, "odd.csv", INVOICES_CSV), INVOICE_CSV_COLUMNS, multi_line=False)
-    short = _write(scratch_dir, "short.csv", _many(3) + "O9,27-05-2016,M9\n")
-    with pytest.raises(Exception, match="(?i)malformed"):
-        scan_csv(spark, short, INVOICE_CSV_COLUMNS, multi_line=False).collect()
+
+
+TABLE = ["a", "b", "c"]
+
+
+def _pandas(path):
+    df = pd.read_csv(path, dtype=str, keep_default_na=True)
+    return [tuple(None if pd.isna(v) else v for v in r) for r in df.itertuples(index=False)]
+
+
+@contextlib.contextmanager
+def _splits(spark, size):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        yield
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def _in_order(df):
+    return [tuple(r[1:]) for r in sorted(df.collect(), key=lambda r: tuple(r[0]))]
+
+
+def _field(rng):
+    plain = rng.choice(["x", "", "NA", "word", "é漢𝒳", " pad ", '5" pipe', "q'q", "tab\t"])
+    quoted = '"' + "".join(rng.choice(["a", '""', ",", "\n", "\r\n", "\n\n", '"",""', " ", "é"]) for _ in range(rng.randrange(12))) + '"'
+    return rng.choice([plain, plain, quoted, quoted + rng.choice(["", "", "t"])])
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_split_scan_equals_pandas_at_every_split_size(spark, scratch_dir, end):
+    rng = random.Random(len(end))
+    rows = [",".join(["k" + str(k), *(_field(rng) for _ in range(rng.choice([2, 2, 2, 1, 0])))]) for k in range(120)]
+    rows.insert(7, "")
+    rows.insert(60, '"' + "long\n" * 400 + '",y,z')  # spans many small splits
+    text = end.join(["a,b,c", *rows]) + rng.choice(["", end])
+    path = os.path.join(scratch_dir, f"fuzz{len(end)}.csv")
+    with open(path, "w", encoding="utf-8", newline="") as f:
+        f.write(text)
+    want = _pandas(path)
+    assert len(want) == 121 and any("\n" in (r[1] or "") for r in want)
+    for size in ("37", "200", "1000", "128m"):
+        with _splits(spark, size):
+            df = scan_csv(spark, path, TABLE)
+            assert _in_order(df) == want, size
+            if size == "37":
+                assert df.count() == 121 and spark.read.text(path).rdd.getNumPartitions() > 50
+
+
+def test_rows_that_are_too_short_are_filled_and_too_long_ones_fail(spark, scratch_dir):
+    assert _in_order(scan_csv(spark, _write(scratch_dir, "short.csv", "a,b,c\n1,2\n3\n4,5,6\n,,\n"), TABLE)) == [
+        ("1", "2", None), ("3", None, None), ("4", "5", "6"), (None, None, None)]
+    for text in ("a,b,c\n1,2,3,4\n", "a,b,c\n1,2,3,\n", 'a,b,c\n1,2,"x\ny",4,5\n'):
+        with pytest.raises(Exception, match="too many fields"):
+            scan_csv(spark, _write(scratch_dir, "long.csv", text), TABLE).count()
+
+
+def test_a_quote_that_is_never_closed_fails(spark, scratch_dir):
+    with pytest.raises(ValueError, match="never closed"):
+        scan_csv(spark, _write(scratch_dir, "open.csv", 'a,b,c\n1,"2,3\n4,5,6\n'), TABLE)
+
+
+def test_files_without_rows(spark, scratch_dir):
+    assert scan_csv(spark, _write(scratch_dir, "head.csv", "a,b,c\n"), TABLE).count() == 0
+    assert scan_csv(spark, _write(scratch_dir, "empty.csv", ""), TABLE).count() == 0
+    assert _in_order(scan_csv(spark, _write(scratch_dir, "bom.csv", "\ufeffa,b,c\n1,2,3"), TABLE)) == [("1", "2", "3")]
+
+
+def test_records_across_many_splits_keep_their_order_numbers(spark, scratch_dir):
+    lines = [f'O{i},27-05-2016,M{i},C1,2016-05-31 07:00:00+02:00,"[\'n{i * 7 % 50}\'\n \'n{i * 3 % 40}\']",10,Lunch' for i in range(3000)]
+    path = _write(scratch_dir, "torn.csv", "\n".join([INVOICES_CSV.splitlines()[0], *lines]) + "\n")
+    with _splits(spark, "9k"):
+        raw = scan_csv(spark, path, INVOICE_CSV_COLUMNS)
+        assert raw.rdd.getNumPartitions() > 20
+        empty = raw.limit(0)
+        staged = stage_sources(spark, type("R", (), {"invoices": raw, "leads": empty, "salesteam": empty}))
+        numbers = [(r[0], r["Order Id"]) for r in staged.invoices.collect()]
+    assert [o for _, o in sorted(numbers)] == [f"O{i}" for i in range(3000)]
+    assert _ids(clean_invoices(staged.invoices)) == _want(3000)
