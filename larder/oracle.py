@@ -419,6 +419,52 @@ def _violation_rows() -> str:
     return _union_all(parts)
 
 
+def _gate() -> str:
+    """CTEs that decide every raw row: ``decided`` (table_name, row_order, row_key, reasons as a list)."""
+    qc = "(length(Participants) - length(replace(Participants, '''', '')))"
+
+    def listed(rules):
+        return "list_filter([" + ", ".join(f"CASE WHEN {cond} THEN '{name}' END" for name, cond in rules) + "], lambda x: x IS NOT NULL)"
+
+    def common(table, source, dates):
+        rules = [(f"format:{c}", f'"{c}" IS NOT NULL AND try_strptime({text}, \'{fmt}\') IS NULL') for c, (text, fmt) in dates.items()]
+        rules += [(f"not_null:{c}", f'"{c}" IS NULL') for c in _NOT_NULL.get(table, [])]
+        rules += [(f"length:{c}", f'length("{c}") > {n}') for c, n in _MAX_LENGTHS[table].items()]
+        for c, (lo, hi) in _RANGES.get(source, {}).items():
+            v = c.replace(" ", "_")
+            rules.append((f"range:{v}", f"{v} IS NOT NULL AND (TRY_CAST({v} AS BIGINT) IS NULL OR TRY_CAST({v} AS BIGINT) NOT BETWEEN {lo} AND {hi})"))
+        return rules
+
+    leads = common("orders", "orderleads", {"Date": ('"Date"', "%Y-%m-%d")})
+    invoices = common("invoice", "", {"Date": ('"Date"', "%d-%m-%Y"), "Date_of_Meal": ("split_part(Date_of_Meal, '+', 1)", "%Y-%m-%d %H:%M:%S")})
+    invoices += [("domain:Type_of_Meal", f"Type_of_Meal IS NOT NULL AND Type_of_Meal NOT IN ({_MEALS})")]
+    invoices += common("salesteam", "invoices", {})[len(_MAX_LENGTHS["salesteam"]):]
+    invoices += [("range:Number_of_Participants", f"Participants IS NOT NULL AND {qc} // 2 > 127")]
+    order_gone = "Order_Id IS NOT NULL AND Order_Id NOT IN (SELECT Order_Id FROM good_leads)"
+    company_gone = "Company_Id IS NOT NULL AND Company_Id NOT IN (SELECT Company_Id FROM good_leads)"
+    return f""",
+leads_by_row AS (SELECT *, {listed(leads)} AS r FROM raw_leads),
+leads_firsts AS (SELECT min(row_order) AS row_order FROM leads_by_row WHERE len(r) = 0 GROUP BY Order_Id, Company_Id),
+leads_decided AS (
+    SELECT *, CASE WHEN len(r) = 0 AND row_order NOT IN (SELECT row_order FROM leads_firsts) THEN ['primary_key:Order_Id,Company_Id'] ELSE r END AS reasons FROM leads_by_row
+),
+good_leads AS (SELECT * FROM leads_decided WHERE len(reasons) = 0),
+invoices_by_row AS (
+    SELECT *, list_concat({listed(invoices)}, {listed([("foreign_key:Order_Id", order_gone), ("foreign_key:Company_Id", company_gone)])}) AS r FROM raw_invoices
+),
+invoices_firsts AS (SELECT min(row_order) AS row_order FROM invoices_by_row WHERE len(r) = 0 GROUP BY Order_Id),
+decided AS (
+    SELECT 'orders' AS table_name, row_order, concat_ws('|', Order_Id, Company_Id) AS row_key, reasons FROM leads_decided
+    UNION ALL
+    SELECT 'invoice', row_order, coalesce(Order_Id, ''),
+        CASE WHEN len(r) = 0 AND row_order NOT IN (SELECT row_order FROM invoices_firsts) THEN ['unique:Order_Id'] ELSE r END FROM invoices_by_row
+    UNION ALL
+    SELECT 'salesteam', row_order, coalesce(Sales_Rep_Id, ''),
+        list_concat({listed(common("salesteam", "", {}))}, {listed([("foreign_key:Company_Id", company_gone)])}) FROM raw_salesteam
+)
+"""
+
+
 _PERCENT = VIEWS["percent_converted"]
 _DIFF = VIEWS["difference_days"]
 
@@ -447,6 +493,8 @@ EXTRA.update({
     "preview_difference_days": f'SELECT * FROM ({_DIFF}) ORDER BY "Date", Date_of_Meal, Days_Between LIMIT 2',
     "profile_nulls": _profile_nulls(),
     "profile_duplicates": _profile_duplicates(),
+    "load_admitted": _gate() + "SELECT table_name, row_order, row_key FROM decided WHERE len(reasons) = 0",
+    "load_rejected": _gate() + "SELECT table_name, row_order, row_key, array_to_string(reasons, ',') AS reasons FROM decided WHERE len(reasons) > 0",
     **_checks(),
     "integrity_violations": _violation_rows(),
     "load_audit": _union_all(
