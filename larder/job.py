@@ -15,7 +15,7 @@ import logging
 
 from pyspark.sql import SparkSession
 
-from larder.operators import profiling, quality
+from larder.operators import gate, profiling, quality
 from larder.plans.catalog import create_views, register_views
 from larder.session import build_session, ensure_checkpoint_dir
 from larder.sources import publish
@@ -43,16 +43,24 @@ def run(
     as_of: str | None = None,
     publish_anyway: bool = False,
     multi_line: bool = True,
+    reject_rows: bool = False,
 ) -> list[str]:
     """Load the three files; refuses to publish tables that break a declared constraint.
 
-    ``REPORTED`` checks are about text the load accepts: they are logged only.
+    With ``reject_rows`` the load gate keeps such rows back instead, lists them in
+    ``rejected_rows`` and publishes the others. ``REPORTED`` checks are about text
+    the load accepts: they are logged only.
     """
     ensure_checkpoint_dir(spark)
     raw = publish.stage_sources(spark, load_csv_sources(spark, invoices, leads, salesteam, multi_line))
     log.info("sources read and staged")
     _log_rows("missing values", profiling.profile_nulls(raw.as_dict()))
     _log_rows("repeated rows", profiling.profile_duplicates(raw.as_dict()))
+    rejected = None
+    if reject_rows:
+        decided = gate.decide(raw, lead_date_format)
+        raw, rejected = decided.accepted, decided.rejects()
+        _log_rows("rejected rows", rejected.groupBy("table_name").count())
     lenient = Tables(raw, strict=False, as_of=as_of, lead_date_format=lead_date_format)
     checks = [
         quality.check_not_null(lenient.as_dict(False)),
@@ -72,7 +80,8 @@ def run(
     if violations and not publish_anyway:
         raise RuntimeError(f"{violations} constraint violations; not publishing")
     audit = publish.refresh_from_raw(
-        spark, raw, database=database, buckets=buckets, as_of=as_of, lead_date_format=lead_date_format
+        spark, raw, database=database, buckets=buckets, as_of=as_of, lead_date_format=lead_date_format,
+        rejected=rejected,
     )
     _log_rows("loaded", audit)
     published = publish.published(spark, database)
@@ -94,12 +103,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--publish-anyway", action="store_true",
                     help="publish even if rows break declared constraints")
     ap.add_argument("--single-line", action="store_true",
-                    help="every CSV record is one line: files are split among tasks")
+                    help="refuse files in which a CSV record is more than one line")
+    ap.add_argument("--reject-rows", action="store_true",
+                    help="publish the rows that break no constraint and list the others in rejected_rows")
     args = ap.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
     spark = build_session()
     run(spark, args.invoices, args.leads, args.salesteam, args.database, args.buckets,
-        args.lead_date_format, args.as_of, args.publish_anyway, not args.single_line)
+        args.lead_date_format, args.as_of, args.publish_anyway, not args.single_line, args.reject_rows)
 
 
 if __name__ == "__main__":

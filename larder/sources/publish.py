@@ -1,13 +1,14 @@
 """Publishing: full refresh of the four tables, catalog registration, audit.
 
-A refresh writes every table under names of its own run. Only after all four
-writes succeed are the public names, which are persistent views over the run's
-tables, replaced (``CREATE OR REPLACE VIEW``); so a failed write leaves the
-previous set readable, a public name never disappears, and readers in any
-session see current tables. Each name is replaced at once, but the four names
-one after the other: a query that starts between two of them joins tables of two
-runs. ``drop_old_runs`` removes the tables and files of earlier runs, and
-``remove_staged`` a run's staged sources, when no reader needs them any more.
+A refresh writes every table under names of its own run, and becomes visible in one
+catalog step. The public names are persistent views that never change: each reads
+one of two slots, chosen by the pointer view ``current_slot``. A refresh points the
+slot that nobody reads at its run's tables and then replaces the pointer, so a
+reader sees all tables of one run or all of another, in any session; a failed write
+leaves the previous set readable. The pointer is a literal, which the optimizer
+folds: a plan holds the scan of the chosen slot only. ``drop_old_runs`` removes the
+tables and files of earlier runs, and ``remove_staged`` a run's staged sources, when
+no reader needs them any more. One refresh of a database may run at a time.
 
 Layout choices for large data:
 
@@ -40,6 +41,10 @@ DEFAULT_DATABASE = "larder_mart"
 BUCKET_KEY = "Order_Id"
 BUCKETED = ("orders", "invoice", "customer_order")
 RUN_MARK = "__run_"
+SLOT_MARK = "__slot_"
+SLOTS = ("a", "b")
+POINTER = "current_slot"
+REJECTED = "rejected_rows"
 LOAD_ORDER = ("orders", "invoice", "salesteam", "customer_order")  # parents first
 
 
@@ -97,10 +102,12 @@ def refresh(
     root: str | None = None,
     buckets: int | None = None,
     strict: bool = True,
+    rejected: DataFrame | None = None,
 ) -> DataFrame:
     """Full refresh of ``orders``, ``invoice``, ``salesteam``, ``customer_order``.
 
-    Returns the audit as a DataFrame (stage, table_name, row_count).
+    ``rejected`` (rows that a load gate kept back) is published beside them as
+    ``rejected_rows``. Returns the audit as a DataFrame (stage, table_name, row_count).
     """
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     run = f"{time.strftime('%Y%m%dT%H%M%S')}_{uuid.uuid4().hex[:8]}"
@@ -116,8 +123,10 @@ def refresh(
         observations[name] = write_table(
             df, written[name], f"{base}/{name}", n, partition_by=parts, bucket=name in BUCKETED
         )
-    for name, table in written.items():
-        replace_view(spark, f"{database}.{name}", f"SELECT * FROM {table}")
+    if rejected is not None:
+        written[REJECTED] = f"{database}.{REJECTED}{RUN_MARK}{run}"
+        write_table(rejected, written[REJECTED], f"{base}/{REJECTED}", n, bucket=False)
+    _show(spark, database, run, {name: f"SELECT * FROM {table}" for name, table in written.items()})
     rows = [("load", name, int(observations[name].get["rows"])) for name in LOAD_ORDER]
     return spark.createDataFrame(rows, "stage string, table_name string, row_count long")
 
@@ -127,6 +136,37 @@ def replace_view(spark: SparkSession, name: str, sql: str) -> None:
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS {sql}")
 
 
+def current_run(spark: SparkSession, database: str = DEFAULT_DATABASE) -> tuple[str, str] | None:
+    """(slot, run) that the public names show, if any."""
+    if not spark.catalog.tableExists(f"{database}.{POINTER}"):
+        return None
+    return tuple(spark.table(f"{database}.{POINTER}").select("slot", "run").first())
+
+
+def _point(spark: SparkSession, database: str, slot: str, run: str) -> None:
+    replace_view(spark, f"{database}.{POINTER}", f"SELECT '{slot}' AS slot, '{run}' AS run")
+
+
+def _show(spark: SparkSession, database: str, run: str, selects: dict[str, str]) -> None:
+    """Make the public names show these tables: fill the idle slot, then replace the pointer."""
+    shown = current_run(spark, database)
+    idle = SLOTS[1] if shown and shown[0] == SLOTS[0] else SLOTS[0]
+    if REJECTED not in selects and spark.catalog.tableExists(f"{database}.{REJECTED}"):
+        old = spark.table(f"{database}.{REJECTED}").schema  # this run has none: an empty table without files
+        selects = {**selects, REJECTED: "SELECT " + ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in old) + " WHERE false"}
+    for name, select in selects.items():
+        replace_view(spark, f"{database}.{name}{SLOT_MARK}{idle}", select)
+    if shown is None:
+        _point(spark, database, idle, run)
+    for name, select in selects.items():
+        if not spark.catalog.tableExists(f"{database}.{name}"):
+            other = SLOTS[SLOTS[0] == idle]
+            replace_view(spark, f"{database}.{name}{SLOT_MARK}{other}", select if shown is None else f"{select} WHERE false")
+            chosen = [f"SELECT * FROM {database}.{name}{SLOT_MARK}{s} WHERE (SELECT slot FROM {database}.{POINTER}) = '{s}'" for s in SLOTS]
+            replace_view(spark, f"{database}.{name}", " UNION ALL ".join(chosen))
+    _point(spark, database, idle, run)
+
+
 def drop_old_runs(spark: SparkSession, database: str = DEFAULT_DATABASE, keep: int = 2) -> list[str]:
     """Drop the tables, files included, of all but the last ``keep`` runs; returns what was dropped.
 
@@ -135,8 +175,13 @@ def drop_old_runs(spark: SparkSession, database: str = DEFAULT_DATABASE, keep: i
     """
     tables = [t.name for t in spark.catalog.listTables(database) if not t.isTemporary and RUN_MARK in t.name]
     runs = sorted({t.split(RUN_MARK)[1] for t in tables})
-    shown = spark.sql(f"SHOW CREATE TABLE {database}.{LOAD_ORDER[0]}").first()[0]
-    old = [r for r in runs[: max(0, len(runs) - keep)] if r not in shown.lower()]
+    slot, shown = current_run(spark, database)
+    old = [r for r in runs[: max(0, len(runs) - keep)] if r != shown.lower()]
+    # the idle slot must not name tables that go: it shows the current ones from now on
+    idle = SLOTS[SLOTS[0] == slot]
+    for name in list_tables(spark, database):
+        if spark.catalog.tableExists(f"{database}.{name}{SLOT_MARK}{idle}"):
+            replace_view(spark, f"{database}.{name}{SLOT_MARK}{idle}", f"SELECT * FROM {database}.{name}{SLOT_MARK}{slot}")
     dropped = []
     for table in tables:
         if table.split(RUN_MARK)[1] in old:
@@ -153,15 +198,19 @@ def _remove(spark: SparkSession, path: str) -> None:
 
 
 def published(spark: SparkSession, database: str = DEFAULT_DATABASE) -> dict[str, DataFrame]:
-    """The published tables as DataFrames (``invoice`` without its ``Year`` column)."""
-    out = {name: spark.table(f"{database}.{name}") for name in LOAD_ORDER}
-    out["invoice"] = out["invoice"].drop("Year")
-    return out
+    """The published tables as DataFrames, all of one run (``invoice`` without its ``Year`` column)."""
+    while True:
+        shown = current_run(spark, database)
+        out = {name: spark.table(f"{database}.{name}") for name in LOAD_ORDER}
+        if current_run(spark, database) == shown:  # no refresh in between
+            out["invoice"] = out["invoice"].drop("Year")
+            return out
 
 
 def list_tables(spark: SparkSession, database: str = DEFAULT_DATABASE) -> list[str]:
-    """Public names of the schema (tables of single runs and session temp views excluded)."""
-    return sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary and RUN_MARK not in t.name)
+    """Public names of the schema (tables of single runs, slots and session temp views excluded)."""
+    hidden = (RUN_MARK, SLOT_MARK, POINTER)
+    return sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary and not any(h in t.name for h in hidden))
 
 
 def invoice_for_year(spark: SparkSession, year: int, database: str = DEFAULT_DATABASE) -> DataFrame:
@@ -178,6 +227,7 @@ def refresh_from_raw(
     strict: bool = True,
     as_of=None,
     lead_date_format: str | None = None,
+    rejected: DataFrame | None = None,
 ) -> DataFrame:
     """The whole job: clean the raw frames, number the customers, refresh the tables.
 
@@ -188,7 +238,7 @@ def refresh_from_raw(
     from larder.sources.tables import Tables
 
     tables = Tables(raw, strict=strict, as_of=as_of, lead_date_format=lead_date_format).as_dict()
-    return refresh(spark, tables, database=database, root=root, buckets=buckets, strict=strict)
+    return refresh(spark, tables, database=database, root=root, buckets=buckets, strict=strict, rejected=rejected)
 
 
 def stage_sources(spark: SparkSession, raw, root: str | None = None):

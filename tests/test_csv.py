@@ -110,6 +110,14 @@ def test_job_publishes_anyway_when_told(spark, scratch_dir):
     assert spark.table("job_anyway.salesteam").count() == 2
 
 
+@pytest.mark.parametrize("case", sorted(BAD))
+def test_job_publishes_the_good_rows_and_lists_the_others(spark, scratch_dir, case):
+    _job(spark, scratch_dir, f"gate_{case}", reject_rows=True, **BAD[case])
+    rejected = spark.table(f"job_gate_{case}.rejected_rows").collect()
+    assert {r.table_name for r in rejected} == {"fk": {"invoice"}, "fk_company": {"salesteam"}, "length": {"salesteam"}}.get(case, {"orders"})
+    assert spark.table(f"job_gate_{case}.orders").count() == 4
+
+
 def test_lead_date_format_reaches_the_checks(spark, scratch_dir):
     leads = LEADS_CSV.replace("2016-05-2", "2016/05/2")
     _job(spark, scratch_dir, "dates", leads=leads, lead_date_format="yyyy/M/d")

@@ -2,10 +2,12 @@ import contextlib
 import io
 
 import pytest
+from pyspark.sql import functions as F
 
 from larder.plans import views
 from larder.sources import publish
 from larder.sources.tables import Tables
+from larder.sources.testdomain import RawSources
 from tests.fixtures import INVOICES, raw_sources
 
 
@@ -137,3 +139,51 @@ def test_staged_sources_can_be_removed(spark):
     publish.remove_staged(spark, raw)
     with pytest.raises(Exception):
         spark.read.parquet(raw.path + "/invoices")
+
+
+def _company(spark, tag):
+    """Sources in which every table names the run."""
+    raw = raw_sources(spark)
+    named = lambda df, *cols: df.withColumns({c: F.concat(F.lit(tag), F.col(f"`{c}`")) for c in cols})
+    return Tables(RawSources(
+        invoices=named(raw.invoices, "Order Id", "Company Id"), leads=named(raw.leads, "Order Id", "Company Id"),
+        salesteam=named(raw.salesteam, "Company Id"),
+    ), as_of="2024-01-02").as_dict()
+
+
+def test_no_reader_ever_sees_two_runs(spark, monkeypatch):
+    publish.refresh(spark, _company(spark, "r0"), database="t_one")
+    seen = []
+
+    def probe():
+        other = spark.newSession()
+        marks = {other.sql(f"SELECT min(left(Order_Id, 2)), max(left(Order_Id, 2)) FROM t_one.{t}").first() for t in ("orders", "invoice", "customer_order")}
+        marks |= {other.sql("SELECT min(left(Company_Id, 2)), max(left(Company_Id, 2)) FROM t_one.salesteam").first()}
+        assert len(marks) == 1 and len(set(next(iter(marks)))) == 1
+        joined = other.sql("SELECT count(*) FROM t_one.orders o JOIN t_one.invoice i USING (Order_Id) JOIN t_one.customer_order c USING (Order_Id)").first()[0]
+        assert joined == 7
+        seen.append(next(iter(marks))[0])
+
+    plain = publish.replace_view
+
+    def probed(spark_, name, sql):
+        probe()
+        plain(spark_, name, sql)
+        probe()
+
+    monkeypatch.setattr(publish, "replace_view", probed)
+    for tag in ("r1", "r2"):
+        publish.refresh(spark, _company(spark, tag), database="t_one")
+    assert [a for a, b in zip(seen, seen[1:] + [None]) if a != b] == ["r0", "r1", "r2"]
+
+
+def test_rejected_rows_are_published_with_their_run(spark):
+    t = Tables(raw_sources(spark), as_of="2024-01-02").as_dict()
+    rejected = spark.createDataFrame([("orders", 7, "O7|C1", "primary_key", "{}")], "table_name string, row_order long, row_key string, reasons string, row string")
+    publish.refresh(spark, t, database="t_rej")
+    assert "rejected_rows" not in publish.list_tables(spark, "t_rej")
+    for given, n in ((rejected, 1), (None, 0), (rejected.unionAll(rejected), 2)):
+        publish.refresh(spark, t, database="t_rej", rejected=given)
+        assert spark.newSession().table("t_rej.rejected_rows").count() == n
+    publish.drop_old_runs(spark, "t_rej", keep=1)
+    assert spark.table("t_rej.rejected_rows").count() == 2 and spark.table("t_rej.orders").count() == 6
