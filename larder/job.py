@@ -15,7 +15,7 @@ import logging
 
 from pyspark.sql import SparkSession
 
-from larder.operators import gate, profiling, quality
+from larder.operators import dates, gate, profiling, quality
 from larder.plans.catalog import create_views, register_views
 from larder.session import build_session, ensure_checkpoint_dir
 from larder.sources import publish
@@ -56,6 +56,9 @@ def run(
     log.info("sources read and staged")
     _log_rows("missing values", profiling.profile_nulls(raw.as_dict()))
     _log_rows("repeated rows", profiling.profile_duplicates(raw.as_dict()))
+    _log_rows("column types", profiling.profile_types(raw.as_dict()))
+    lead_date_format = lead_date_format or dates.infer_format(raw.leads, mixed=reject_rows or publish_anyway)
+    log.info("lead dates are %s", lead_date_format)
     rejected = None
     if reject_rows:
         decided = gate.decide(raw, lead_date_format)

@@ -262,6 +262,44 @@ def _profile_duplicates() -> str:
     return _union_all(parts)
 
 
+def _profile_types() -> str:
+    parts = []
+    for table, (cte, cols) in _RAW.items():
+        for name, c in cols:
+            filled = f"{c} IS NOT NULL"
+            whole = f"regexp_full_match({c}, '[+-]?[0-9]{{1,18}}')"
+            number = f"({whole} OR regexp_full_match({c}, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?'))"
+            date = (f"(try_strptime({c}, '%Y-%m-%d') IS NOT NULL AND regexp_full_match({c}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') "
+                    f"OR try_strptime({c}, '%d-%m-%Y') IS NOT NULL AND regexp_full_match({c}, '[0-9]{{2}}-[0-9]{{2}}-[0-9]{{4}}'))")
+            moment = (f"({date} OR try_strptime(replace({c}[1:19], 'T', ' '), '%Y-%m-%d %H:%M:%S') IS NOT NULL "
+                      f"AND regexp_full_match({c}[20:], '([.][0-9]+)?(Z|[+-][0-9]{{2}}:?[0-9]{{2}})?'))")
+            every = lambda cond: f"bool_and({cond}) FILTER (WHERE {filled})"
+            parts.append(
+                f"SELECT '{table}' AS table_name, '{name}' AS column_name, CASE WHEN count({c}) = 0 THEN 'empty' WHEN {every(whole)} THEN 'integer' "
+                f"WHEN {every(number)} THEN 'decimal' WHEN {every(date)} THEN 'date' WHEN {every(moment)} THEN 'timestamp' ELSE 'text' END AS column_type FROM {cte}"
+            )
+    return _union_all(parts)
+
+
+# The candidate formats of the lead dates, in order of preference.
+_DATE_FORMATS = {
+    "yyyy-M-d": "%Y-%m-%d", "yyyy/M/d": "%Y/%m/%d", "yyyyMMdd": "%Y%m%d", "M/d/yyyy": "%m/%d/%Y", "M-d-yyyy": "%m-%d-%Y",
+    "d/M/yyyy": "%d/%m/%Y", "d-M-yyyy": "%d-%m-%Y", "d.M.yyyy": "%d.%m.%Y",
+}
+
+
+def _date_votes() -> str:
+    parts = [f"SELECT {k + 1} AS preference, '{name}' AS date_format, count(try_strptime(\"Date\", '{fmt}')) AS parsed, count(\"Date\") AS filled FROM raw_leads"
+             for k, (name, fmt) in enumerate(_DATE_FORMATS.items())]
+    return f"""
+SELECT preference, date_format, parsed, filled, chosen, chosen AND fitting > 1 AND filled > 0 AS ambiguous
+FROM (
+    SELECT *, coalesce(preference = min(CASE WHEN parsed = filled THEN preference END) OVER (), false) AS chosen, count(*) FILTER (WHERE parsed = filled) OVER () AS fitting
+    FROM ({_union_all(parts)})
+)
+"""
+
+
 def _check_rows(check: str, table: str, terms: dict[str, str]) -> list[str]:
     cte = _CLEAN.get(table) or _RAW[table][0]
     return [
@@ -493,6 +531,8 @@ EXTRA.update({
     "preview_difference_days": f'SELECT * FROM ({_DIFF}) ORDER BY "Date", Date_of_Meal, Days_Between LIMIT 2',
     "profile_nulls": _profile_nulls(),
     "profile_duplicates": _profile_duplicates(),
+    "profile_types": _profile_types(),
+    "lead_date_votes": _date_votes(),
     "load_admitted": _gate() + "SELECT table_name, row_order, row_key FROM decided WHERE len(reasons) = 0",
     "load_rejected": _gate() + "SELECT table_name, row_order, row_key, array_to_string(reasons, ',') AS reasons FROM decided WHERE len(reasons) > 0",
     **_checks(),

@@ -69,7 +69,7 @@ def test_profiling(spark):
     assert nulls[("orderleads", "Converted")] == 1
     assert nulls[("invoices", "Order Id")] == 0
     assert len(nulls) == 8 + 6 + 4
-    types = profiling.profile_types(raw)
+    types = profiling.declared_types(raw)
     assert ("invoices", "Meal Price", "string") in types
 
 
