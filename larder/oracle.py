@@ -481,24 +481,37 @@ def _gate() -> str:
     order_gone = "Order_Id IS NOT NULL AND Order_Id NOT IN (SELECT Order_Id FROM good_leads)"
     company_gone = "Company_Id IS NOT NULL AND Company_Id NOT IN (SELECT Company_Id FROM good_leads)"
     return f""",
-leads_by_row AS (SELECT *, {listed(leads)} AS r FROM raw_leads),
+flawed_leads AS (
+    SELECT * REPLACE (
+        CASE WHEN row_order % 10 = 0 THEN replace("Date", '-', '.') ELSE "Date" END AS "Date",
+        CASE WHEN row_order % 17 = 0 THEN Order_Value || '000' ELSE Order_Value END AS Order_Value,
+        CASE WHEN row_order % 41 <> 0 THEN Company_Id END AS Company_Id) FROM raw_leads
+),
+flawed_invoices AS (
+    SELECT * REPLACE (
+        CASE WHEN row_order % 29 = 0 THEN 'Brunch' ELSE Type_of_Meal END AS Type_of_Meal,
+        CASE WHEN row_order % 31 <> 0 THEN Meal_Id END AS Meal_Id)
+    FROM (SELECT * FROM raw_invoices UNION ALL SELECT * REPLACE (row_order + 1000000000000 AS row_order) FROM raw_invoices WHERE row_order % 13 = 0)
+),
+flawed_salesteam AS (SELECT * REPLACE (CASE WHEN row_order % 11 = 0 THEN 'none' ELSE Company_Id END AS Company_Id) FROM raw_salesteam),
+leads_by_row AS (SELECT *, {listed(leads)} AS r FROM flawed_leads),
 leads_firsts AS (SELECT min(row_order) AS row_order FROM leads_by_row WHERE len(r) = 0 GROUP BY Order_Id, Company_Id),
 leads_decided AS (
     SELECT *, CASE WHEN len(r) = 0 AND row_order NOT IN (SELECT row_order FROM leads_firsts) THEN ['primary_key:Order_Id,Company_Id'] ELSE r END AS reasons FROM leads_by_row
 ),
 good_leads AS (SELECT * FROM leads_decided WHERE len(reasons) = 0),
 invoices_by_row AS (
-    SELECT *, list_concat({listed(invoices)}, {listed([("foreign_key:Order_Id", order_gone), ("foreign_key:Company_Id", company_gone)])}) AS r FROM raw_invoices
+    SELECT *, list_concat({listed(invoices)}, {listed([("foreign_key:Order_Id", order_gone), ("foreign_key:Company_Id", company_gone)])}) AS r FROM flawed_invoices
 ),
 invoices_firsts AS (SELECT min(row_order) AS row_order FROM invoices_by_row WHERE len(r) = 0 GROUP BY Order_Id),
 decided AS (
-    SELECT 'orders' AS table_name, row_order, concat_ws('|', Order_Id, Company_Id) AS row_key, reasons FROM leads_decided
+    SELECT 'orders' AS table_name, CAST(row_order AS BIGINT) AS row_order, concat_ws('|', Order_Id, Company_Id) AS row_key, reasons FROM leads_decided
     UNION ALL
     SELECT 'invoice', row_order, coalesce(Order_Id, ''),
         CASE WHEN len(r) = 0 AND row_order NOT IN (SELECT row_order FROM invoices_firsts) THEN ['unique:Order_Id'] ELSE r END FROM invoices_by_row
     UNION ALL
     SELECT 'salesteam', row_order, coalesce(Sales_Rep_Id, ''),
-        list_concat({listed(common("salesteam", "", {}))}, {listed([("foreign_key:Company_Id", company_gone)])}) FROM raw_salesteam
+        list_concat({listed(common("salesteam", "", {}))}, {listed([("foreign_key:Company_Id", company_gone)])}) FROM flawed_salesteam
 )
 """
 

@@ -145,3 +145,21 @@ def load_test_sources(spark: SparkSession, sf_dir: str) -> RawSources:
         leads=raw_leads(t["orders"], t["customer"], t["nation"]),
         salesteam=raw_salesteam(t["supplier"], t["nation"]),
     )
+
+
+def flawed_sources(raw: RawSources) -> RawSources:
+    """The same frames with rows that break constraints, for the load gate: dates in another format, values out of
+    range, missing and unknown keys, repeated invoices (numbered behind all others)."""
+    row = F.col(ROW_ORDER)
+    leads = raw.leads.withColumns({
+        "Date": F.when(row % 10 == 0, F.regexp_replace("Date", "-", ".")).otherwise(F.col("Date")),
+        "Order Value": F.when(row % 17 == 0, F.concat("Order Value", F.lit("000"))).otherwise(F.col("Order Value")),
+        "Company Id": F.when(row % 41 == 0, F.lit(None)).otherwise(F.col("Company Id")),
+    })
+    again = raw.invoices.filter(row % 13 == 0).withColumn(ROW_ORDER, row + 10**12)
+    invoices = raw.invoices.unionByName(again).withColumns({
+        "Type of Meal": F.when(row % 29 == 0, F.lit("Brunch")).otherwise(F.col("Type of Meal")),
+        "Meal Id": F.when(row % 31 == 0, F.lit(None)).otherwise(F.col("Meal Id")),
+    })
+    salesteam = raw.salesteam.withColumn("Company Id", F.when(row % 11 == 0, F.lit("none")).otherwise(F.col("Company Id")))
+    return RawSources(invoices=invoices, leads=leads, salesteam=salesteam)
