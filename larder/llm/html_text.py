@@ -55,7 +55,7 @@ _LAYOUT = frozenset("body text meta side content".split())  # weak alone: other
 _RAW = "script|style|noscript|template|textarea|title|iframe"  # up to their end tag, whatever stands inside
 _UNSHOWN = frozenset("select option button datalist svg object canvas audio video map".split())
 _TOKEN = re.compile(
-    rf"""<!--.*?(?:-->|\Z)|<({_RAW})\b(?:[^>"']++|"[^"]*+"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"""
+    rf"""<!--.*?(?:-->|\Z)|<({_RAW})\b(?:(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*+>).*?(?:</\1\s*>|\Z)"""
     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>|<[!?/][^>]*+>""",
     re.S | re.I,
 )
@@ -83,6 +83,13 @@ def _names(tag: str, attributes: str) -> tuple[str, ...]:
     return tuple(dict.fromkeys(found))
 
 
+def _unclosed(m: re.Match) -> bool:
+    """Whether a comment or raw element goes on to the end of the page."""
+    if m[1] is not None:
+        return re.search(rf"</{m[1]}\s*>\Z", m[0], re.I) is None
+    return m[0].startswith("<!--") and not m[0].endswith("-->")
+
+
 def blocks(page: str) -> list[Block]:
     """Leaf blocks of a page in order."""
     out: list[Block] = []
@@ -124,9 +131,12 @@ def blocks(page: str) -> list[Block]:
                 own.pop()
 
     at = 0
-    for m in _TOKEN.finditer(page):
+    last = page.rfind(">") + 1  # no tag ends behind it, so what begins there is looked at once
+    for m in _TOKEN.finditer(page, 0, last):
         add(page[at : m.start()])
         at = m.end()
+        if at == last and _unclosed(m):
+            at = len(page)
         if m[1] is not None:
             if m[1].lower() == "title":
                 flush()
@@ -161,7 +171,7 @@ def blocks(page: str) -> list[Block]:
         unshown += tag in _UNSHOWN
         stack.append((tag, len(above)))
         above.update(dict.fromkeys(_names(tag, attributes)))
-    add(page[at:])
+    add(page[at:].partition("<!--")[0])
     flush()
     return out
 

@@ -179,6 +179,22 @@ def test_blocks_of_a_page():
     assert [b[1] for b in html_text.blocks("<p>x<script>never closed")] == ["x"]
 
 
+def test_scripts_and_styles_with_unbalanced_quotes_are_no_text():
+    for raw in ("<script src='a\">var leak = 1;</script>", "<style media=don't>p{leak}</style>", "<SCRIPT x=\">leak</SCRIPT >"):
+        assert [b[1] for b in html_text.blocks(f"<p>before</p>{raw}<p>after</p>")] == ["before", "after"]
+    assert [b[1] for b in html_text.blocks("<p>x<style media=don't>never closed")] == ["x"]
+    assert [b[1] for b in html_text.blocks("<p>x<!-- <b>never closed")] == ["x"] == [b[1] for b in html_text.blocks("<p>x<!-- never closed")]
+
+
+def test_unclosed_tags_take_linear_time():
+    import time
+
+    for page in ("<a " * 300_000, "<p>x</p>" + "<a " * 300_000, "<p>x</p>" + "<a '" * 200_000 + ">"):
+        began = time.process_time()
+        html_text.blocks(page)
+        assert time.process_time() - began < 5
+
+
 def test_closing_tags_find_their_element_at_any_depth():
     for inside in ("<option>land" * 80, "<optgroup label=x><option>land" * 80, "<option>land<optgroup>" * 80):
         got = html_text.blocks(f"<body><p>before<select>{inside}</select><article><p>main text</article>")
