@@ -20,6 +20,8 @@ from larder.session import ensure_checkpoint_dir
 CHUNK_BYTES = 4 << 20
 #: Rows handled at once.
 CHUNK_ROWS = 50_000
+#: Bytes of a written row group, which a writing task holds in memory.
+ROW_GROUP = 16 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -90,22 +92,27 @@ def gathered(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int, max
 
 _TABLE = np.random.default_rng(20240501).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15 | 1
+#: Bytes hashed at once: the working arrays of a hash do not grow with the text.
+_BLOCK = 1 << 18
 _powers: dict[str, np.ndarray] = {}
 
 
 def powers(n: int, base: int = _BASE) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64."""
+    """base**0 .. base**(n-1) modulo 2**64; tables of up to ``_BLOCK`` values are kept."""
     key = str(base)
     have = _powers.get(key)
-    if have is None or len(have) < n:
-        size = 1 << max(12, int(n - 1).bit_length())
-        out = np.ones(size, np.uint64)
-        done = 1
-        while done < size:
-            out[done : 2 * done] = out[:done] * np.uint64(pow(base, done, 1 << 64))
-            done *= 2
-        _powers[key] = have = out
-    return have[:n]
+    if have is not None and len(have) >= n:
+        return have[:n]
+    size = max(n, _BLOCK)
+    out = np.ones(size, np.uint64)
+    done = 1
+    while done < size:
+        more = min(done, size - done)
+        out[done : done + more] = out[:more] * np.uint64(pow(base, done, 1 << 64))
+        done += more
+    if size == _BLOCK:
+        _powers[key] = out
+    return out[:n]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -118,42 +125,35 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
-    """64-bit hash of every span's bytes, wherever the span stands."""
-    n = len(data)
-    table = _TABLE[_LOWER] if lower else _TABLE
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(table[data] * powers(n), out=sums[1:])
-    inverse = powers(n + 1, pow(_BASE, -1, 1 << 64))
-    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
-
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False, block: int = _BLOCK) -> np.ndarray:
+    """64-bit hash of every span's bytes, wherever the span stands.
 
-def block_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 19) -> np.ndarray:
-    """The values of ``span_hashes``, block by block: memory does not grow with the text, only with the spans.
-
-    A running total and the power at the block's start carry the sums over;
+    The text is read block by block; a running total and the power at the
+    block's start carry the sums over. Memory grows with the spans only.
     ``starts`` and ``ends`` must each be in ascending order.
     """
     low, high, shift = (np.zeros(len(starts), np.uint64) for _ in range(3))
+    table = _TABLE[_LOWER] if lower else _TABLE
     ahead, back = powers(block), powers(block, pow(_BASE, -1, 1 << 64))
     total, up, down = 0, 1, 1
     sums = np.zeros(block + 1, np.uint64)
     for begin in range(0, len(data), block):
         part = data[begin : begin + block]
         size = len(part)
-        np.cumsum(_TABLE[part] * ahead[:size], out=sums[1 : size + 1])
+        np.cumsum(table[part] * ahead[:size], out=sums[1 : size + 1])
         last = begin + size == len(data)
         for at, out in ((starts, low), (ends, high)):
             i, j = np.searchsorted(at, [begin, begin + size + last])
-            out[i:j] = np.uint64(total) + np.uint64(up) * sums[at[i:j] - begin]
+            near = at[i:j] - begin
+            out[i:j] = np.uint64(total) + np.uint64(up) * sums[near]
             if out is low:
-                near = at[i:j] - begin
                 shift[i:j] = np.uint64(down) * back[np.minimum(near, size - 1)]
         total = (total + up * int(sums[size])) % (1 << 64)
         up = up * pow(_BASE, block, 1 << 64) % (1 << 64)
         down = down * pow(_BASE, -block, 1 << 64) % (1 << 64)
     return mix((high - low) * shift + (ends - starts).astype(np.uint64))
 
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of the texts: starts, ends, and the first word of each text (n+1)."""
     n = len(data)
@@ -196,7 +196,7 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the cluster's checkpoint folder and read it back (cuts lineage)."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

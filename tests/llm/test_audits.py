@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import duckdb
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from larder.llm import divergence, quality_rules, registry, spelling
-from larder.llm.common import block_hashes, flat, span_hashes
+from larder.llm.common import flat, span_hashes
 from tests.conftest import SF_CHECK, SF_SMALL
 from tests.llm import brute
 from tests.llm.brute import DOCS
@@ -131,13 +132,27 @@ def test_spelling_equals_sql(spark):
 # --- quality rules -----------------------------------------------------------
 
 
-def test_block_hashes_equal_whole_text_hashes():
+def test_hashes_do_not_depend_on_the_block():
     rng = np.random.default_rng(3)
     data = rng.integers(0, 256, 3000).astype(np.uint8)
     starts = np.sort(rng.integers(0, 3001, 500))
     ends = np.maximum.accumulate(np.minimum(starts + rng.integers(0, 700, 500), 3000))
+    whole = span_hashes(data, starts, ends)
     for block in (64, 1000, 4096):
-        assert (block_hashes(data, starts, ends, block) == span_hashes(data, starts, ends)).all()
+        assert (span_hashes(data, starts, ends, block=block) == whole).all()
+    again = np.concatenate([np.zeros(777, np.uint8), data])
+    assert (span_hashes(again, starts + 777, ends + 777, block=64) == whole).all()
+    low = np.frombuffer(b"Abc abc ABC", np.uint8)
+    assert len(set(span_hashes(low, np.array([0, 4, 8]), np.array([3, 7, 11]), lower=True).tolist())) == 1
+
+
+def test_hashing_a_very_long_text_needs_little_memory():
+    data = np.random.default_rng(4).integers(97, 123, 32 << 20).astype(np.uint8)
+    at = np.arange(0, len(data) - 1000, 1000)
+    tracemalloc.start()
+    span_hashes(data, at, at + 900)
+    assert tracemalloc.get_traced_memory()[1] < 24 << 20
+    tracemalloc.stop()
 
 
 def rule_texts():
@@ -190,7 +205,6 @@ def test_quality_with_null_and_repeated_ids_and_labels(spark):
 
 
 def test_counts_of_a_very_long_text_need_little_memory():
-    import tracemalloc
 
     text = pa.array(["some words of a very long text, again and\n" * 400_000])
     tracemalloc.start()
