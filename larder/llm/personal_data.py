@@ -8,7 +8,9 @@ always reported; a further kind is reported from ``LEAST_SCORE`` on, which for
 
 The base expressions are written with possessive repeats and anchored at the
 start of a run, which finds the same leftmost non-overlapping matches in linear
-time. A span's place comes from the lengths of the pieces between matches.
+time. A span's place comes from running sums over the lengths of the pieces
+between matches, and text at a place from the block that holds it, so the work
+grows with the text and n log n in its matches.
 
 Defined cases: null and empty texts have no spans; offsets are code points, end
 exclusive; rows are independent, so repeated rows and null ids pass through.
@@ -76,32 +78,52 @@ KINDS = (
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "[0-9]-[0-9]{2}-[0-9]",
          lambda m: F.lit(True), 0.3, r"\bssn\b|social security", False),
 )
+#: Code points in a block (as a power of two) of a text that is read at many places.
+_BITS = 10
 _PLACED = "array<struct<start:int,end:int,match:string>>"
+_SCORED = "array<struct<start:int,end:int,score:double>>"
+
+
+def _running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """``join`` of the first 1, 2, ... values, in steps of doubled width: n log n for n values."""
+    steps = F.filter(F.array(*[F.lit(1 << k) for k in range(31)]), lambda w: w < F.size(values))
+    return F.aggregate(steps, values, lambda a, w: F.transform(a, lambda x, i: F.when(i >= w, join(x, F.get(a, i - w))).otherwise(x)))
+
+
+def _blocks(text: Column) -> Column:
+    """The text in pieces of 2 ** ``_BITS`` code points."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{1 << _BITS}}}"), F.lit(0))
+
+
+def _part(blocks: Column, at: Column, length: Column) -> Column:
+    """``length`` code points from place ``at`` (from 0) on; reads only the blocks that hold them."""
+    first = F.shiftright(at, _BITS)
+    count = F.shiftright(at + length, _BITS) - first + 1
+    return F.substring(F.array_join(F.slice(blocks, first + 1, count), ""), at - F.shiftleft(first, _BITS) + 1, length)
 
 
 def _spans(text: Column, kind: Kind) -> Column:
     """Valid spans of one kind, in order: start, end, score."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_PLACED).alias("out"))
-
-    def step(a: Column, x: Column) -> Column:
-        s = a["at"] + F.length(x["gap"])
-        e = s + F.length(x["match"])
-        return F.struct(e.alias("at"), F.concat(a["out"], F.array(F.struct(s.alias("start"), e.alias("end"), x["match"].alias("match")))).alias("out"))
+    none = F.array().cast(_PLACED)
 
     def place(found: Column) -> Column:
         gaps = F.slice(F.split(text, kind.pattern, -1), F.lit(1), F.size(found))
-        pairs = F.arrays_zip(gaps.alias("gap"), found.alias("match"))
-        return F.when(F.size(found) > 0, F.aggregate(pairs, start, step, lambda a: a["out"])).otherwise(F.array().cast(_PLACED))
+        ends = _running(F.transform(F.arrays_zip(gaps.alias("gap"), found.alias("match")), lambda x: F.length(x["gap"]) + F.length(x["match"])), lambda x, y: x + y)
+        spans = lambda e: F.transform(
+            F.arrays_zip(e.alias("end"), found.alias("match")),
+            lambda x: F.struct((x["end"] - F.length(x["match"])).alias("start"), x["end"].alias("end"), x["match"].alias("match")))
+        return F.when(F.size(found) > 0, spans(ends)).otherwise(none)
 
-    near = lambda x: F.lower(F.substring(text, F.greatest(x["start"] - CONTEXT + 1, F.lit(1)), F.least(x["start"], F.lit(CONTEXT))))
     found = F.when(text.rlike(kind.gate), F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    scored = F.transform(
-        F.filter(_let(found, place), lambda x: kind.valid(x["match"])),
-        lambda x: F.struct(
+    valid = F.filter(_let(found, place), lambda x: kind.valid(x["match"]))
+
+    def score(spans: Column, blocks: Column) -> Column:
+        near = lambda x: F.lower(_part(blocks, F.greatest(x["start"] - CONTEXT, F.lit(0)), F.least(x["start"], F.lit(CONTEXT))))
+        return F.transform(spans, lambda x: F.struct(
             x["start"].alias("start"), x["end"].alias("end"),
-            F.least(F.lit(1.0), F.lit(kind.score) + F.when(near(x).rlike(kind.context), CONTEXT_GAIN).otherwise(0.0)).alias("score"),
-        ),
-    )
+            F.least(F.lit(1.0), F.lit(kind.score) + F.when(near(x).rlike(kind.context), CONTEXT_GAIN).otherwise(0.0)).alias("score")))
+
+    scored = _let(valid, lambda spans: F.when(F.size(spans) > 0, _let(_blocks(text), lambda blocks: score(spans, blocks))).otherwise(F.array().cast(_SCORED)))
     if not kind.base:
         scored = F.filter(scored, lambda x: x["score"] >= LEAST_SCORE)
     return scored
@@ -149,13 +171,20 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     every = F.concat(*[labelled(k) for k in KINDS])
     text = F.col(text_col)
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(a: Column, x: Column) -> Column:
-        e = F.greatest(-x["back"], a["at"])
-        gap = F.concat(F.substring(text, a["at"] + 1, x["start"] - a["at"]), x["label"])
-        return F.struct(e.alias("at"), F.when(x["start"] >= a["at"], F.concat(a["out"], gap)).otherwise(a["out"]).alias("out"))
+    def replaced(spans: Column, reached: Column, blocks: Column) -> Column:
+        """The text before and the label of each span that begins where all earlier ones have ended, then the rest."""
+        def piece(x: Column, i: Column) -> Column:
+            at = F.coalesce(F.get(reached, i - 1), F.lit(0))
+            return F.when(x["start"] >= at, F.concat(_part(blocks, at, x["start"] - at), x["label"])).otherwise("")
+
+        rest = _part(blocks, F.element_at(reached, -1), F.length(text))
+        return F.concat(F.array_join(F.transform(spans, piece), ""), rest)
+
+    def clean_of(spans: Column) -> Column:
+        reached = _running(F.transform(spans, lambda x: -x["back"]), F.greatest)
+        return _let(reached, lambda r: _let(_blocks(text), lambda b: replaced(spans, r, b)))
 
-    clean = F.aggregate(F.array_sort(every), start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
+    clean = _let(F.array_sort(every), clean_of)
     shown = F.when(F.size(every) > 0, clean).otherwise(text)
     return found.select(*[shown.alias(c) if c == text_col else F.col(c) for c in docs.columns])
