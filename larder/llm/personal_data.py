@@ -79,20 +79,24 @@ KINDS = (
          lambda m: F.lit(True), 0.3, r"\bssn\b|social security", False),
 )
 #: Code points in a block (as a power of two) of a text that is read at many places.
-_BITS = 10
+_BITS = 13
 _PLACED = "array<struct<start:int,end:int,match:string>>"
 _SCORED = "array<struct<start:int,end:int,score:double>>"
 
 
 def _running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
     """``join`` of the first 1, 2, ... values, in steps of doubled width: n log n for n values."""
-    steps = F.filter(F.array(*[F.lit(1 << k) for k in range(31)]), lambda w: w < F.size(values))
-    return F.aggregate(steps, values, lambda a, w: F.transform(a, lambda x, i: F.when(i >= w, join(x, F.get(a, i - w))).otherwise(x)))
+    def doubled(v: Column) -> Column:
+        steps = F.filter(F.array(*[F.lit(1 << k) for k in range(31)]), lambda w: w < F.size(v))
+        return F.aggregate(steps, v, lambda a, w: F.transform(a, lambda x, i: F.when(i >= w, join(x, F.get(a, i - w))).otherwise(x)))
+
+    return _let(values, lambda v: F.when(F.size(v) > 1, doubled(v)).otherwise(v))
 
 
 def _blocks(text: Column) -> Column:
     """The text in pieces of 2 ** ``_BITS`` code points."""
-    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{1 << _BITS}}}"), F.lit(0))
+    cut = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{1 << _BITS}}}"), F.lit(0))
+    return F.when(F.length(text) > 1 << _BITS, cut).otherwise(F.array(text))
 
 
 def _part(blocks: Column, at: Column, length: Column) -> Column:
