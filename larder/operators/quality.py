@@ -6,11 +6,11 @@ violations)``. Run them on tables cleaned with ``strict=False`` so unparseable
 values show up as nulls instead of failing the job.
 
 Cost model: per-row checks (not null, domain, length, range, participant text)
-are ``count_if`` terms in a single pass per table. Key checks group by the key
-(partially aggregated, so a hot key collapses before the shuffle). Reference
-checks aggregate the child keys first and anti-join the distinct child keys
-against the distinct parent keys, so neither side is shuffled row by row and a
-hot key costs one row.
+are ``count_if`` terms in a single pass per table. Primary keys group by the key
+(partially aggregated, so a hot key collapses before the shuffle). Unique keys and
+references that share a key column (Order_Id, Company_Id) are settled together:
+one aggregate counts the rows of every table per value, so each such column
+crosses one exchange, without a join, and a hot value costs one row a task.
 """
 
 from __future__ import annotations
@@ -106,6 +106,63 @@ def check_not_null(tables: dict[str, DataFrame]) -> DataFrame:
     ])
 
 
+#: Keys that settle constraints of several tables: the tables that hold each, parent first.
+_SHARED_KEYS = {
+    "Order_Id": ["orders", "invoice", "customer_order"],
+    "Company_Id": ["orders", "invoice", "salesteam"],
+}
+
+
+def _key_counts(tables: dict[str, DataFrame], key: str, names: list[str]) -> DataFrame:
+    """Rows of each table per value of ``key``: (_k, n_<table>...), one exchange for all tables.
+
+    The tables are put below each other and counted by value, with a partial
+    count before the exchange, so a hot value is one row a task.
+    """
+    tagged = _union([tables[t].select(F.col(key).alias("_k"), F.lit(i).alias("_t")) for i, t in enumerate(names)])
+    return tagged.groupBy("_k").agg(*[F.count_if(F.col("_t") == i).alias(f"n_{t}") for i, t in enumerate(names)])
+
+
+def _orphans(count: str, parent: str) -> Column:
+    return F.col("_k").isNotNull() & (F.col(f"n_{count}") > 0) & (F.col(f"n_{parent}") == 0)
+
+
+def _shared_key_rules(key: str) -> list[tuple[str, str, str, str, Column]]:
+    """(check, table, column, table whose rows count, condition) of the rules that ``_key_counts`` of a key settles."""
+    unique = [("unique", t, key, t, F.col(f"n_{t}") > 1) for t, cols in UNIQUE_KEYS.items() if cols == [key]]
+    references = [
+        ("foreign_key", child, f"{ck} -> {parent}.{pk}", child, _orphans(child, parent))
+        for child, ck, parent, pk in FOREIGN_KEYS if ck == pk == key
+    ]
+    return unique + references
+
+
+def _settled_by(key: str, checks: list[str]) -> list[tuple[str, str, str, str, Column]]:
+    return [r for r in _shared_key_rules(key) if r[0] in checks]
+
+
+def _shared_key_summary(tables: dict[str, DataFrame], checks: list[str]) -> DataFrame:
+    """Violations of the rules of the given checks, from one count per shared key."""
+    parts = []
+    for key, names in _SHARED_KEYS.items():
+        rules = _settled_by(key, checks)
+        if not rules:
+            continue
+        used = [t for t in names if t in {r[3] for r in rules} or (t == names[0] and "foreign_key" in checks)]
+        counts = _key_counts(tables, key, used)
+        sums = counts.agg(*[
+            F.coalesce(F.sum(F.when(cond, F.col(f"n_{t}"))), F.lit(0)).cast("long").alias(f"_r{i}")
+            for i, (_, _, _, t, cond) in enumerate(rules)
+        ])
+        rows = F.array(*[
+            F.struct(F.lit(chk).alias("check_name"), F.lit(table).alias("table_name"),
+                     F.lit(col).alias("column_name"), F.col(f"_r{i}").alias("violations"))
+            for i, (chk, table, col, _, _) in enumerate(rules)
+        ])
+        parts.append(sums.select(F.inline(rows)))
+    return _union(parts)
+
+
 def _repeated_key_rows(df: DataFrame, keys: list[str], check_name: str, table_name: str) -> DataFrame:
     """Rows whose key value occurs more than once."""
     counts = df.groupBy(*keys).count().filter(F.col("count") > 1)
@@ -117,48 +174,22 @@ def _repeated_key_rows(df: DataFrame, keys: list[str], check_name: str, table_na
     )
 
 
+def orphan_rows(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
+    """(_k, count) of non-null child keys missing from the parent; without an exchange where both are bucketed by the key."""
+    child_keys = child.filter(F.col(child_key).isNotNull()).groupBy(F.col(child_key).alias("_k")).count()
+    return child_keys.join(parent.select(F.col(parent_key).alias("_k")).distinct(), "_k", "left_anti")
+
+
 def check_pk(tables: dict[str, DataFrame]) -> DataFrame:
     return _union([_repeated_key_rows(tables[t], k, "primary_key", t) for t, k in PRIMARY_KEYS.items()])
 
 
 def check_unique_order(tables: dict[str, DataFrame]) -> DataFrame:
-    return _union([_repeated_key_rows(tables[t], k, "unique", t) for t, k in UNIQUE_KEYS.items()])
-
-
-def _parent_keys(parent: DataFrame, parent_key: str) -> DataFrame:
-    return parent.select(F.col(parent_key).alias("_k")).distinct()
-
-
-def orphan_rows(
-    child: DataFrame, child_key: str, parent: DataFrame, parent_key: str, parent_keys: DataFrame | None = None
-) -> DataFrame:
-    """(key, count) of non-null child keys missing from the parent."""
-    child_keys = child.filter(F.col(child_key).isNotNull()).groupBy(F.col(child_key).alias("_k")).count()
-    keys = parent_keys if parent_keys is not None else _parent_keys(parent, parent_key)
-    return child_keys.join(keys, "_k", "left_anti")
-
-
-def _fk_orphans(tables: dict[str, DataFrame]):
-    """Orphans per declared reference; one distinct-key frame per (parent, key),
-    shared by every reference to it so its exchange is computed once."""
-    shared: dict[tuple[str, str], DataFrame] = {}
-    for child, ck, parent, pk in FOREIGN_KEYS:
-        keys = shared.setdefault((parent, pk), _parent_keys(tables[parent], pk))
-        yield child, ck, parent, pk, orphan_rows(tables[child], ck, tables[parent], pk, keys)
+    return _shared_key_summary(tables, ["unique"])
 
 
 def check_fk(tables: dict[str, DataFrame]) -> DataFrame:
-    parts = []
-    for child, ck, parent, pk, orphans in _fk_orphans(tables):
-        parts.append(
-            orphans.agg(F.coalesce(F.sum("count"), F.lit(0)).cast("long").alias("violations")).select(
-                F.lit("foreign_key").alias("check_name"),
-                F.lit(child).alias("table_name"),
-                F.lit(f"{ck} -> {parent}.{pk}").alias("column_name"),
-                "violations",
-            )
-        )
-    return _union(parts)
+    return _shared_key_summary(tables, ["foreign_key"])
 
 
 def _outside(c: str, allowed: list[str]) -> Column:
@@ -304,20 +335,21 @@ def violation_rows(tables: dict[str, DataFrame], raw: dict[str, DataFrame]) -> D
         if t == "invoices":
             rules.append(("range", "Number_of_Participants", _too_many_participants(), _listed_count()))
         parts.append(_failed_rules(raw[t], t, rules))
-    for check, keysets in (("primary_key", PRIMARY_KEYS), ("unique", UNIQUE_KEYS)):
-        for t, keys in keysets.items():
-            dup = tables[t].groupBy(*keys).count().filter(F.col("count") > 1)
-            parts.append(dup.select(
-                F.lit(check).alias("check_name"), F.lit(t).alias("table_name"),
-                F.lit(",".join(keys)).alias("column_name"),
-                F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("row_key"),
-                F.col("count").cast("string").alias("detail"),
-            ))
-    for child, ck, parent, pk, orphans in _fk_orphans(tables):
-        parts.append(orphans.select(
-            F.lit("foreign_key").alias("check_name"), F.lit(child).alias("table_name"),
-            F.lit(f"{ck} -> {parent}.{pk}").alias("column_name"),
-            F.col("_k").cast("string").alias("row_key"),
+    for t, keys in PRIMARY_KEYS.items():
+        dup = tables[t].groupBy(*keys).count().filter(F.col("count") > 1)
+        parts.append(dup.select(
+            F.lit("primary_key").alias("check_name"), F.lit(t).alias("table_name"),
+            F.lit(",".join(keys)).alias("column_name"),
+            F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("row_key"),
             F.col("count").cast("string").alias("detail"),
         ))
+    for key, names in _SHARED_KEYS.items():
+        rules = _shared_key_rules(key)
+        broken = F.filter(F.array(*[
+            F.when(cond, F.struct(F.lit(chk).alias("check_name"), F.lit(table).alias("table_name"),
+                                  F.lit(col).alias("column_name"), F.col(f"n_{t}").cast("string").alias("detail")))
+            for chk, table, col, t, cond in rules
+        ]), lambda x: x.isNotNull())
+        found = _key_counts(tables, key, names).select(F.coalesce(F.col("_k").cast("string"), F.lit("")).alias("row_key"), F.inline(broken))
+        parts.append(found.select(*VIOLATION_COLUMNS))
     return _union(parts)

@@ -65,3 +65,12 @@ def test_no_row_caps_outside_report_limits(spark, key):
     capped = any(op in plan for op in ("GlobalLimit", "CollectLimit", "TakeOrderedAndProject", "LocalLimit"))
     assert capped == (key in LIMIT_IS_THE_FEATURE), key
     assert ("LIMIT" in E.oracle_sql()[key].upper().split("WITH", 1)[-1]) == (key in LIMIT_IS_THE_FEATURE), key
+
+
+def test_references_and_unique_keys_take_one_exchange_a_key_column(spark):
+    # Order_Id and Company_Id, then one sum of the violations each; no joins
+    plan = _plan(E.queries()["check_fk"](spark, SF_SMALL))
+    assert plan.count("Exchange hashpartitioning(_k") == 2
+    assert "Join" not in plan.split("Union")[0]
+    whole = _plan(E.queries()["integrity_violations"](spark, SF_SMALL))
+    assert whole.count("Exchange hashpartitioning(_k") == 2 and "LeftAnti" not in whole
