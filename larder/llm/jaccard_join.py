@@ -23,8 +23,11 @@ How sets meet on a cluster, exactly:
 4. Each set goes with its content to the pivot that most of its kept shingles
    name (the least set that holds the shingle). A pivot's sets are searched with
    a tree in blocks of at most about ``BLOCK``, the pivot in each of them.
-5. Shingles whose holders are still in several components are searched again,
-   points only, for pairs across components; those pairs are verified.
+5. Of the kept shingles whose holders are still in several components, every set
+   goes, once, to each pivot that they name. There the tree finds the sets of other
+   components, they are verified at once, and only links that join two components
+   are told. A pivot's sets are dealt to blocks of about ``BLOCK``; blocks meet in
+   twos, but those of its largest component only meet the others.
 
 So groups of near copies are joined through their pivots and never expanded into
 all pairs, while no pair is left out unless the bound excludes it or its sets
@@ -268,51 +271,77 @@ class CountTree:
         other = self.sizes[found]
         return found[np.minimum(self.points[found], point).sum(axis=1) >= least_overlap(size, other)]
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """All (a, b), a <> b, that a search from each set finds; a tree of one leaf is compared at once."""
-        n = len(self.sizes)
-        if n <= FANOUT:
-            bound = np.minimum(self.points[:, None], self.points[None]).sum(axis=2)
-            a, b = np.nonzero(bound >= least_overlap(self.sizes[:, None], self.sizes[None]))
-        else:
-            near = [self.search(self.points[i], int(self.sizes[i])) for i in range(n)]
-            a, b = np.repeat(np.arange(n), [len(x) for x in near]), np.concatenate(near)
-        return a[a != b], b[a != b]
-
 
 def counts_of(token: np.ndarray) -> np.ndarray:
     return np.bincount((token & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
 
 
-def linked(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two ascending sets have a similarity of 0.8 or more."""
-    if len(a) > len(b):
-        a, b = b, a
-    if not len(a):
-        return False
-    shared = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
-    return 100 * shared >= 80 * (len(a) + len(b) - shared)
+class Sets:
+    """The sets of one block, each an ascending array, with a shingle's number in the block in place of its hash."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(s) for s in sets], np.int64)
+        self.first = np.concatenate([[0], np.cumsum(self.sizes)])
+        tokens, self.codes = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_inverse=True)
+        self.marked = np.zeros(len(tokens), bool)
+
+    def linked(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Of the other sets, none empty, those with a similarity of 0.8 or more to set i."""
+        own = self.codes[self.first[i] : self.first[i + 1]]
+        self.marked[own] = True
+        out = []
+        # some 2^20 shingles are looked up at a time
+        ends = np.cumsum(self.sizes[others])
+        for part in np.split(others, np.searchsorted(ends, np.arange(1 << 20, int(ends[-1]) if len(ends) else 0, 1 << 20))):
+            if not len(part):
+                continue
+            size = self.sizes[part]
+            at = np.concatenate([[0], np.cumsum(size)])
+            places = np.repeat(self.first[part] - at[:-1], size) + np.arange(at[-1])
+            shared = np.add.reduceat(self.marked[self.codes[places]].astype(np.int64), at[:-1])
+            out.append(part[100 * shared >= 80 * (len(own) + size - shared)])
+        self.marked[own] = False
+        return np.concatenate(out) if out else others[:0]
+
+
+def joining_links(ids: np.ndarray, component: np.ndarray, sets: list[np.ndarray], side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Links of a block (with ``side``: between its two sides) that join two components, given those known before: fewer than sets."""
+    held = Sets(sets)
+    points = np.array([counts_of(s) for s in sets]).reshape(len(sets), GROUPS)
+    tree = CountTree(points, held.sizes)
+    label = np.unique(component, return_inverse=True)[1]
+    most = np.bincount(label).argmax()
+    a, b = [], []
+    # searches from all but one component find every link between components
+    for i in np.flatnonzero(label != most).tolist():
+        if not held.sizes[i]:
+            continue
+        near = tree.search(points[i], int(held.sizes[i]))
+        near = near[(label[near] != label[i]) & (held.sizes[near] > 0)]
+        if side is not None:
+            near = near[side[near] != side[i]]
+        for j in held.linked(i, near).tolist():
+            if label[j] != label[i]:
+                a.append(ids[i])
+                b.append(ids[j])
+                label[label == label[j]] = label[i]
+    return np.array(a, np.int64), np.array(b, np.int64)
 
 
 def join_block(ids: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
     """For every set of a block the least id it reaches by links inside the block."""
-    sizes = np.array([len(s) for s in sets])
-    points = np.array([counts_of(s) for s in sets]).reshape(len(sets), GROUPS)
-    label = np.arange(len(sets))
-    tree = CountTree(points, sizes)
-    for i in np.argsort(ids, kind="stable").tolist():
-        while True:
-            near = tree.search(points[i], int(sizes[i]))
-            near = near[label[near] != label[i]]
-            before = label[i]
-            for j in near.tolist():
-                if label[j] != label[i] and linked(sets[i], sets[j]):
-                    label[label == label[j]] = label[i]
-            if label[i] == before:
-                break
-    least = np.full(len(sets), np.iinfo(np.int64).max)
-    np.minimum.at(least, label, ids)
-    return least[label]
+    a, b = joining_links(ids, ids, sets)
+    least = {}
+
+    def root(x: int) -> int:
+        while least.get(x, x) != x:
+            x = least[x]
+        return x
+
+    for x, y in zip(a.tolist(), b.tolist()):
+        x, y = sorted((root(x), root(y)))
+        least[y] = x
+    return np.array([root(x) for x in ids.tolist()], np.int64)
 
 
 def _blocks_of(sizes: DataFrame, key: str) -> DataFrame:
@@ -389,60 +418,31 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     links = keep(dealt.select("pivot", "block", "rep", "tokens").mapInArrow(search, "a long, b long"), "links")
     joined = keep(components(links), "joined")
 
-    # 5. shingles whose holders are still apart
+    # 5. sets that share a kept shingle but are still apart meet at that shingle's pivot
     apart = postings.join(joined.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    apart = keep(apart.select("token", "rep", "n", "component", "count"), "apart")
+    apart = keep(apart.select("token", "pivot", "rep", "component"), "apart")
     open_tokens = keep(apart.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("token"), "open")
-    apart = apart.join(open_tokens, "token").withColumn("blocks", F.ceil(F.col("count") / BLOCK).cast("int"))
-    apart = keep(apart.withColumn("own", F.pmod(F.xxhash64("rep"), "blocks").cast("int")).drop("count"), "across")
-
-    def pointed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            points = [counts_of(np.frombuffer(x, np.uint64)).astype("<u2" if len(x) < 8 * 65536 else "<u4") for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([p.tobytes() for p in points], pa.binary())], names=["rep", "point"])
-
-    points = sets.join(apart.select("rep").distinct(), "rep", "left_semi").mapInArrow(pointed, "rep long, point binary")
-    pairs_of_blocks = apart.join(points, "rep").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    pairs_of_blocks = pairs_of_blocks.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
+    apart = keep(apart.join(open_tokens, "token").groupBy("pivot", "rep").agg(F.min("component").alias("component")), "meeting")
+    held = apart.groupBy("pivot", "component").count()
+    main = held.groupBy("pivot").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.max("count").alias("same"), F.sum("count").alias("all"))
+    main = main.select("pivot", "main", F.ceil((F.col("all") - F.col("same")) / BLOCK).cast("int").alias("others"), F.ceil(F.col("same") / BLOCK).cast("int").alias("blocks"))
+    # sets of the largest component need not meet each other: their blocks meet those of the others only
+    inside = F.col("component") == F.col("main")
+    place = F.xxhash64("rep")
+    dealt = apart.join(keep(main, "main"), "pivot").withColumn("own", F.when(inside, F.col("others") + F.pmod(place, "blocks")).otherwise(F.pmod(place, "others")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(inside, F.col("others")).otherwise(F.col("others") + F.col("blocks")) - 1)))
+    dealt = dealt.select("pivot", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "rep", "component", "own")
 
     def across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        count = 0
-
-        def told() -> pa.RecordBatch:
-            """The pairs found since the last time, once each."""
-            rows = np.unique(np.concatenate(held), axis=0)
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(rows[:, 0].copy()), pa.array(rows[:, 1].copy())], names=["a", "b"])
-
-        for rows in runs(batches, ["token", "low", "high"]):
-            ids, sizes, comp = (rows[c].to_numpy() for c in ("rep", "n", "component"))
-            own, low, high = (rows[c].to_numpy() for c in ("own", "low", "high"))
-            points = np.array([np.frombuffer(x, "<u2" if len(x) == 2 * GROUPS else "<u4") for x in rows["point"].to_pylist()]).astype(np.int32)
-            a, b = CountTree(points, sizes.astype(np.int64)).pairs()
-            good = (comp[a] != comp[b]) & (ids[a] < ids[b])
-            if low[0] != high[0]:
-                good &= own[a] != own[b]
-            if good.any():
-                held.append(np.stack([ids[a[good]], ids[b[good]]], axis=1))
-                count += int(good.sum())
-                if count >= 1 << 20:
-                    yield told()
-                    count = 0
-        if held:
-            yield told()
-
-    candidates = pairs_of_blocks.select("token", "low", "high", "own", "rep", "n", "component", "point").repartition(width, "token", "low", "high").sortWithinPartitions("token", "low", "high")
-    candidates = keep(candidates.mapInArrow(across, "a long, b long").distinct(), "candidates")
-
-    def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            both = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
-            good = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in both]
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    pairs = candidates.join(sets.select(F.col("rep").alias("a"), F.col("tokens").alias("x")), "a").join(sets.select(F.col("rep").alias("b"), F.col("tokens").alias("y")), "b")
-    late = keep(pairs.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"), "late")
+        for block in runs(batches, ["pivot", "low", "high"]):
+            ids, component, own, low, high = (block[c].to_numpy() for c in ("rep", "component", "own", "low", "high"))
+            side = own == low if low[0] != high[0] else None
+            a, b = joining_links(ids, component, [np.frombuffer(x, np.uint64) for x in block["tokens"].to_pylist()], side)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    dealt = sets.join(keep(dealt, "across"), "rep").repartition(width, "pivot", "low", "high").sortWithinPartitions("pivot", "low", "high")
+    late = keep(dealt.select("pivot", "low", "high", "rep", "component", "own", "tokens").mapInArrow(across, "a long, b long"), "late")
     if late.isEmpty():
         found_components = joined
     else:

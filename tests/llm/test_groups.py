@@ -70,12 +70,36 @@ def test_tree_finds_all_that_the_bound_allows():
     points[100:200] = np.maximum(0, points[0] + rng.integers(-1, 2, (100, jaccard_join.GROUPS)) * (rng.random((100, jaccard_join.GROUPS)) < 0.1))
     sizes = points.sum(axis=1)
     tree = jaccard_join.CountTree(points, sizes)
-    a, b = tree.pairs()
-    found = set(zip(a.tolist(), b.tolist()))
     for i in range(300):
         bound = np.minimum(points, points[i]).sum(axis=1)
         need = jaccard_join.least_overlap(sizes[i], sizes)
-        assert {(i, j) for j in np.flatnonzero(bound >= need).tolist() if j != i} == {p for p in found if p[0] == i}
+        assert np.flatnonzero(bound >= need).tolist() == sorted(tree.search(points[i], int(sizes[i])).tolist())
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_block_tells_only_links_that_join_components(seed):
+    rng = np.random.default_rng(seed)
+    bases = [rng.integers(0, 2**63, 60, dtype=np.uint64) for _ in range(6)]
+    sets = [np.unique(np.concatenate([b[rng.random(60) < 0.93], rng.integers(0, 2**63, 3, dtype=np.uint64)])) for b in bases for _ in range(25)]
+    sets.append(np.zeros(0, np.uint64))
+    n = len(sets)
+    known = np.where(rng.random(n) < 0.5, np.arange(n), np.repeat(np.arange(n)[::25], 25)[:n])
+    side = rng.random(n) < 0.5
+    for sides in (None, side):
+        want = {i: {i} for i in set(known.tolist())}  # components merged by all links of the block
+        for i in range(n):
+            for j in range(i):
+                shared = len(np.intersect1d(sets[i], sets[j]))
+                if shared and 100 * shared >= 80 * (len(sets[i]) + len(sets[j]) - shared) and (sides is None or sides[i] != sides[j]):
+                    both = want[known[i]] | want[known[j]]
+                    want.update({k: both for k in both})
+        a, b = jaccard_join.joining_links(np.arange(n), known, sets, sides)
+        got = {i: {i} for i in set(known.tolist())}
+        for i, j in zip(a.tolist(), b.tolist()):
+            assert known[j] not in got[known[i]]  # each link joins two components that were apart
+            both = got[known[i]] | got[known[j]]
+            got.update({k: both for k in both})
+        assert got == want
 
 
 def test_components(spark):
