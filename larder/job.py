@@ -82,9 +82,10 @@ def run(
         log.info("%s", [r.asDict() for r in rows])
     if violations and not publish_anyway:
         raise RuntimeError(f"{violations} constraint violations; not publishing")
+    # ids and names come from columns that are text either way, so the numbering just checked is loaded
     audit = publish.refresh_from_raw(
         spark, raw, database=database, buckets=buckets, as_of=as_of, lead_date_format=lead_date_format,
-        rejected=rejected,
+        rejected=rejected, customer_order=lenient.customer_order,
     )
     _log_rows("loaded", audit)
     published = publish.published(spark, database)

@@ -228,16 +228,21 @@ def refresh_from_raw(
     as_of=None,
     lead_date_format: str | None = None,
     rejected: DataFrame | None = None,
+    customer_order: DataFrame | None = None,
 ) -> DataFrame:
     """The whole job: clean the raw frames, number the customers, refresh the tables.
 
     The raw frames are expected to be stored (``stage_sources``): the cleaned
     invoice is one narrow select over them, read once for its own write and,
-    column-pruned, for the customer table.
+    column-pruned, for the customer table. ``customer_order`` is that table where
+    the caller has numbered the names of these frames already.
     """
     from larder.sources.tables import Tables
 
-    tables = Tables(raw, strict=strict, as_of=as_of, lead_date_format=lead_date_format).as_dict()
+    cleaned = Tables(raw, strict=strict, as_of=as_of, lead_date_format=lead_date_format)
+    tables = cleaned.as_dict(with_customer_order=customer_order is None)
+    if customer_order is not None:
+        tables["customer_order"] = customer_order
     return refresh(spark, tables, database=database, root=root, buckets=buckets, strict=strict, rejected=rejected)
 
 

@@ -89,6 +89,21 @@ def _job(spark, d, tag, invoices=INVOICES_CSV, leads=LEADS_CSV, team=TEAM_CSV, *
     )
 
 
+def test_job_numbers_the_participants_once(spark, scratch_dir, monkeypatch):
+    from larder.operators import participants
+
+    calls = []
+    rank = participants.first_appearance_ids
+    monkeypatch.setattr(participants, "first_appearance_ids", lambda *a, **kw: calls.append(1) or rank(*a, **kw))
+    _job(spark, scratch_dir, "once")
+    assert len(calls) == 1
+    rows = spark.sql("SELECT Order_Id, Participant_Name, Customer_Id FROM job_once.customer_order").collect()
+    assert sorted((o, name or "", key) for o, name, key in rows) == sorted([
+        ("O1", "David Bishop", "1"), ("O2", "David Bishop", "1"), ("O2", "Ann Lee", "2"),
+        ("O3", "", "0"), ("O4", 'Hara" ', "3"),
+    ])
+
+
 BAD = {
     "fk": dict(leads=LEADS_CSV.replace("O3,C2", "O8,C2")),  # invoice O3 has no order
     "fk_company": dict(team=TEAM_CSV + "Zed,R9,Nowhere,C9\n"),
