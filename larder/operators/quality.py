@@ -282,7 +282,8 @@ def _row_key(table: str) -> Column:
 
 def _failed_rules(df: DataFrame, table: str, rules: list[tuple[str, str, Column, Column]]) -> DataFrame:
     """One narrow pass: each row carries the (check, column, detail) of every rule
-    it breaks; rows breaking none are dropped before anything is shuffled."""
+    it breaks; rows breaking none are dropped before these are built, since building
+    them evaluates every condition without generated code, and more than once."""
     failed = F.filter(
         F.array(*[
             F.when(cond, F.struct(F.lit(chk).alias("c"), F.lit(col).alias("k"), detail.cast("string").alias("d")))
@@ -290,8 +291,10 @@ def _failed_rules(df: DataFrame, table: str, rules: list[tuple[str, str, Column,
         ]),
         lambda x: x.isNotNull(),
     )
+    broken = reduce(Column.__or__, [cond for _, _, cond, _ in rules])
     return (
-        df.select(_row_key(table).alias("row_key"), failed.alias("_f"))
+        df.filter(broken)
+        .select(_row_key(table).alias("row_key"), failed.alias("_f"))
         .filter(F.size("_f") > 0)
         .select("row_key", F.explode("_f").alias("_v"))
         .select(

@@ -269,6 +269,15 @@ def stage_sources(spark: SparkSession, raw, root: str | None = None):
     return RawSources(**frames, path=base)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet to the checkpoint directory and read back, column-pruned by every later pass."""
+    from larder.session import ensure_checkpoint_dir
+
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def remove_staged(spark: SparkSession, raw) -> None:
     """Delete a staged copy of the sources; frames over it cannot be read afterwards."""
     if raw.path:

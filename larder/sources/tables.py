@@ -47,6 +47,17 @@ class Tables:
         """``customer_order`` without ids: same rows, no ranking."""
         return explode_participants(self.invoice, keep_order=False).select("Order_Id", "Participant_Name")
 
+    def staged(self) -> Tables:
+        """The same tables, each built once and stored with the sources, for work that passes over them often."""
+        # imported here, since publish needs the operators that these tables are built with
+        from larder.sources.publish import stage_sources, stored
+
+        spark = self.raw.invoices.sparkSession
+        out = Tables(stage_sources(spark, self.raw), strict=self.strict, as_of=self.as_of, lead_date_format=self.lead_date_format)
+        out.invoice, out.leads = stored(out.invoice, "invoice"), stored(out.leads, "orders")
+        out.customer_order = stored(out.customer_order, "customer-order")
+        return out
+
     def as_dict(self, with_customer_order: bool = True, ids: bool = True) -> dict[str, DataFrame]:
         """Cleaned tables under their target table names."""
         out = {"orders": self.leads, "invoice": self.invoice, "salesteam": self.salesteam}

@@ -74,3 +74,8 @@ def test_references_and_unique_keys_take_one_exchange_a_key_column(spark):
     assert "Join" not in plan.split("Union")[0]
     whole = _plan(E.queries()["integrity_violations"](spark, SF_SMALL))
     assert whole.count("Exchange hashpartitioning(_k") == 2 and "LeftAnti" not in whole
+
+
+def test_integrity_violations_build_the_sources_once(spark):
+    plan = _plan(E.queries()["integrity_violations"](spark, SF_SMALL))
+    assert "l_partkey" not in plan and "o_custkey" not in plan  # the rules read a stored copy
