@@ -1,4 +1,5 @@
 import random
+import re
 import tracemalloc
 import zlib
 
@@ -213,3 +214,28 @@ def test_counts_of_a_very_long_text_need_little_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert c[0, 0] == 9 * 400_000 and peak < 25 * len(data)
+
+
+def test_fitting_reads_every_labelled_document(spark):
+    rng = np.random.default_rng(3)
+    vocabulary = [f"{a}{b}" for a in ("ri", "mill", "sto", "qui", "lam", "har", "fie", "let") for b in ("ver", "er", "ne", "et", "p", "bour", "ld", "ter")]
+    rows = [(i, "".join(" ".join(rng.choice(vocabulary, 12)) + ".\n" for _ in range(4)), None, None) for i in range(600)]
+    rows += [(600 + i, " ".join(rng.choice(["#|#", "<%>", "ABC", "9 9"], 40)), None, None) for i in range(200)]
+    labels = spark.createDataFrame([(i, int(i < 600), 0) for i in range(800)], "doc_id long, quality int, toxic int")
+    seen = []
+    counted = quality_rules._node_counts
+
+    def noted(good):
+        count = counted(good)
+        return lambda forest: seen.append((good.count(), int((found := count(forest)).sum()))) or found
+
+    quality_rules._node_counts = noted
+    try:
+        model = quality_rules.fit(docs(spark, rows), labels)
+    finally:
+        quality_rules._node_counts = counted
+    half = spark.range(600).filter("(shiftright(xxhash64(id, 'quality'), 7) & 1) = 1").count()
+    # every tree holds all good documents of its half after each round
+    assert seen and all(n == half and total == half * quality_rules.TREES for n, total in seen)
+    kept = {r.doc_id for r in quality_rules.judge(docs(spark, rows), model).filter("kept").collect()}
+    assert len([i for i in kept if i < 600]) >= 590 and not [i for i in kept if i >= 600]
