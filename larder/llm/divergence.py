@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from larder.llm.common import keep
+from larder.llm.common import flat, gathered, keep
 from larder.session import ensure_checkpoint_dir
 
 MIN_DF = 30
@@ -47,18 +47,32 @@ PRIOR = 5
 BLOCK = 64
 #: Numbered languages up to which their table is broadcast; more are joined by a shuffle.
 BROADCAST_LANGS = 10_000
+#: Vector entries that a task sums at once.
+_ENTRIES = 1 << 20
 #: Greatest vocabulary that the vectorizer accepts.
 MAX_VOCABULARY = 2**31 - 1
-_BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
-
-def terms(text: Column) -> Column:
-    """Runs of letters and characters beyond ASCII, with A-Z lower-cased."""
-    ascii_only = F.octet_length(text) == F.length(text)  # where the faster lower() does the same
-    low = F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER))
-    # split is linear in the text; extracting all matches copies it for each of them
-    return F.array_remove(F.split(low, _BETWEEN), "")
+#: What each byte of a term becomes; 0 for those between terms.
+_TERM = np.arange(256, dtype=np.uint8)
+_TERM[65:91] += 32
+_TERM[[*range(0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = 0
+#: Bytes of text whose terms are taken at once.
+_CHUNK = 2 << 20
+
+
+def terms(column: pa.Array) -> pa.Array:
+    """Runs of letters and characters beyond ASCII of every text, with A-Z lower-cased."""
+    data, offsets = flat(column)
+    data = _TERM[data]
+    inside = data != 0
+    new = inside.copy()
+    new[1:] &= ~inside[:-1]
+    new[offsets[:-1][offsets[:-1] < len(data)]] = True
+    new &= inside  # begins of terms, also of those at the start of a text
+    starts = np.flatnonzero(new)
+    left = np.cumsum(new[inside].astype(np.int8), dtype=np.int32)  # number of the term that a byte belongs to
+    ends = np.searchsorted(left, np.arange(len(starts) + 1), side="right").astype(np.int32)
+    words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(data[inside]))
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(starts, offsets).astype(np.int32)), words)
 
 
 def rate(count: Column, total: Column, kept: Column) -> Column:
@@ -78,7 +92,13 @@ def _stored(docs: DataFrame, min_df: int) -> tuple[str, list[tuple[int, str]], D
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/divergence-terms-{uuid.uuid4().hex}"
     numbers = list(enumerate(langs))
     named = spark.createDataFrame(numbers, "lang_no int, lang string")
-    tokens = read.join(F.broadcast(named) if len(numbers) <= BROADCAST_LANGS else named, "lang").select("lang_no", "source", terms(F.col("text")).alias("terms"))
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in gathered(batches, "text", _CHUNK):
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), terms(batch.column(2))], names=["lang_no", "source", "terms"])
+
+    texts = read.join(F.broadcast(named) if len(numbers) <= BROADCAST_LANGS else named, "lang").select("lang_no", "source", "text")
+    tokens = texts.mapInArrow(cut, "lang_no int, source string, terms array<string>")
     tokens.write.partitionBy("lang_no").option("compression", "zstd").parquet(path)
     return path, numbers, groups
 
@@ -91,11 +111,36 @@ def _vectorized(path: str, number: int, docs: DataFrame, min_df: int) -> tuple[l
     mark = spark.range(min_df).select(F.array(F.lit("")).alias("terms"))
     model = CountVectorizer(inputCol="terms", outputCol="counts", minDF=float(min_df), vocabSize=MAX_VOCABULARY).fit(own.select("terms").unionAll(mark))
     vector = F.unwrap_udt("counts")
-    entries = model.transform(own).select("source", F.explode(F.arrays_zip(vector["indices"].alias("at"), vector["values"].alias("n"))).alias("e"))
-    sums = entries.groupBy("source", F.col("e.at").alias("at")).agg(F.sum(F.col("e.n").cast("long")).alias("n"))
+    entries = model.transform(own).select("source", vector["indices"].alias("at"), vector["values"].alias("n"))
+    sums = entries.mapInArrow(_vector_sums, "source string, at int, n long").groupBy("source", "at").agg(F.sum("n").alias("n"))
     return model.vocabulary, sums
 
 
+def _vector_sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Occurrences by source and term of the vectors of a task, summed about ``_ENTRIES`` at a time."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        if size:
+            table = pa.Table.from_batches(held).combine_chunks()
+            source = table["source"].combine_chunks().dictionary_encode()
+            at = table["at"].combine_chunks()
+            places, values = at.flatten().to_numpy().astype(np.int64), table["n"].combine_chunks().flatten().to_numpy()
+            whose = np.repeat(source.indices.to_numpy().astype(np.int64), np.diff(at.offsets.to_numpy()))
+            key, place = np.unique(whose << 32 | places, return_inverse=True)
+            n = np.bincount(place, values).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([source.dictionary.take(pa.array(key >> 32)), pa.array((key & 0xFFFFFFFF).astype(np.int32)), pa.array(n)], names=["source", "at", "n"])
+
+    for batch in batches:
+        held.append(batch)
+        size += len(batch.column(1).flatten())
+        if size >= _ENTRIES:
+            yield from rows()
+            held, size = [], 0
+    yield from rows()
+
+
 def _summed(docs: DataFrame, min_df: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(groups with their totals, term sums by group, kept terms), as stored tables."""
     spark = docs.sparkSession

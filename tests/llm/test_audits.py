@@ -239,3 +239,27 @@ def test_fitting_reads_every_labelled_document(spark):
     assert seen and all(n == half and total == half * quality_rules.TREES for n, total in seen)
     kept = {r.doc_id for r in quality_rules.judge(docs(spark, rows), model).filter("kept").collect()}
     assert len([i for i in kept if i < 600]) >= 590 and not [i for i in kept if i >= 600]
+
+
+def test_divergence_terms_of_odd_texts_are_those_of_the_pattern():
+    pieces = ["a", "Zz", "é", "漢字", "𝒳", " ", "\n", "\x00", "\x7f", "@[`{", "9", "_", "ÀB", "\u0085", "\u2028"]
+    rng = random.Random(4)
+    texts = [None, "", " ", "abc", "abc", "é", *("".join(rng.choices(pieces, k=rng.randrange(12))) for _ in range(500))]
+    fold = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    want = [re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", (t or "").translate(fold)) for t in texts]
+    assert divergence.terms(pa.array(texts)).to_pylist() == want
+    assert divergence.terms(pa.array(texts).slice(3, 200)).to_pylist() == want[3:203]
+    assert divergence.terms(pa.array(["", None], pa.string())).to_pylist() == [[], []]
+
+
+def test_vector_sums_add_whole_numbers_by_source_and_term(monkeypatch):
+    monkeypatch.setattr(divergence, "_ENTRIES", 3)
+    vectors = [("a", [1, 4], [2.0, 1.0]), ("", [], []), ("b", [1], [5.0]), ("a", [4, 7], [3.0, 1.0]), ("b", [1], [1.0])]
+    kind = pa.schema([("source", pa.string()), ("at", pa.list_(pa.int32())), ("n", pa.list_(pa.float64()))])
+    batches = [pa.RecordBatch.from_arrays([pa.array([v[k]], kind.field(k).type) for k in range(3)], schema=kind) for v in vectors]
+    held = {}
+    for out in divergence._vector_sums(iter(batches)):
+        for row in out.to_pylist():
+            held[row["source"], row["at"]] = held.get((row["source"], row["at"]), 0) + row["n"]
+    assert held == {("a", 1): 2, ("a", 4): 4, ("a", 7): 1, ("b", 1): 6}
+    assert not list(divergence._vector_sums(iter([])))
