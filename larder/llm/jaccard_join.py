@@ -46,7 +46,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from larder.llm.common import bloom, flat, gathered, keep, mix, restored, runs, shuffle_width, span_hashes, transposed, words
+from larder.llm.common import bloom, flat, gathered, keep, mix, release, restored, runs, shuffle_width, span_hashes, transposed, words
 from larder.llm.components import components
 
 SHINGLE = 5
@@ -151,6 +151,7 @@ def _meet(parts: int):
     """One hash range: documents with their own hits, hits told by other chunks, and frequent shingles, packed by document part."""
 
     def run(table: pa.Table) -> pa.Table:
+        release()  # groups follow each other in one worker
         packed = table["hashes"].is_valid()
         docs, rows = table.filter(pa.compute.invert(packed)), table.filter(packed)
         out: list[dict] = []
@@ -189,6 +190,7 @@ def _parts(ids: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
 
 def _total(table: pa.Table) -> pa.Table:
     """One part: every document with all its hits."""
+    release()
     hold: dict[int, list] = {}
     for row in table.to_pylist():
         ids, hits = (np.frombuffer(row[c], np.int64).tolist() for c in ("ids", "hits"))
