@@ -1,10 +1,14 @@
 """Source divergence audit: how far the vocabulary use of a language's sources lies apart.
 
 For each language a ``CountVectorizer`` (``minDF`` documents, greatest integer
-vocabulary) turns every document into an exact sparse vector over the kept terms.
-The vectors are summed by source, sparsely: one row per source and term that
-occurs there, so a source with a third of all rows is pre-aggregated in every
-task. From the sums come smoothed integer rates, and from them two parts:
+vocabulary) is fitted on every document, given as its distinct terms: only these
+decide in how many documents a term is. Vectors add up, so what is vectorized are
+not the documents one by one, but bags: the terms that a chunk's documents of one
+source hold, counted, with the count told in powers of two, so that a bag of
+weight w names a term once for w occurrences. The exact sparse vectors are summed
+by source, times their weight: one row per source and term that occurs there, so
+a source with a third of all rows is pre-aggregated in every task. From the sums
+come smoothed integer rates, and from them two parts:
 
 * ``pair``: the distance of every source to every other source of its language,
   over all kept terms;
@@ -56,7 +60,10 @@ _TERM = np.arange(256, dtype=np.uint8)
 _TERM[65:91] += 32
 _TERM[[*range(0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = 0
 #: Bytes of text whose terms are taken at once.
-_CHUNK = 2 << 20
+_CHUNK = 4 << 20
+#: Terms of a bag.
+_BAG = 1024
+_CUT = "lang_no int, bag int, source string, weight long, terms array<string>"
 
 
 def terms(column: pa.Array) -> pa.Array:
@@ -69,12 +76,55 @@ def terms(column: pa.Array) -> pa.Array:
     new[offsets[:-1][offsets[:-1] < len(data)]] = True
     new &= inside  # begins of terms, also of those at the start of a text
     starts = np.flatnonzero(new)
-    left = np.cumsum(new[inside].astype(np.int8), dtype=np.int32)  # number of the term that a byte belongs to
-    ends = np.searchsorted(left, np.arange(len(starts) + 1), side="right").astype(np.int32)
-    words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(data[inside]))
+    data, new = data[inside], new[inside]
+    ends = np.append(np.flatnonzero(new), len(data)).astype(np.int32)
+    words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(data))
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(starts, offsets).astype(np.int32)), words)
 
 
+def _lists(lang_no: pa.Array, bag: int, source: pa.Array, weight: int, offsets: np.ndarray, words: pa.Array) -> pa.RecordBatch:
+    n = len(lang_no)
+    lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), words)
+    columns = [lang_no, pa.array(np.full(n, bag, np.int32)), source, pa.array(np.full(n, weight)), lists]
+    return pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in _CUT.split(", ")])
+
+
+def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents (``bag`` 0) as their distinct terms, and bags (1) of what a chunk of them holds."""
+    for batch in gathered(batches, "text", _CHUNK):
+        lang_no, source = batch.column(0), batch.column(1)
+        found = terms(batch.column(2))
+        coded = found.flatten().dictionary_encode()
+        kinds = max(1, len(coded.dictionary))
+        key, n = np.unique(np.repeat(np.arange(len(found)) * kinds, np.diff(found.offsets.to_numpy())) + coded.indices.to_numpy(), return_counts=True)
+        at = np.searchsorted(key, np.arange(len(found) + 1) * kinds)
+        sizes = np.diff(at)
+        term = key - np.repeat(np.arange(len(found)) * kinds, sizes)
+        yield _lists(lang_no, 0, source, 1, at, coded.dictionary.take(pa.array(term)))
+        named = source.dictionary_encode()
+        groups, of = np.unique(lang_no.to_numpy().astype(np.int64) << 32 | named.indices.to_numpy(), return_inverse=True)
+        bits = int(n.max(initial=0)).bit_length()
+        packed = np.sort((np.repeat(of * kinds, sizes) + term) << bits | n)  # sorted by group and term, counts below
+        key = packed >> bits
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))[: len(key)]
+        n = np.add.reduceat(packed & (1 << bits) - 1, first) if len(first) else first
+        group, term = np.divmod(key[first], kinds)
+        for bag in _bags(group, term, n):
+            whose = groups[bag[1]]
+            yield _lists(pa.array((whose >> 32).astype(np.int32)), 1, named.dictionary.take(pa.array(whose & 0xFFFFFFFF)), bag[0], bag[2], coded.dictionary.take(pa.array(bag[3])))
+
+
+def _bags(group: np.ndarray, term: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(weight, group of each bag, their offsets, their terms), in which each term's weights add up to its count; sorted by group."""
+    for bit in range(int(n.max(initial=0)).bit_length()):
+        some = np.flatnonzero(n >> bit & 1)
+        if len(some):
+            first = np.flatnonzero(np.append(True, group[some][1:] != group[some][:-1]))
+            parts = -(-np.diff(np.append(first, len(some))) // _BAG)
+            at = np.repeat(first - _BAG * (np.cumsum(parts) - parts), parts) + _BAG * np.arange(parts.sum())
+            yield 1 << bit, group[some][at], np.append(at, len(some)), term[some]
+
+
 def rate(count: Column, total: Column, kept: Column) -> Column:
     """1 + floor(SCALE * (count + PRIOR) / (total + PRIOR * kept)), exactly."""
     over = (count + F.lit(PRIOR)).cast("decimal(19,0)") * F.lit(SCALE).cast("decimal(10,0)")
@@ -83,7 +133,7 @@ def rate(count: Column, total: Column, kept: Column) -> Column:
 
 
 def _stored(docs: DataFrame, min_df: int) -> tuple[str, list[tuple[int, str]], DataFrame]:
-    """(folder of tokenized documents by language number, numbered languages, all groups)."""
+    """(folder of documents and bags by language number, numbered languages, all groups)."""
     spark = docs.sparkSession
     read = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")])
     groups = keep(read.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("docs")), "divergence-groups")
@@ -93,31 +143,27 @@ def _stored(docs: DataFrame, min_df: int) -> tuple[str, list[tuple[int, str]], D
     numbers = list(enumerate(langs))
     named = spark.createDataFrame(numbers, "lang_no int, lang string")
 
-    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in gathered(batches, "text", _CHUNK):
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), terms(batch.column(2))], names=["lang_no", "source", "terms"])
-
     texts = read.join(F.broadcast(named) if len(numbers) <= BROADCAST_LANGS else named, "lang").select("lang_no", "source", "text")
-    tokens = texts.mapInArrow(cut, "lang_no int, source string, terms array<string>")
-    tokens.write.partitionBy("lang_no").option("compression", "zstd").parquet(path)
+    texts.mapInArrow(_cut, _CUT).write.partitionBy("lang_no", "bag").option("compression", "zstd").parquet(path)
     return path, numbers, groups
 
 
 def _vectorized(path: str, number: int, docs: DataFrame, min_df: int) -> tuple[list[str], DataFrame]:
     """(kept terms in vector order, (source, at, n): occurrences of kept terms by source)."""
     spark = docs.sparkSession
-    own = docs.filter(F.col("lang_no") == number).select("source", "terms")
+    own = docs.filter((F.col("lang_no") == number) & (F.col("bag") == 0)).select("terms")
+    bags = docs.filter((F.col("lang_no") == number) & (F.col("bag") == 1)).select("source", "weight", "terms")
     # a term of its own kind in min_df documents, since a vectorizer without any term is refused
     mark = spark.range(min_df).select(F.array(F.lit("")).alias("terms"))
-    model = CountVectorizer(inputCol="terms", outputCol="counts", minDF=float(min_df), vocabSize=MAX_VOCABULARY).fit(own.select("terms").unionAll(mark))
+    model = CountVectorizer(inputCol="terms", outputCol="counts", minDF=float(min_df), vocabSize=MAX_VOCABULARY).fit(own.unionAll(mark))
     vector = F.unwrap_udt("counts")
-    entries = model.transform(own).select("source", vector["indices"].alias("at"), vector["values"].alias("n"))
+    entries = model.transform(bags).select("source", vector["indices"].alias("at"), vector["values"].alias("n"), "weight")
     sums = entries.mapInArrow(_vector_sums, "source string, at int, n long").groupBy("source", "at").agg(F.sum("n").alias("n"))
     return model.vocabulary, sums
 
 
 def _vector_sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Occurrences by source and term of the vectors of a task, summed about ``_ENTRIES`` at a time."""
+    """Occurrences by source and term of the vectors of a task, times their weight if they have one, summed about ``_ENTRIES`` at a time."""
     held: list[pa.RecordBatch] = []
     size = 0
 
@@ -127,7 +173,10 @@ def _vector_sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             source = table["source"].combine_chunks().dictionary_encode()
             at = table["at"].combine_chunks()
             places, values = at.flatten().to_numpy().astype(np.int64), table["n"].combine_chunks().flatten().to_numpy()
-            whose = np.repeat(source.indices.to_numpy().astype(np.int64), np.diff(at.offsets.to_numpy()))
+            sizes = np.diff(at.offsets.to_numpy())
+            whose = np.repeat(source.indices.to_numpy().astype(np.int64), sizes)
+            if "weight" in table.column_names:
+                values = values * np.repeat(table["weight"].to_numpy(), sizes)
             key, place = np.unique(whose << 32 | places, return_inverse=True)
             n = np.bincount(place, values).astype(np.int64)
             yield pa.RecordBatch.from_arrays([source.dictionary.take(pa.array(key >> 32)), pa.array((key & 0xFFFFFFFF).astype(np.int32)), pa.array(n)], names=["source", "at", "n"])
@@ -147,7 +196,7 @@ def _summed(docs: DataFrame, min_df: int) -> tuple[DataFrame, DataFrame, DataFra
     path, numbers, groups = _stored(docs, min_df)
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/divergence-{uuid.uuid4().hex}"
     sums_schema, vocabulary_schema = "source string, at int, n long", "at int, term string"
-    tokens = spark.read.schema("source string, terms array<string>, lang_no int").parquet(path) if numbers else None
+    tokens = spark.read.schema(_CUT).parquet(path) if numbers else None
     sizes = []
     for number, lang in numbers:
         vocabulary, sums = _vectorized(path, number, tokens, min_df)

@@ -263,3 +263,40 @@ def test_vector_sums_add_whole_numbers_by_source_and_term(monkeypatch):
             held[row["source"], row["at"]] = held.get((row["source"], row["at"]), 0) + row["n"]
     assert held == {("a", 1): 2, ("a", 4): 4, ("a", 7): 1, ("b", 1): 6}
     assert not list(divergence._vector_sums(iter([])))
+
+
+def test_divergence_documents_name_a_term_once_and_bags_add_up(monkeypatch):
+    monkeypatch.setattr(divergence, "_BAG", 3)
+    monkeypatch.setattr(divergence, "_CHUNK", 150)
+    rng = random.Random(8)
+    words = ["a", "b", "é", "漢字", "zz", "w", "v"]
+    rows = [(rng.randrange(2), rng.choice(["s", "", "t"]), rng.choice([None, "", "1 2", " ".join(rng.choices(words, k=rng.randrange(1, 60)))])) for _ in range(80)]
+    rows.append((1, "s", "a " * 1000))
+    found = [divergence.terms(pa.array([t], pa.string())).to_pylist()[0] for _, _, t in rows]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int32(), pa.string(), pa.string()))], names=["lang_no", "source", "text"])
+    out = [r for part in divergence._cut(iter([batch.slice(0, 50), batch.slice(50)])) for r in part.to_pylist()]
+    own = [(r["lang_no"], sorted(r["terms"])) for r in out if not r["bag"]]
+    assert own == [(r[0], sorted(set(f))) for r, f in zip(rows, found)]
+    want, got = {}, {}
+    for (lang, source, _), f in zip(rows, found):
+        for w in f:
+            want[lang, source, w] = want.get((lang, source, w), 0) + 1
+    bags = [r for r in out if r["bag"]]
+    for r in bags:
+        assert 0 < len(r["terms"]) <= 3 and len(set(r["terms"])) == len(r["terms"])
+        for w in r["terms"]:
+            got[r["lang_no"], r["source"], w] = got.get((r["lang_no"], r["source"], w), 0) + r["weight"]
+    assert got == want and sum(len(r["terms"]) for r in bags) < sum(map(len, found)) / 2
+
+
+def test_vector_sums_count_a_vector_as_often_as_it_weighs():
+    vectors = {"source": ["a", "b", "a"], "at": [[1, 4], [1], [4]], "n": [[1.0, 1.0], [1.0], [1.0]], "weight": [1, 8, 2]}
+    kind = pa.schema([("source", pa.string()), ("at", pa.list_(pa.int32())), ("n", pa.list_(pa.float64())), ("weight", pa.int64())])
+    rows = [tuple(r.values()) for out in divergence._vector_sums(iter([pa.RecordBatch.from_pydict(vectors, schema=kind)])) for r in out.to_pylist()]
+    assert sorted(rows) == [("a", 1, 1), ("a", 4, 3), ("b", 1, 8)]
+
+
+def test_divergence_of_documents_without_any_term(spark):
+    rows = [(i, t, "en", s) for i, t in enumerate([None, "", "12 34"]) for s in "abc"]
+    got = sorted(map(tuple, divergence.audit(docs(spark, rows), min_df=2).collect()))
+    assert got == sorted(brute.divergence([r[1:] for r in rows], 2, 50)) and len(got) == 6
