@@ -60,7 +60,7 @@ _TERM = np.arange(256, dtype=np.uint8)
 _TERM[65:91] += 32
 _TERM[[*range(0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = 0
 #: Bytes of text whose terms are taken at once.
-_CHUNK = 4 << 20
+_CHUNK = 2 << 20
 #: Terms of a bag.
 _BAG = 1024
 _CUT = "lang_no int, bag int, source string, weight long, terms array<string>"
