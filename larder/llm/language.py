@@ -43,6 +43,8 @@ LEAST_MARGIN = 1 / 15
 LEAST_KNOWN = 0.5
 #: What counts as the latter share above chance where a language has no calibration documents.
 FEW_KNOWN = 0.1
+#: Bytes of text whose n-grams are taken at once; the working arrays are many times that.
+_CHUNK = 512 << 10
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
 
@@ -101,7 +103,7 @@ def _document_frequencies(train: DataFrame) -> tuple[np.ndarray, int]:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros(FEATURES, np.int64), 0
-        for batch in gathered(batches, "text", 2 << 20):
+        for batch in gathered(batches, "text", _CHUNK):
             sized, _ = grams(*flat(batch.column(0)))
             seen = np.empty(FEATURES, np.uint8)
             for k in range(batch.num_rows):
@@ -140,7 +142,7 @@ def _sample(train: DataFrame) -> list[tuple[str, np.ndarray, np.ndarray, int]]:
     picked = picked.withColumn("lot", F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(5)).cast("int"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in gathered(batches, "text", 2 << 20):
+        for batch in gathered(batches, "text", _CHUNK):
             sized, _ = grams(*flat(batch.column(1)))
             ids, shares = [], []
             for k in range(batch.num_rows):
@@ -278,7 +280,7 @@ def predict(docs: DataFrame, model: LanguageModel | None, id_col: str = "doc_id"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch in gathered(batches, "text", 2 << 20):
+        for batch in gathered(batches, "text", _CHUNK):
             if own is None:
                 names, best = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
             else:
@@ -304,7 +306,7 @@ def accepted(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch in gathered(batches, "text", 2 << 20):
+        for batch in gathered(batches, "text", _CHUNK):
             if own is not None:
                 yield batch.filter(pa.array(own.accepts(*flat(batch.column(place)))))
 
