@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from larder.llm.common import bloom, cut, flat, gathered, keep, mix, shuffle_width, span_hashes, words
+from larder.llm.common import bloom_and_marked, cut, flat, gathered, keep, mix, shuffle_width, span_hashes, words
 from larder.llm.windows import HOT, begins, keyed_rows, prefix_hashes, segments, spans_of, spans_table, unions, with_spans
 
 WINDOW = 50
@@ -184,10 +184,9 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot:
             yield pa.RecordBatch.from_arrays([pa.array(anchor[edge].view(np.int64)), pa.array(doc[edge]), pa.array(doc[end - 1]), pa.array(end - edge)], names=["anchor", "low", "high", "n"])
 
     anchors = docs.mapInArrow(count, "anchor long, low long, high long, n long").groupBy("anchor").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
-    anchors = keep(anchors.filter("low < high").select("anchor", "n"), "prefixes")
-    shared = spark.sparkContext.broadcast(bloom(anchors.select("anchor")))
-    # at most (words of the corpus) / hot of these
-    crowded = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in anchors.filter(F.col("n") > hot).select("anchor").collect()], np.int64).view(np.uint64)))
+    # marked: at most (words of the corpus) / hot of these
+    found, marked = bloom_and_marked(anchors.filter("low < high").select("anchor", F.col("n") > hot))
+    shared, crowded = spark.sparkContext.broadcast(found), spark.sparkContext.broadcast(marked)
 
     def candidates(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
         w, texts, anchor, at, first, last = word_segments(*flat(batch.column(2)), window, gram)

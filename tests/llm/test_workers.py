@@ -2,10 +2,11 @@
 
 import re
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from larder.llm import packing, substring_dedup, suffix_dedup
+from larder.llm import common, packing, substring_dedup, suffix_dedup, windows
 from tests.llm import brute
 
 
@@ -50,3 +51,27 @@ def test_rows_with_and_without_spans_equal_brute_force(spark):
 def test_special_tokens_are_those_of_the_library():
     path = public_tokenizers.path("byte_bpe_50k.json")
     assert packing._special(path) == [t.content for t in packing._library(path).get_added_tokens_decoder().values()] != []
+
+
+def test_anchors_are_not_written_to_be_read_again(spark, monkeypatch):
+    # on local folders executors begin a process for every file they write
+    written = []
+    for module in (substring_dedup, suffix_dedup, windows):
+        monkeypatch.setattr(module, "keep", lambda df, name: (written.append(name), common.keep(df, name))[1])
+    docs = _docs(spark)
+    for module, of_crowded in ((suffix_dedup, ["crowded", "twice"]), (substring_dedup, ["crowded", "least"])):
+        want = sorted(map(tuple, module.report(docs).collect()), key=str)
+        assert written == ["spans"]
+        written.clear()
+        assert sorted(map(tuple, module.report(docs, hot=1).collect()), key=str) == want
+        assert written == [*of_crowded, "spans"]
+        written.clear()
+
+
+def test_filter_and_marked_values_of_one_pass(spark):
+    rows = [(k * 2**58 - 2**62, k % 3 == 0) for k in range(32)] + [(None, True), (7, None), (-5, True)]
+    found, marked = common.bloom_and_marked(spark.createDataFrame(rows, "value long, marked boolean").repartition(3))
+    assert marked.tolist() == sorted(v % 2**64 for v, m in rows if m and v is not None)
+    assert found.has(np.array([v for v, _ in rows if v is not None], np.int64).view(np.uint64)).all()
+    none, empty = common.bloom_and_marked(spark.createDataFrame([], "value long, marked boolean"))
+    assert not none.words.any() and not len(empty)
